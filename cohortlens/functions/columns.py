@@ -1,91 +1,106 @@
-"""Column expressions shared by the operators. All stay inside the JVM."""
+"""Spark SQL snippets shared by the operators. All stay inside the JVM.
+
+Functions take and return SQL text, for `selectExpr`, `where` and `expr`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def quote(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def number(x: float) -> str:
+    """SQL literal of a double, exact to the last bit."""
+    return f"double('{x!r}')"
+
+
+def case(pairs, otherwise: str | None = None) -> str:
+    """CASE over (condition, result) SQL pairs."""
+    arms = " ".join(f"WHEN {cond} THEN {result}" for cond, result in pairs)
+    return f"CASE {arms}{'' if otherwise is None else f' ELSE {otherwise}'} END"
+
+
+def with_exprs(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    """Add or replace columns, each given as SQL."""
+    return df.withColumns({c: F.expr(sql) for c, sql in exprs.items()})
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NULL is the only missing value from here on (Spark sorts NaN above all)."""
-    floats = {f.name for f in df.schema.fields
-              if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    return df.select(*[
-        F.when(~F.isnan(F.col(c)), F.col(c)).alias(c) if c in floats else F.col(c)
-        for c in df.columns
-    ])
+    floats = [f.name for f in df.schema.fields
+              if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return with_exprs(df, {c: f"nanvl({c}, NULL)" for c in floats})
 
 
-def to_number(c: Column) -> Column:
-    """Number, or NULL where the value cannot be read as a finite number or infinity."""
-    x = c.try_cast("double")
-    return F.when(~F.isnan(x), x)
+def to_number(c: str) -> str:
+    """Double, or NULL where the value is not a number."""
+    return f"nanvl(try_cast({c} AS double), NULL)"
 
 
-def clip(c: Column, low: float | None = None, high: float | None = None) -> Column:
-    """Clamp; NULL stays NULL (greatest/least alone would skip it)."""
-    out = c
-    if low is not None:
-        out = F.greatest(out, F.lit(low))
-    if high is not None:
-        out = F.least(out, F.lit(high))
-    return F.when(c.isNotNull(), out)
+def clip(c: str, low: str | None = None, high: str | None = None) -> str:
+    """Clamp; `c` must not be NULL, which greatest/least would skip."""
+    out = c if low is None else f"greatest({c}, {low})"
+    return out if high is None else f"least({out}, {high})"
 
 
-def title(c: Column) -> Column:
-    return F.initcap(F.trim(c))
+def clip_or_null(c: str, low: str | None = None, high: str | None = None) -> str:
+    return f"CASE WHEN {c} IS NOT NULL THEN {clip(c, low, high)} END"
 
 
-def blank_if_null(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(""))
+def title(c: str) -> str:
+    return f"initcap(trim({c}))"
 
 
-def half_even(c: Column, digits: int = 0) -> Column:
-    return F.bround(c, digits)
+def blank_if_null(c: str) -> str:
+    return f"coalesce(cast({c} AS string), '')"
 
 
-def one_if_zero(c: Column) -> Column:
-    return F.when(c == 0, F.lit(1.0)).otherwise(c)
+def one_if_zero(c: str) -> str:
+    return f"coalesce(nullif({c}, 0), if({c} IS NULL, NULL, 1))"
 
 
-def finite(c: Column) -> Column:
+def finite(c: str) -> str:
     """NULL for NaN and the two infinities."""
-    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+    return f"CASE WHEN NOT isnan({c}) AND abs({c}) != double('Infinity') THEN {c} END"
 
 
-def row_mean(columns: list[str]) -> Column:
+def row_mean(columns: list[str]) -> str:
     """Mean over the columns that have a value in this row."""
-    total = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns), F.lit(0.0))
-    present = sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
-    return F.try_divide(total, present)
+    total = " + ".join(f"coalesce(cast({c} AS double), 0D)" for c in columns)
+    present = " + ".join(f"cast({c} IS NOT NULL AS int)" for c in columns)
+    return f"try_divide({total}, {present})"
 
 
-def percent_text(share: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f%%", F.round(share * 100, digits))
+def percent_text(share: str, digits: int) -> str:
+    return f"format_string('%.{digits}f%%', round({share} * 100, {digits}))"
 
 
-def run_id(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd_HHmmss")
+def run_id(ts: str) -> str:
+    return f"date_format({ts}, 'yyyyMMdd_HHmmss')"
 
 
-def combination_text(items: Column) -> Column:
+def combination_text(items: str) -> str:
     """Render array<struct<demo, value>> as 'demo: value | demo: value'."""
-    return F.array_join(
-        F.transform(items, lambda i: F.concat(i["demo"], F.lit(": "), i["value"])), " | ")
+    return f"array_join(transform({items}, i -> concat(i.demo, ': ', i.value)), ' | ')"
 
 
-def combination_items(text: Column) -> Column:
+def combination_items(text: str) -> str:
     """Read 'demo: value | ...' back into array<struct<demo, value>>.
 
     A part without ': ' keeps its text in `value` with a NULL demo; empty or
     NULL text gives an empty array.
     """
-    def item(part: Column) -> Column:
-        at = F.instr(part, F.lit(": "))
-        return F.struct(
-            F.when(at > 0, F.trim(F.substring(part, F.lit(1), at - 1))).alias("demo"),
-            F.when(at > 0, F.trim(F.substring(part, at + 2, F.length(part))))
-            .otherwise(part).alias("value"))
-
-    filled = F.coalesce(text, F.lit(""))
-    parts = F.filter(F.split(filled, r" \| "), lambda p: filled != "")
-    return F.transform(parts, item)
+    parts = rf"filter(split(coalesce({text}, ''), ' [|] '), p -> coalesce({text}, '') != '')"
+    return (f"transform({parts}, p -> CASE WHEN instr(p, ': ') > 0 THEN named_struct("
+            "'demo', trim(substring(p, 1, instr(p, ': ') - 1)), "
+            "'value', trim(substring(p, instr(p, ': ') + 2))) "
+            "ELSE named_struct('demo', CAST(NULL AS string), 'value', p) END)")
+
+
+def lookup(mapping: dict[str, str]) -> Column:
+    """Literal map column."""
+    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])

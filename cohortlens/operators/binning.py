@@ -2,47 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlens.config import CohortConfig, DEFAULT
+from cohortlens.functions.columns import case, number, quote, with_exprs
 
 # Bins used when there are fewer rows than age groups.
 FALLBACK_AGE_EDGES = (30, 40, 50)
 FALLBACK_AGE_LABELS = ("18-30", "31-40", "41-50", "51+")
 
 
-def income_bracket(income: Column, config: CohortConfig = DEFAULT,
-                   outside_first: bool = True) -> Column:
+def income_bracket(config: CohortConfig = DEFAULT, outside_first: bool = True) -> str:
     """Half-open bins [low, high). Values outside, and infinity, fall back to the first label."""
     lows = config.income_edges
     highs = lows[1:] + (float("inf"),)
-    out = None
-    for low, high, label in zip(lows, highs, config.income_labels):
-        inside = (income >= low) & (income < high)
-        out = F.when(inside, label) if out is None else out.when(inside, label)
-    return out.otherwise(F.lit(config.income_labels[0])) if outside_first else out
+    arms = [(f"income >= {number(low)} AND income < {number(high)}", quote(label))
+            for low, high, label in zip(lows, highs, config.income_labels)]
+    return case(arms, quote(config.income_labels[0]) if outside_first else None)
 
 
 def income_distribution(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Count and share per bracket, with the bracket's position for ordering."""
-    position = None
-    for i, label in enumerate(config.income_labels):
-        hit = F.col("income_bracket") == label
-        position = F.when(hit, i) if position is None else position.when(hit, i)
+    position = case([(f"income_bracket = {quote(x)}", str(i))
+                     for i, x in enumerate(config.income_labels)])
     counts = df.groupBy("income_bracket").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select("income_bracket", position.alias("position"), "n",
-                         F.round(F.col("n") / total, 6).alias("share"))
+    return counts.withColumn("total", F.sum("n").over(Window.partitionBy())).selectExpr(
+        "income_bracket", f"{position} AS position", "n", "round(n / total, 6) AS share")
 
 
-def interval_label(value: Column, edges: list[int], labels: list[str]) -> Column:
+def interval_label(value: str, edges: list[int], labels: list[str]) -> str:
     """Label of (low, high] bins, the first one closed on both ends."""
-    out = None
-    for i, label in enumerate(labels):
-        low, high = edges[i], edges[i + 1]
-        inside = ((value >= low) if i == 0 else (value > low)) & (value <= high)
-        out = F.when(inside, label) if out is None else out.when(inside, label)
-    return out
+    return case([
+        (f"{value} {'>=' if i == 0 else '>'} {edges[i]} AND {value} <= {edges[i + 1]}",
+         quote(label)) for i, label in enumerate(labels)])
 
 
 def age_quantiles(df: DataFrame, probs: list[float]) -> tuple[int, list[float]]:
@@ -52,35 +44,40 @@ def age_quantiles(df: DataFrame, probs: list[float]) -> tuple[int, list[float]]:
     return row["n"], list(row["q"]) if row["q"] is not None else []
 
 
+def _bounded_age(config: CohortConfig) -> str:
+    return f"least(greatest(age, {config.min_age}), {config.max_age})"
+
+
 def quantile_age_edges(df: DataFrame, config: CohortConfig = DEFAULT) -> list[int] | None:
     """Whole-year edges at the group quantiles; None if there are too few rows."""
     groups = config.age_groups
-    clipped = df.select(
-        F.least(F.greatest("age", F.lit(config.min_age)), F.lit(config.max_age)).alias("age"))
+    clipped = df.selectExpr(f"{_bounded_age(config)} AS age")
     n, inner = age_quantiles(clipped, [i / groups for i in range(1, groups)])
     if n < groups:
         return None
     return sorted({config.min_age, *(int(q) for q in inner), config.max_age})
 
 
-def age_category(age: Column, edges: list[int] | None, config: CohortConfig = DEFAULT) -> Column:
+def age_category(edges: list[int] | None, config: CohortConfig = DEFAULT) -> str:
     """Label 'low-high' of the quantile bin, or of the fixed bins for tiny inputs."""
     if edges is None:
         edges = [config.min_age, *FALLBACK_AGE_EDGES, config.max_age]
         labels = list(FALLBACK_AGE_LABELS)
+        # These bins are open below, so the minimum age takes the fill value,
+        # which is the label of the first bin.
     else:
         labels = [f"{a}-{b}" for a, b in zip(edges, edges[1:])]
-    return F.coalesce(interval_label(age, edges, labels), F.lit(FALLBACK_AGE_LABELS[0]))
+    label = interval_label(_bounded_age(config), edges, labels)
+    return f"coalesce({label}, {quote(FALLBACK_AGE_LABELS[0])})"
 
 
 def with_bins(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Adds both binned columns; income must already be filled."""
     edges = quantile_age_edges(df, config)
-    age = F.least(F.greatest("age", F.lit(config.min_age)), F.lit(config.max_age))
-    return df.withColumns({
-        "income_bracket": income_bracket(F.col("income"), config),
-        "age": age,
-        "age_category": age_category(age, edges, config),
+    return with_exprs(df, {
+        "income_bracket": income_bracket(config),
+        "age": _bounded_age(config),
+        "age_category": age_category(edges, config),
     })
 
 
@@ -93,7 +90,7 @@ def balanced_age_edges(df: DataFrame, groups: int = 4,
     low, high = config.min_age, config.max_age
     n, inner = age_quantiles(df, [0.2, 0.4, 0.6, 0.8])
     edges = [low, *(int(q) for q in inner), high]
-    under = df.agg(*[F.count_if(F.col("age") < e).alias(f"e{i}")
+    under = df.agg(*[F.expr(f"count_if(age < {e}) AS e{i}")
                      for i, e in enumerate(edges)]).first()
     younger = {e: under[f"e{i}"] for i, e in enumerate(edges)}
 
@@ -115,5 +112,5 @@ def balanced_age_labels(edges: list[int]) -> list[str]:
     return [f"{a if i == 0 else a + 1}-{b}" for i, (a, b) in enumerate(zip(edges, edges[1:]))]
 
 
-def balanced_age_category(age: Column, edges: list[int]) -> Column:
-    return interval_label(age, edges, balanced_age_labels(edges))
+def balanced_age_category(edges: list[int]) -> str:
+    return interval_label("age", edges, balanced_age_labels(edges))

@@ -8,10 +8,10 @@ all fact rows does not end up in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.config import CohortConfig, DEFAULT
-from cohortlens.functions.columns import nan_to_null
+from cohortlens.functions.columns import nan_to_null, quote
 from cohortlens.sources.inputs import Inputs
 
 KEY = "dw_customer_key"
@@ -31,21 +31,29 @@ METRIC_COLUMNS = (
 )
 
 
-def included(config: CohortConfig = DEFAULT) -> Column:
+def included(config: CohortConfig = DEFAULT) -> str:
     """Product is not excluded. NULL codes are neither, so a filter drops them."""
-    return ~F.col("product_code").isin(*config.excluded_products)
+    return f"product_code NOT IN ({', '.join(map(quote, config.excluded_products))})"
 
 
 def keep_included(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     return fact.where(included(config))
 
 
-def exact_mean(c: str, when: Column | None = None) -> Column:
-    """Mean through a decimal sum: the same bits whatever the task order."""
-    x = F.col(c).cast("decimal(18,6)")
-    if when is not None:
-        x = F.when(when, x)
-    return F.try_divide(F.sum(x).cast("double"), F.count(x))
+def per_customer(rows: DataFrame, *aggregates: str) -> DataFrame:
+    return rows.groupBy(KEY).agg(*[F.expr(a) for a in aggregates])
+
+
+# Sums run over decimals and counts, so the result has the same bits whatever
+# the order of the tasks.
+def exact_mean(c: str, keep: str = "true") -> str:
+    x = f"cast({c} AS decimal(18,6))"
+    return (f"try_divide(cast(sum({x}) FILTER (WHERE {keep}) AS double), "
+            f"count({c}) FILTER (WHERE {keep})) AS {c}")
+
+
+def exact_sum(c: str, keep: str = "true") -> str:
+    return f"cast(sum({c}) FILTER (WHERE {keep}) AS double) AS {c}"
 
 
 def latest_loan_flag(fact: DataFrame) -> DataFrame:
@@ -54,65 +62,53 @@ def latest_loan_flag(fact: DataFrame) -> DataFrame:
     An aggregate and a join instead of a window: the maximum is pre-aggregated,
     and AQE may split the fact rows of a hot customer over many tasks.
     """
-    newest = fact.groupBy(KEY).agg(F.max("disbursement_date").alias("newest"))
-    return (fact.select(KEY, "loan_ref", "disbursement_date", "product_code")
-            .join(newest, KEY, "left")
-            .withColumn("is_latest",
-                        F.coalesce(F.col("disbursement_date") == F.col("newest"), F.lit(False)))
-            .drop("newest"))
+    newest = per_customer(fact, "max(disbursement_date) AS newest")
+    return fact.join(newest, KEY, "left").selectExpr(
+        KEY, "loan_ref", "disbursement_date", "product_code",
+        "coalesce(disbursement_date = newest, false) AS is_latest")
 
 
 def latest_loan_customers(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Customers whose overall newest loan is an included product."""
-    keep = included(config)
-    return (fact.groupBy(KEY)
-            .agg(F.max("disbursement_date").alias("newest"),
-                 F.max(F.when(keep, F.col("disbursement_date"))).alias("newest_included"))
-            .where("newest = newest_included").select(KEY))
+    return per_customer(
+        fact, "max(disbursement_date) AS newest",
+        f"max(disbursement_date) FILTER (WHERE {included(config)}) AS newest_included",
+    ).where("newest = newest_included").select(KEY)
 
 
 def latest_loan_rows(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Included fact rows dated at the customer's newest disbursement; ties stay."""
-    newest = fact.groupBy(KEY).agg(F.max("disbursement_date").alias("disbursement_date"))
+    newest = per_customer(fact, "max(disbursement_date) AS disbursement_date")
     return keep_included(fact, config).join(newest, [KEY, "disbursement_date"], "left_semi")
 
 
 def latest_snapshot_dpd(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Highest maturity_dpd at the customer's newest snapshot date."""
-    dated = keep_included(fact, config).where(F.col("dw_date_key").isNotNull())
-    return (dated.groupBy(KEY)
-            .agg(F.max(F.struct("dw_date_key", "maturity_dpd")).alias("top"))
-            .select(KEY, F.col("top.dw_date_key").alias("latest_date_key"),
-                    F.col("top.maturity_dpd").alias("maturity_dpd")))
+    dated = keep_included(fact, config).where("dw_date_key IS NOT NULL")
+    return per_customer(dated, "max(struct(dw_date_key, maturity_dpd)) AS top").selectExpr(
+        KEY, "top.dw_date_key AS latest_date_key", "top.maturity_dpd AS maturity_dpd")
 
 
 def loan_counts(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    return keep_included(fact, config).groupBy(KEY).agg(
-        F.countDistinct("loan_ref").alias("loan_count"))
+    return per_customer(keep_included(fact, config), "count(DISTINCT loan_ref) AS loan_count")
 
 
 def latest_dates(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    return keep_included(fact, config).groupBy(KEY).agg(
-        F.max("dw_date_key").alias("latest_date_key"))
-
-
-def _late(config: CohortConfig) -> Column:
-    return F.when(F.col("installment_dpd") >= config.dpd_flag_from, 1).otherwise(0)
+    return per_customer(keep_included(fact, config), "max(dw_date_key) AS latest_date_key")
 
 
 def dpd_flags(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    return keep_included(fact, config).groupBy(KEY).agg(
-        F.max(_late(config)).alias("has_14plus_dpd"),
-        F.sum(_late(config)).alias("count_14plus_dpd"))
+    late = f"if(installment_dpd >= {config.dpd_flag_from}, 1, 0)"
+    return per_customer(keep_included(fact, config), f"max({late}) AS has_14plus_dpd",
+                        f"sum({late}) AS count_14plus_dpd")
 
 
 def customer_sums(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    return keep_included(fact, config).groupBy(KEY).agg(
-        F.sum("total_amount_overdue").cast("double").alias("total_amount_overdue"),
-        F.sum("total_loan_amount").cast("double").alias("total_loan_amount"),
-        F.sum("total_missed_installment").alias("total_missed_installment"),
-        exact_mean("tenor_in_months").alias("tenor_in_months"),
-        exact_mean("ontime_repayment_rate").alias("ontime_repayment_rate"))
+    return per_customer(
+        keep_included(fact, config), exact_sum("total_amount_overdue"),
+        exact_sum("total_loan_amount"),
+        "sum(total_missed_installment) AS total_missed_installment",
+        exact_mean("tenor_in_months"), exact_mean("ontime_repayment_rate"))
 
 
 def customer_metrics(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
@@ -122,62 +118,53 @@ def customer_metrics(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFra
     the newest over included products, which is the latest-loan rule.
     """
     keep = included(config)
-
-    def kept(c: str) -> Column:
-        return F.when(keep, F.col(c))
-
-    late = F.when(keep, _late(config))
-    return (fact.groupBy(KEY)
-            .agg(
-                F.max("disbursement_date").alias("newest"),
-                F.max(kept("disbursement_date")).alias("newest_included"),
-                F.countDistinct(kept("loan_ref")).alias("loan_count"),
-                F.max(F.when(keep & F.col("dw_date_key").isNotNull(),
-                             F.struct("dw_date_key", "maturity_dpd"))).alias("top"),
-                F.max(late).alias("has_14plus_dpd"),
-                F.sum(late).alias("count_14plus_dpd"),
-                F.sum(kept("total_amount_overdue")).cast("double").alias("total_amount_overdue"),
-                F.sum(kept("total_loan_amount")).cast("double").alias("total_loan_amount"),
-                F.sum(kept("total_missed_installment")).alias("total_missed_installment"),
-                exact_mean("tenor_in_months", keep).alias("tenor_in_months"),
-                exact_mean("ontime_repayment_rate", keep).alias("ontime_repayment_rate"))
-            .where("newest = newest_included")
-            .select(KEY, "loan_count", "total_amount_overdue",
-                    F.coalesce(F.col("top.maturity_dpd").cast("bigint"), F.lit(0))
-                    .alias("maturity_dpd"),
-                    "total_missed_installment",
-                    F.coalesce("has_14plus_dpd", F.lit(0)).alias("has_14plus_dpd"),
-                    F.coalesce("count_14plus_dpd", F.lit(0)).alias("count_14plus_dpd"),
-                    "tenor_in_months", "ontime_repayment_rate", "total_loan_amount"))
+    late = f"if(installment_dpd >= {config.dpd_flag_from}, 1, 0)"
+    measures = per_customer(
+        fact.withColumn("keep", F.expr(f"coalesce({keep}, false)")),
+        "max(disbursement_date) AS newest",
+        "max(disbursement_date) FILTER (WHERE keep) AS newest_included",
+        "count(DISTINCT if(keep, loan_ref, NULL)) AS loan_count",
+        "max(struct(dw_date_key, maturity_dpd)) FILTER (WHERE keep AND dw_date_key IS NOT NULL)"
+        " AS top",
+        f"max({late}) FILTER (WHERE keep) AS has_14plus_dpd",
+        f"sum({late}) FILTER (WHERE keep) AS count_14plus_dpd",
+        exact_sum("total_amount_overdue", "keep"),
+        exact_sum("total_loan_amount", "keep"),
+        "sum(total_missed_installment) FILTER (WHERE keep) AS total_missed_installment",
+        exact_mean("tenor_in_months", "keep"),
+        exact_mean("ontime_repayment_rate", "keep"))
+    return measures.where("newest = newest_included").selectExpr(
+        KEY, "loan_count", "total_amount_overdue",
+        "coalesce(cast(top.maturity_dpd AS bigint), 0) AS maturity_dpd",
+        "total_missed_installment", "coalesce(has_14plus_dpd, 0) AS has_14plus_dpd",
+        "coalesce(count_14plus_dpd, 0) AS count_14plus_dpd", "tenor_in_months",
+        "ontime_repayment_rate", "total_loan_amount")
 
 
 def customer_income(decision: DataFrame) -> DataFrame:
     """Best salary offer of a client, or else the best turnover offer."""
-    offer = F.lower("offer_type")
     return (decision.groupBy(F.col("user_client_id").alias(KEY))
-            .agg(F.max(F.when(offer.like("%salar%"), F.col("monthly_salary_l6m"))).alias("salary"),
-                 F.max(F.when(offer.like("%turnover%"), F.col("turnover_last6m_trim")))
-                 .alias("turnover"))
-            .select(KEY, F.coalesce("salary", "turnover").alias("income")))
+            .agg(F.expr("max(monthly_salary_l6m) FILTER (WHERE lower(offer_type) LIKE '%salar%')")
+                 .alias("salary"),
+                 F.expr("max(turnover_last6m_trim) FILTER "
+                        "(WHERE lower(offer_type) LIKE '%turnover%')").alias("turnover"))
+            .selectExpr(KEY, "coalesce(salary, turnover) AS income"))
 
 
 def category_customers(dim: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    return dim.where(F.col("customer_category") == config.customer_category)
+    return dim.where(f"customer_category = {quote(config.customer_category)}")
 
 
 def to_contract_columns(wide: DataFrame) -> DataFrame:
-    return wide.select(
-        F.col(KEY).alias("customer_id"), "loan_count", "total_amount_overdue", "maturity_dpd",
-        "total_missed_installment", "has_14plus_dpd", "count_14plus_dpd", "tenor_in_months",
-        "ontime_repayment_rate", "age", "gender", "marital_status", "state", "location",
-        F.col("purpose_of_loan").alias("purpose"), "employment_status", "dw_channel_key",
-        "total_loan_amount", "income")
+    renamed = {"customer_id": KEY, "purpose": "purpose_of_loan"}
+    return wide.selectExpr(*[
+        f"{renamed[c]} AS {c}" if c in renamed else c for c in CUSTOMER_COLUMNS])
 
 
 def within_ratio_cap(customers: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """abs(income / loan amount) under the cap; NULL or zero amounts drop the row."""
-    ratio = F.abs(F.try_divide(F.col("income"), F.col("total_loan_amount")))
-    return customers.where(ratio <= config.income_loan_ratio_cap)
+    return customers.where(
+        f"abs(try_divide(income, total_loan_amount)) <= {config.income_loan_ratio_cap}")
 
 
 def unfiltered_customers(src: Inputs, config: CohortConfig = DEFAULT) -> DataFrame:
@@ -185,7 +172,7 @@ def unfiltered_customers(src: Inputs, config: CohortConfig = DEFAULT) -> DataFra
     metrics = customer_metrics(src.loan_fact, config)
     dim = category_customers(src.customer_dim, config)
     joined = metrics.join(dim, KEY).join(customer_income(src.income_decision), KEY, "left")
-    return to_contract_columns(nan_to_null(joined))
+    return nan_to_null(to_contract_columns(joined))
 
 
 def customer_table(src: Inputs, config: CohortConfig = DEFAULT) -> DataFrame:
@@ -197,4 +184,4 @@ def registry_customers(src: Inputs, config: CohortConfig = DEFAULT) -> DataFrame
     joined = (src.customer_dim
               .join(customer_metrics(src.loan_fact, config), KEY, "left")
               .join(customer_income(src.income_decision), KEY, "left"))
-    return to_contract_columns(nan_to_null(joined))
+    return nan_to_null(to_contract_columns(joined))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from cohortlens.functions.columns import combination_items
+from cohortlens.functions.columns import combination_items, lookup
 from cohortlens.functions.staging import small_side
 
 # Labels published for the codes of the known production data.
@@ -41,38 +41,38 @@ PREFIXES = {
 }
 
 
-def _fallback(demo: Column, value: Column) -> Column:
-    prefix = F.create_map(*[F.lit(x) for pair in PREFIXES.items() for x in pair])
-    return F.concat(F.coalesce(F.try_element_at(prefix, demo), F.concat(demo, F.lit(": "))), value)
+def _labels() -> dict[str, str]:
+    return {f"{demo}={code}": label
+            for demo, labels in KNOWN_LABELS.items() for code, label in labels.items()}
 
 
-def decode_known(text: Column) -> Column:
-    """Combination text with the fixed labels, parts joined by ', '."""
-    labels = F.create_map(*[
-        F.lit(x) for demo, names in KNOWN_LABELS.items() for code, name in names.items()
-        for x in (f"{demo}={code}", name)])
-    return F.array_join(F.transform(combination_items(text), lambda i: F.when(
-        i["demo"].isNull(), i["value"]).otherwise(F.coalesce(
-            F.try_element_at(labels, F.concat(i["demo"], F.lit("="), i["value"])),
-            _fallback(i["demo"], i["value"])))), ", ")
+# SQL for the text of a part that has no label; `prefixes` is the PREFIXES map.
+FALLBACK = ("concat(coalesce(try_element_at(prefixes, x.demo), concat(x.demo, ': ')), x.value)")
+
+
+def decode_known(df: DataFrame, text: str = "combination", name: str = "decoded") -> DataFrame:
+    """Adds the combination with the fixed labels, parts joined by ', '."""
+    label = (f"if(x.demo IS NULL, x.value, coalesce("
+             f"try_element_at(labels, concat(x.demo, '=', x.value)), {FALLBACK}))")
+    return (df.withColumns({"labels": lookup(_labels()), "prefixes": lookup(PREFIXES)})
+            .withColumn(name, F.expr(f"array_join(transform({combination_items(text)}, "
+                                     f"x -> {label}), ', ')"))
+            .drop("labels", "prefixes"))
 
 
 def decode_with_codes(profiles: DataFrame, codes: DataFrame) -> DataFrame:
     """Adds `text`: the combination with the labels this run really encoded."""
-    parts = (profiles.select("segment", "place", F.posexplode(
-                 combination_items(F.col("combination"))).alias("at", "item"))
-             .select("segment", "place", "at", "item.demo", "item.value"))
-    side = small_side(codes.select(F.col("feature").alias("demo"),
-                                   F.col("code").cast("string").alias("value"), "category"))
-    label = F.when(F.col("demo").isNull(), F.col("value")).otherwise(
-        F.coalesce(F.lower("category"), _fallback(F.col("demo"), F.col("value"))))
-    texts = (parts.join(side, ["demo", "value"], "left")
+    parts = profiles.selectExpr("segment", "place",
+                                f"posexplode({combination_items('combination')}) AS (at, x)")
+    side = small_side(codes.selectExpr("feature", "cast(code AS string) AS code", "category"))
+    label = (f"if(x.demo IS NULL, x.value, coalesce(lower(category), {FALLBACK}))")
+    texts = (parts.join(side, F.expr("x.demo = feature AND x.value = code"), "left")
+             .withColumn("prefixes", lookup(PREFIXES))
+             .selectExpr("segment", "place", "at", f"{label} AS label")
              .groupBy("segment", "place")
-             .agg(F.array_sort(F.collect_list(F.struct("at", label.alias("label")))).alias("p"))
-             .select("segment", "place",
-                     F.array_join(F.transform("p", lambda x: x["label"]), ", ").alias("text")))
-    return (profiles.join(texts, ["segment", "place"], "left")
-            .withColumn("text", F.coalesce("text", F.lit(""))))
+             .agg(F.expr("array_join(transform(array_sort(collect_list(struct(at, label))), "
+                         "p -> p.label), ', ') AS text")))
+    return profiles.join(texts, ["segment", "place"], "left").na.fill("", ["text"])
 
 
 # Fields looked for in combination texts.
@@ -82,7 +82,7 @@ LOOKED_FOR = ("marital_status", "dw_channel_key", "age_category", "income_bracke
 
 def fields_present(profiles: DataFrame) -> DataFrame:
     """Which demographic fields occur in any combination text."""
-    flags = [F.struct(F.lit(f).alias("field"),
-                      F.coalesce(F.bool_or(F.col("combination").contains(f)), F.lit(False))
-                      .alias("present")) for f in LOOKED_FOR]
-    return profiles.agg(F.array(*flags).alias("flags")).select(F.inline("flags"))
+    flags = ", ".join(
+        f"named_struct('field', '{f}', 'present', "
+        f"coalesce(bool_or(contains(combination, '{f}')), false))" for f in LOOKED_FOR)
+    return profiles.agg(F.expr(f"array({flags}) AS flags")).selectExpr("inline(flags)")

@@ -5,62 +5,84 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlens.config import CODED_DEMOGRAPHICS
+from cohortlens.functions.columns import quote, with_exprs
 from cohortlens.functions.ranks import distributed_row_number
 from cohortlens.functions.staging import BROADCAST_ROWS, unpivot_text, write_stage
 
 
-def distinct_labels(df: DataFrame, features=CODED_DEMOGRAPHICS,
-                    missing: str | None = "Unknown") -> DataFrame:
+# Label sets up to this size are written into the plan as literals.
+LITERAL_LABELS = 1000
+
+
+def distinct_labels(df: DataFrame, features=CODED_DEMOGRAPHICS) -> DataFrame:
     """(feature, category) pairs, pre-aggregated on the map side."""
-    labels = unpivot_text(df, [], features, "feature", "category")
-    if missing is None:
-        labels = labels.where("category IS NOT NULL")
-    else:
-        labels = labels.withColumn("category", F.coalesce("category", F.lit(missing)))
-    return labels.distinct()
+    return (unpivot_text(df, [], features, "feature", "category")
+            .where("category IS NOT NULL").distinct())
 
 
-def encoding_table(df: DataFrame, features=CODED_DEMOGRAPHICS,
-                   missing: str | None = "Unknown", window_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(feature, code, category): code is the rank among the sorted distinct labels.
+def _few_labels(labels: DataFrame) -> list | None:
+    """The labels themselves if there are at most LITERAL_LABELS of them."""
+    rows = labels.limit(LITERAL_LABELS + 1).collect()
+    return rows if len(rows) <= LITERAL_LABELS else None
+
+
+def ranked_labels(labels: DataFrame, window_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(feature, code, category) for label sets of any size.
 
     Only distinct labels are ranked, never rows: with one window per feature
     while they are few, over range partitions beyond that.
     """
-    labels = write_stage(distinct_labels(df, features, missing), "labels")
-    if labels.rows <= window_rows:
+    stage = write_stage(labels, "labels")
+    if stage.rows <= window_rows:
         rank = F.row_number().over(Window.partitionBy("feature").orderBy("category"))
-        ranked = labels.df.withColumn("rank", rank)
+        ranked = stage.df.withColumn("rank", rank)
     else:
-        ranked = distributed_row_number(labels.df, "feature", ["category"], "rank")
-    return ranked.select("feature", (F.col("rank") - 1).cast("int").alias("code"), "category")
-
+        ranked = distributed_row_number(stage.df, "feature", ["category"], "rank")
+    return ranked.selectExpr("feature", "cast(rank - 1 AS int) AS code", "category")
 
-def encode(df: DataFrame, codes: DataFrame, features=CODED_DEMOGRAPHICS,
-           missing: str | None = "Unknown") -> DataFrame:
-    """Replace labels by codes. A code table is broadcast if its size allows it.
 
-    With `missing=None` NULL labels get code -1.
-    """
+def join_codes(df: DataFrame, codes: DataFrame, features=CODED_DEMOGRAPHICS) -> DataFrame:
+    """Replace labels by codes through joins; a table is broadcast if its size allows it."""
     sizes = {r["feature"]: r["n"] for r in
              codes.groupBy("feature").agg(F.count("*").alias("n")).collect()}
     out = df
     for f in features:
-        side = (codes.where(F.col("feature") == f)
-                .select(F.col("category").alias("_label"), F.col("code").alias("_code")))
+        side = codes.where(f"feature = {quote(f)}").selectExpr(f"category AS {f}", "code AS _code")
         if sizes.get(f, 0) <= BROADCAST_ROWS:
             side = F.broadcast(side)
-        label = F.col(f).cast("string")
-        if missing is not None:
-            label = F.coalesce(label, F.lit(missing))
-        out = (out.withColumn(f, label).join(side, F.col(f) == F.col("_label"), "left")
-               .withColumn(f, F.coalesce("_code", F.lit(-1)))
-               .drop("_label", "_code"))
-    return out
+        out = out.join(side, f, "left").drop(f).withColumnRenamed("_code", f)
+        out = with_exprs(out, {f: f"coalesce({f}, -1)"})
+    return out.select(*df.columns)
 
 
 def fit_encode(df: DataFrame, features=CODED_DEMOGRAPHICS,
                missing: str | None = "Unknown") -> tuple[DataFrame, DataFrame]:
-    """Coded rows and the code table, which is staged because both need it."""
-    codes = write_stage(encoding_table(df, features, missing), "codes").df
-    return encode(df, codes, features, missing), codes
+    """Rows with labels replaced by codes, and the (feature, code, category) table.
+
+    A code is the rank of the label among the sorted distinct labels of its
+    column. With `missing=None` NULL labels get code -1. Small label sets
+    become literals of the plan; larger ones are joined.
+    """
+    fill = {f: f"cast({f} AS string)" if missing is None
+            else f"coalesce(cast({f} AS string), {quote(missing)})" for f in features}
+    text = with_exprs(df, fill)
+    labels = distinct_labels(text, features)
+    few = _few_labels(labels)
+    if few is None:
+        codes = write_stage(ranked_labels(labels), "codes").df
+        return join_codes(text, codes, features), codes
+
+    # Spark and Python both sort strings by code point.
+    sets = {f: sorted(r["category"] for r in few if r["feature"] == f) for f in features}
+    rows = [(f, i, label) for f, found in sets.items() for i, label in enumerate(found)]
+    codes = df.sparkSession.createDataFrame(
+        rows, "feature string, code int, category string").coalesce(1)
+    coded = text.withColumns({
+        f: F.coalesce(F.array_position(F.lit(found), F.col(f)).cast("int"), F.lit(0))
+        if found else F.lit(0) for f, found in sets.items()})
+    return with_exprs(coded, {f: f"{f} - 1" for f in features}), codes
+
+
+def encoding_table(df: DataFrame, features=CODED_DEMOGRAPHICS,
+                   missing: str | None = "Unknown") -> DataFrame:
+    return fit_encode(df, features, missing)[1]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from cohortlens.functions.columns import case, number, quote
 from cohortlens.functions.ranks import SMALL_ROWS, exact_quantiles
 from cohortlens.functions.staging import unpivot_numbers, unpivot_text
 
@@ -21,17 +22,10 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
 
 
-def _by_column(values: dict[str, float | None]) -> Column:
-    out = None
-    for c, v in values.items():
-        hit, x = F.col("column_name") == c, F.lit(v).cast("double")
-        out = F.when(hit, x) if out is None else out.when(hit, x)
-    return out
-
-
-def _sum_up(df: DataFrame, columns: list[str], aggregates: list[Column]) -> DataFrame:
-    return (unpivot_numbers(df, [], columns)
-            .groupBy("column_name").agg(*aggregates))
+def _sum_up(df: DataFrame, columns: list[str], *aggregates: str) -> DataFrame:
+    """One row per numeric column; `x` is the value in the aggregates."""
+    return (unpivot_numbers(df, [], columns).groupBy("column_name")
+            .agg(*[F.expr(a) for a in aggregates]))
 
 
 def with_quantiles(summary: DataFrame, df: DataFrame, columns: list[str],
@@ -39,19 +33,22 @@ def with_quantiles(summary: DataFrame, df: DataFrame, columns: list[str],
                    small_rows: int = SMALL_ROWS) -> DataFrame:
     """Adds exact quantile columns to a one-row-per-column summary."""
     found = exact_quantiles(df, columns, list(probs.values()), rows, small_rows)
-    return summary.withColumns({
-        name: F.round(_by_column({c: found[c][i] for c in columns}), digits)
-        for i, name in enumerate(probs)})
+    out = summary
+    for i, name in enumerate(probs):
+        arms = [(f"column_name = {quote(c)}", number(found[c][i])) for c in columns
+                if found[c][i] is not None]
+        value = case(arms) if arms else "cast(NULL AS double)"
+        out = out.withColumn(name, F.expr(f"round({value}, {digits})"))
+    return out
 
 
 def numeric_summary(df: DataFrame, rows: int) -> DataFrame:
     """min, max, mean, median, sample std, zeros and missing per numeric column."""
     columns = numeric_columns(df)
-    x = F.col("x")
-    summary = _sum_up(df, columns, [
-        F.round(F.min(x), 4).alias("min"), F.round(F.max(x), 4).alias("max"),
-        F.round(F.avg(x), 4).alias("mean"), F.round(F.stddev_samp(x), 4).alias("std"),
-        F.count_if(x == 0).alias("zeros"), F.count_if(x.isNull()).alias("missing")])
+    summary = _sum_up(
+        df, columns, "round(min(x), 4) AS min", "round(max(x), 4) AS max",
+        "round(avg(x), 4) AS mean", "round(stddev_samp(x), 4) AS std",
+        "count_if(x = 0) AS zeros", "count_if(x IS NULL) AS missing")
     return with_quantiles(summary, df, columns, {"median": 0.5}, rows)
 
 
@@ -64,26 +61,23 @@ def categorical_summary(df: DataFrame, columns: list[str] | None = None) -> Data
     columns = columns or text_columns(df)
     counts = (unpivot_text(df, [], columns, "column_name", "value")
               .groupBy("column_name", "value").agg(F.count("*").alias("n")))
-    n = F.when(F.col("value").isNotNull(), F.col("n"))
-    # Ties of the top count go to the smallest value. min over (-n, value)
-    # combines on the map side, so a column of many values needs no sort.
-    top = F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("k"), "value")))
+    # Ties of the top count go to the smallest value. The minimum of
+    # (-n, value) combines on the map side, so no column is ever sorted.
     return counts.groupBy("column_name").agg(
-        F.count("value").alias("distinct_values"),
-        F.countDistinct(n).alias("distinct_frequencies"),
-        top.alias("top"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
-    ).select("column_name", "distinct_values", "distinct_frequencies",
-             F.col("top.value").alias("top_value"),
-             F.coalesce(-F.col("top.k"), F.lit(0)).alias("top_count"), "missing")
+        F.expr("count(value) AS distinct_values"),
+        F.expr("count(DISTINCT if(value IS NOT NULL, n, NULL)) AS distinct_frequencies"),
+        F.expr("min(struct(-n AS k, value)) FILTER (WHERE value IS NOT NULL) AS top"),
+        F.expr("coalesce(sum(n) FILTER (WHERE value IS NULL), 0) AS missing"),
+    ).selectExpr("column_name", "distinct_values", "distinct_frequencies",
+                 "top.value AS top_value", "coalesce(-top.k, 0) AS top_count", "missing")
 
 
 def _wide_counts(df: DataFrame) -> DataFrame:
     """One pass: per column a struct of null and non-null counts, turned long."""
-    cells = [F.struct(F.lit(c).alias("column_name"),
-                      F.count_if(F.col(c).isNull()).alias("missing"),
-                      F.count(F.col(c)).alias("present")) for c in df.columns]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    cells = ", ".join(
+        f"named_struct('column_name', {quote(c)}, 'missing', count_if({c} IS NULL), "
+        f"'present', count({c}))" for c in df.columns)
+    return df.agg(F.expr(f"array({cells}) AS cells")).selectExpr("inline(cells)")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -95,10 +89,9 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def null_ratios(df: DataFrame) -> DataFrame:
     """Missing over present values; NULL for a column that is all missing."""
-    return _wide_counts(df).select(
+    return _wide_counts(df).selectExpr(
         "column_name", "missing", "present",
-        F.round(F.try_divide(F.col("missing").cast("double"), F.col("present").cast("double")), 6)
-        .alias("null_ratio"))
+        "round(try_divide(cast(missing AS double), cast(present AS double)), 6) AS null_ratio")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -107,35 +100,32 @@ def column_profile(df: DataFrame) -> DataFrame:
                            for v in (f.name, f.dataType.simpleString())])
     counts = (unpivot_text(df, [], df.columns, "column_name", "value")
               .groupBy("column_name").agg(F.countDistinct("value").alias("distinct_values"),
-                                          F.count_if(F.col("value").isNull()).alias("missing")))
+                                          F.expr("count_if(value IS NULL) AS missing")))
     return counts.withColumn("data_type", types[F.col("column_name")])
 
 
 def default_analysis(df: DataFrame) -> DataFrame:
-    return df.agg(F.round(F.avg(F.col(FLAG).cast("double")), 6).alias("default_rate"),
-                  F.sum(F.col(FLAG).cast("bigint")).alias("default_count"),
-                  F.count_if(F.col(FLAG) == 0).alias("non_default_count"))
+    return df.agg(F.expr(f"round(avg(cast({FLAG} AS double)), 6) AS default_rate"),
+                  F.expr(f"sum(cast({FLAG} AS bigint)) AS default_count"),
+                  F.expr(f"count_if({FLAG} = 0) AS non_default_count"))
 
 
 def describe(df: DataFrame, probs: list[float], rows: int,
              columns: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, percentiles (linear) and max per numeric column."""
     columns = columns or numeric_columns(df)
-    x = F.col("x")
-    summary = _sum_up(df, columns, [
-        F.count(x).alias("count"), F.round(F.avg(x), 4).alias("mean"),
-        F.round(F.stddev_samp(x), 4).alias("std"),
-        F.round(F.min(x), 4).alias("min"), F.round(F.max(x), 4).alias("max")])
+    summary = _sum_up(
+        df, columns, "count(x) AS count", "round(avg(x), 4) AS mean",
+        "round(stddev_samp(x), 4) AS std", "round(min(x), 4) AS min", "round(max(x), 4) AS max")
     names = {f"p{p * 100:g}": p for p in probs}
     return with_quantiles(summary, df, columns, names, rows)
 
 
 def snapshot(df: DataFrame, metrics: list[str], rows: int) -> DataFrame:
     """Best, average, median and worst case per metric, with the sample size."""
-    x = F.col("x")
-    summary = _sum_up(df, metrics, [
-        F.round(F.min(x), 4).alias("best_case"), F.round(F.avg(x), 4).alias("average"),
-        F.round(F.max(x), 4).alias("worst_case"), F.count("*").alias("sample_size")])
+    summary = _sum_up(
+        df, metrics, "round(min(x), 4) AS best_case", "round(avg(x), 4) AS average",
+        "round(max(x), 4) AS worst_case", "count(*) AS sample_size")
     return with_quantiles(summary, df, metrics, {"median": 0.5}, rows)
 
 
@@ -150,8 +140,9 @@ def value_counts(df: DataFrame, columns: list[str], keep_null: bool = True) -> D
 
 def with_share(counts: DataFrame, n: str = "n", digits: int = 4) -> DataFrame:
     """Percent of the total, for a result of a few rows."""
-    total = F.sum(n).over(Window.partitionBy())
-    return counts.withColumn("percent", F.round(F.col(n) * 100.0 / total, digits))
+    return (counts.withColumn("_total", F.sum(n).over(Window.partitionBy()))
+            .withColumn("percent", F.expr(f"round({n} * 100D / _total, {digits})"))
+            .drop("_total"))
 
 
 def segment_distribution(df: DataFrame) -> DataFrame:
@@ -162,8 +153,8 @@ def default_rate_by(df: DataFrame, dims: list[str]) -> DataFrame:
     """Mean, sum and count of the default flag per value of several dimensions, one pass."""
     return (unpivot_text(df, [FLAG], dims, "dimension", "value").where("value IS NOT NULL")
             .groupBy("dimension", "value")
-            .agg(F.round(F.avg(F.col(FLAG).cast("double")), 6).alias("default_rate"),
-                 F.sum(F.col(FLAG).cast("bigint")).alias("defaults"),
+            .agg(F.expr(f"round(avg(cast({FLAG} AS double)), 6) AS default_rate"),
+                 F.expr(f"sum(cast({FLAG} AS bigint)) AS defaults"),
                  F.count("*").alias("customers"))
             .orderBy("dimension", F.desc("default_rate"), "value"))
 
@@ -173,14 +164,15 @@ def rate_against_overall(df: DataFrame, dim: str) -> DataFrame:
 
     The overall rate comes from the per-value sums, not from a second scan.
     """
-    groups = df.groupBy(F.col(dim).alias("value")).agg(
-        F.sum(F.col(FLAG).cast("bigint")).alias("defaults"), F.count(FLAG).alias("customers"))
     everyone = Window.partitionBy()
-    overall = F.sum("defaults").over(everyone) / F.sum("customers").over(everyone)
-    return (groups.select("value", F.round(F.col("defaults") / F.col("customers"), 6)
-                          .alias("default_rate"), "customers",
-                          F.round(overall, 6).alias("overall_rate"))
-            .where("value IS NOT NULL"))
+    return (df.groupBy(F.col(dim).alias("value"))
+            .agg(F.expr(f"sum(cast({FLAG} AS bigint)) AS defaults"),
+                 F.count(FLAG).alias("customers"))
+            .withColumn("all_defaults", F.sum("defaults").over(everyone))
+            .withColumn("all_customers", F.sum("customers").over(everyone))
+            .where("value IS NOT NULL")
+            .selectExpr("value", "round(defaults / customers, 6) AS default_rate", "customers",
+                        "round(all_defaults / all_customers, 6) AS overall_rate"))
 
 
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -193,35 +185,34 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     cells = []
     for i, a in enumerate(columns):
         for b in columns[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x = F.when(both, F.col(a).cast("double"))
-            y = F.when(both, F.col(b).cast("double"))
-            r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-            cells.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                  F.round(r, 6).alias("r")))
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+            both = f"FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            r = (f"try_divide(covar_pop({a}, {b}) {both}, "
+                 f"stddev_pop({a}) {both} * stddev_pop({b}) {both})")
+            cells.append(f"named_struct('column_a', {quote(a)}, 'column_b', {quote(b)}, "
+                         f"'r', round({r}, 6))")
+    return df.agg(F.expr(f"array({', '.join(cells)}) AS cells")).selectExpr("inline(cells)")
 
 
 def revenue_share(df: DataFrame) -> DataFrame:
     """Revenue per cohort and its share of the total, largest first."""
-    amount = (F.col("total_loan_amount") - F.col("total_amount_overdue")).cast("decimal(28,4)")
-    by_segment = df.groupBy("segment").agg(F.sum(amount).alias("revenue"))
-    share = F.col("revenue").cast("double") / F.sum("revenue").over(
-        Window.partitionBy()).cast("double") * 100
-    return (by_segment.select("segment", F.round(F.col("revenue").cast("double"), 2)
-                              .alias("total_revenue"), F.bround(share, 1).alias("revenue_share"))
+    amount = "cast(total_loan_amount - total_amount_overdue AS decimal(28,4))"
+    return (df.groupBy("segment").agg(F.expr(f"sum({amount}) AS revenue"))
+            .withColumn("total", F.sum("revenue").over(Window.partitionBy()))
+            .selectExpr("segment", "round(cast(revenue AS double), 2) AS total_revenue",
+                        "bround(cast(revenue AS double) / cast(total AS double) * 100, 1) "
+                        "AS revenue_share")
             .orderBy(F.desc("total_revenue")))
 
 
 def key_check(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("distinct_keys"),
                   F.min(key).alias("min_key"), F.max(key).alias("max_key")).withColumn(
-        "is_unique", F.col("rows") == F.col("distinct_keys"))
+        "is_unique", F.expr("rows = distinct_keys"))
 
 
 def top_states(df: DataFrame, n: int = 10) -> DataFrame:
     return (df.where("state IS NOT NULL").groupBy("state")
-            .agg(F.round(F.avg(F.col(FLAG).cast("double")), 6).alias("default_rate"))
+            .agg(F.expr(f"round(avg(cast({FLAG} AS double)), 6) AS default_rate"))
             .orderBy(F.desc("default_rate"), "state").limit(n))
 
 
@@ -235,5 +226,4 @@ def sample_rows(df: DataFrame, n: int = 5, key: str = "customer_id") -> DataFram
 
 
 def missing_income(df: DataFrame) -> DataFrame:
-    return df.where(F.col("income").isNull() | (F.col("income") == 0)).select(
-        "customer_id", "income")
+    return df.where("income IS NULL OR income = 0").select("customer_id", "income")

@@ -2,55 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from cohortlens.functions.columns import clip, finite, one_if_zero
+from cohortlens.functions.columns import (
+    clip_or_null, finite, number, one_if_zero, with_exprs)
 from cohortlens.functions.ranks import medians
 from cohortlens.operators.quality import FEATURE_FIELDS, require_columns
 
 # Fixed value: keeps the denominators away from zero.
-EPSILON = 1e-6
+EPSILON = "1e-6D"
 
 
-def _ratio(top: str, bottom: Column) -> Column:
-    return F.try_divide(F.col(top).cast("double"), bottom.cast("double") + F.lit(EPSILON))
+def ratio(top: str, bottom: str) -> str:
+    return f"try_divide(cast({top} AS double), cast({bottom} AS double) + {EPSILON})"
 
 
 def payment_features(df: DataFrame, guard_zero: bool = True, clipped: bool = True) -> DataFrame:
     """Missed payment ratio, overdue utilization, monthly volume, repayment efficiency."""
     require_columns(df)
-    tenor, loan = F.col("tenor_in_months"), F.col("total_loan_amount")
+    tenor, loan = "tenor_in_months", "total_loan_amount"
     if guard_zero:
         tenor, loan = one_if_zero(tenor), one_if_zero(loan)
-    missed = _ratio("total_missed_installment", tenor)
-    overdue = _ratio("total_amount_overdue", loan)
-    ontime = F.col("ontime_repayment_rate") / 100
+    missed = ratio("total_missed_installment", tenor)
+    overdue = ratio("total_amount_overdue", loan)
+    ontime = "ontime_repayment_rate / 100"
     if clipped:
-        missed, overdue = clip(missed, high=10.0), clip(overdue, high=1.0)
-        ontime = clip(ontime, 0.0, 1.0)
-    return df.withColumns({
+        missed, overdue = clip_or_null(missed, high="10D"), clip_or_null(overdue, high="1D")
+        ontime = clip_or_null(ontime, "0D", "1D")
+    return with_exprs(df, {
         "missed_payment_ratio": missed,
         "overdue_utilization": overdue,
-        "monthly_loan_volume": _ratio("total_loan_amount", tenor),
+        "monthly_loan_volume": ratio("total_loan_amount", tenor),
         "repayment_efficiency": ontime,
     })
 
 
 def fill_feature_gaps(df: DataFrame, rows: int) -> DataFrame:
     """Non-finite features become the column's median; one extra pass only if any exist."""
-    usable = df.withColumns({c: finite(F.col(c)) for c in FEATURE_FIELDS})
-    gaps = usable.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in FEATURE_FIELDS]).first()
+    usable = with_exprs(df, {c: finite(c) for c in FEATURE_FIELDS})
+    gaps = usable.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in FEATURE_FIELDS]).first()
     holes = [c for c in FEATURE_FIELDS if gaps[c]]
     if not holes:
         return usable
     middle = medians(usable, holes, rows)
-    return usable.withColumns({
-        c: F.coalesce(F.col(c), F.lit(middle[c]))
-        for c in holes if middle[c] is not None})
+    return with_exprs(usable, {c: f"coalesce({c}, {number(middle[c])})"
+                               for c in holes if middle[c] is not None})
 
 
-def revenue() -> Column:
-    return F.col("total_loan_amount") - F.col("total_amount_overdue")
+def with_revenue(df: DataFrame) -> DataFrame:
+    return with_exprs(df, {"revenue": "total_loan_amount - total_amount_overdue"})
 
 
 # Behaviour features that are scaled and averaged.
@@ -60,8 +60,10 @@ CLUSTER_FEATURES = ("count_14plus_dpd", "maturity_dpd", "missed_payment_ratio",
 
 def z_scores(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
     """Population z-scores; a constant column is only centred. One aggregate pass."""
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in columns],
-                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}_sd") for c in columns]).first()
-    return df.withColumns({
-        c: (F.col(c).cast("double") - F.lit(row[f"{c}_mean"])) / F.lit(row[f"{c}_sd"] or 1.0)
+    row = df.agg(*[F.expr(f"avg(cast({c} AS double)) AS {c}_mean") for c in columns],
+                 *[F.expr(f"stddev_pop(cast({c} AS double)) AS {c}_sd") for c in columns]).first()
+    if row[f"{columns[0]}_mean"] is None:
+        return df
+    return with_exprs(df, {
+        c: f"(cast({c} AS double) - {number(row[f'{c}_mean'])}) / {number(row[f'{c}_sd'] or 1.0)}"
         for c in columns})

@@ -7,33 +7,41 @@ number of cells, not customers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlens.config import (
     CohortConfig, DEFAULT, DEMOGRAPHICS, SEGMENTS, WIDE_PROFILE_COLUMNS)
-from cohortlens.functions.columns import combination_text
+from cohortlens.functions.columns import case, combination_text, number, quote
 from cohortlens.functions.staging import unpivot_text
 
 
-def lift(count: Column, total: Column, pop_count: Column, pop_total: Column,
-         epsilon: float = DEFAULT.lift_epsilon) -> tuple[Column, Column, Column]:
-    """(lift, observed, expected); a share of an empty total is 0."""
-    observed = F.coalesce(F.try_divide(count.cast("double"), total.cast("double")), F.lit(0.0))
-    expected = F.coalesce(F.try_divide(pop_count.cast("double"), pop_total.cast("double")),
-                          F.lit(0.0))
-    return observed / (expected + F.lit(epsilon)), observed, expected
+def _share(n: str, total: str) -> str:
+    return f"coalesce(try_divide(cast({n} AS double), cast({total} AS double)), 0D)"
 
 
-def segment_position(segment: Column) -> Column:
-    out = None
-    for i, name in enumerate(SEGMENTS):
-        out = F.when(segment == name, i) if out is None else out.when(segment == name, i)
-    return out
+def lift_columns(n: str = "n", total: str = "segment_size", pop_n: str = "pop_n",
+                 pop_total: str = "pop_size", epsilon: float = DEFAULT.lift_epsilon,
+                 names: tuple[str, str, str] = ("lift", "observed", "expected")) -> list[str]:
+    """SELECT items: smoothed lift, observed and expected share (0 for an empty total)."""
+    observed, expected = _share(n, total), _share(pop_n, pop_total)
+    return [f"{observed} / ({expected} + {number(epsilon)}) AS {names[0]}",
+            f"{observed} AS {names[1]}", f"{expected} AS {names[2]}"]
+
+
+PUBLISHED = ("odds_ratio", "observed_proportion", "expected_proportion")
+
+
+def segment_position(segment: str = "segment") -> str:
+    return case([(f"{segment} = {quote(s)}", str(i)) for i, s in enumerate(SEGMENTS)])
+
+
+def _segment_array() -> str:
+    return f"array({', '.join(map(quote, SEGMENTS))})"
 
 
 def demographic_cells(df: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
     """Customers per cohort and distinct demographic combination (map-side combined)."""
-    return (df.select("segment", *[F.col(c).cast("string").alias(c) for c in demographics])
+    return (df.selectExpr("segment", *[f"cast({c} AS string) AS {c}" for c in demographics])
             .groupBy("segment", *demographics).agg(F.count("*").alias("n")))
 
 
@@ -46,68 +54,56 @@ def crossed_counts(cells: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
 def cohort_sizes(cells: DataFrame) -> DataFrame:
     """At most one row per cohort: its size and the population size."""
     sizes = cells.groupBy("segment").agg(F.sum("n").alias("segment_size"))
-    return sizes.select("segment", "segment_size",
-                        F.sum("segment_size").over(Window.partitionBy()).alias("pop_size"))
+    return sizes.withColumn("pop_size", F.sum("segment_size").over(Window.partitionBy()))
 
 
 def item_counts(cells: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
     """(segment, demo, value): count, cohort size, population count and size."""
     long = unpivot_text(cells, ["segment", "n"], demographics)
-    per_segment = F.array(*[
-        F.struct(F.lit(s).alias("segment"),
-                 F.sum(F.when(F.col("segment") == s, F.col("n"))).alias("n"))
-        for s in SEGMENTS])
+    per_segment = ", ".join(
+        f"named_struct('segment', {quote(s)}, 'n', sum(n) FILTER (WHERE segment = {quote(s)}))"
+        for s in SEGMENTS)
     counts = (long.groupBy("demo", "value")
-              .agg(F.sum("n").alias("pop_n"), per_segment.alias("split"))
-              .select("demo", "value", "pop_n", F.explode("split").alias("part"))
-              .select("part.segment", "demo", "value", "part.n", "pop_n")
+              .agg(F.sum("n").alias("pop_n"), F.expr(f"array({per_segment})").alias("split"))
+              .selectExpr("demo", "value", "pop_n", "inline(split)")
               .where("n IS NOT NULL"))
     return (counts.join(F.broadcast(cohort_sizes(cells)), "segment")
             .select("segment", "demo", "value", "n", "segment_size", "pop_n", "pop_size"))
 
 
-def _demo_position(demographics) -> Column:
-    out = None
-    for i, name in enumerate(demographics):
-        hit = F.col("demo") == name
-        out = F.when(hit, i) if out is None else out.when(hit, i)
-    return out
-
-
 def qualifying_items(items: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Values whose lift reaches the threshold."""
-    value, observed, expected = lift(
-        F.col("n"), F.col("segment_size"), F.col("pop_n"), F.col("pop_size"),
-        config.lift_epsilon)
-    return (items.select("segment", "demo", "value", "n", "segment_size", "pop_n", "pop_size",
-                         value.alias("lift"), observed.alias("observed"),
-                         expected.alias("expected"))
-            .where(F.col("lift") >= config.lift_threshold))
+    return items.selectExpr(
+        "segment", "demo", "value", "n", "segment_size", "pop_n", "pop_size",
+        *lift_columns(epsilon=config.lift_epsilon),
+    ).where(f"lift >= {number(config.lift_threshold)}")
 
 
 def ranked_items(items: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
     """Adds the demographic's position and the value's rank: count descending, then value."""
+    position = case([(f"demo = {quote(c)}", str(i)) for i, c in enumerate(demographics)])
     rank = F.row_number().over(
         Window.partitionBy("segment", "demo").orderBy(F.desc("n"), F.asc("value")))
-    return items.withColumn("rank", rank).withColumn("d", _demo_position(demographics))
+    return items.withColumn("rank", rank).withColumn("d", F.expr(position))
+
+
+def _covered(config: CohortConfig) -> str:
+    return f"n / segment_size >= {number(config.coverage_threshold)}"
 
 
-def _item_lists(qualifying: DataFrame, coverage: float, demographics) -> DataFrame:
-    """One row per cohort: map (demo position, value) -> rank of minable values.
+def _rank_maps(qualifying: DataFrame, config: CohortConfig, demographics) -> DataFrame:
+    """One row per cohort: map 'position:value' -> rank of the minable values.
 
     A value rarer than the coverage threshold cannot be part of a combination
     that reaches it, so at most 1 / coverage values per demographic remain and
     leaving the others out does not change the order of the rest.
     """
-    frequent = qualifying.where(
-        F.col("value").isNotNull() & (F.col("n") / F.col("segment_size") >= coverage))
-    return (ranked_items(frequent, demographics).groupBy("segment")
-            .agg(F.map_from_entries(F.collect_list(F.struct(
-                     F.struct(F.col("d").alias("d"), F.col("value").alias("value")).alias("key"),
-                     F.col("rank").alias("rank")))).alias("ranks"),
+    frequent = qualifying.where(f"value IS NOT NULL AND {_covered(config)}")
+    return (ranked_items(frequent, demographics).groupBy(F.col("segment").alias("target"))
+            .agg(F.expr("map_from_entries(collect_list(struct(concat(d, ':', value), rank)))")
+                 .alias("ranks"),
                  F.max("segment_size").alias("segment_size"),
-                 F.max("pop_size").alias("pop_size"))
-            .withColumnRenamed("segment", "target"))
+                 F.max("pop_size").alias("pop_size")))
 
 
 def combination_counts(cells: DataFrame, qualifying: DataFrame,
@@ -121,24 +117,20 @@ def combination_counts(cells: DataFrame, qualifying: DataFrame,
     """
     if config.coverage_threshold <= 0:
         raise ValueError("use full_size_combinations for a zero coverage threshold")
-    lists = _item_lists(qualifying, config.coverage_threshold, demographics)
-    items = F.array(*[
-        F.struct(F.lit(i).alias("d"),
-                 F.try_element_at(F.col("ranks"), F.struct(F.lit(i).alias("d"),
-                                                          F.col(c).alias("value"))).alias("rank"),
-                 F.lit(c).alias("demo"), F.col(c).alias("value"))
-        for i, c in enumerate(demographics)])
-    seen = (cells.withColumn("target", F.explode(F.array(*[F.lit(s) for s in SEGMENTS])))
-            .join(F.broadcast(lists), "target")
-            .select("target", "segment_size", "pop_size", "n",
-                    (F.col("segment") == F.col("target")).alias("own"),
-                    F.filter(items, lambda x: x["rank"].isNotNull()).alias("items"))
-            .where(F.size("items") >= 2))
-    subsets = (seen.withColumn("mask", F.explode(F.expr("sequence(1, shiftleft(1, size(items)) - 1)")))
-               .where(F.bit_count("mask") >= 2)
+    ranks = _rank_maps(qualifying, config, demographics)
+    items = ", ".join(
+        f"named_struct('d', {i}, 'rank', try_element_at(ranks, concat('{i}:', {c})), "
+        f"'demo', {quote(c)}, 'value', {c})" for i, c in enumerate(demographics))
+    seen = (cells.withColumn("target", F.expr(f"explode({_segment_array()})"))
+            .join(F.broadcast(ranks), "target")
+            .selectExpr("target", "segment_size", "pop_size", "n", "segment = target AS own",
+                        f"filter(array({items}), x -> x.rank IS NOT NULL) AS items")
+            .where("size(items) >= 2"))
+    subsets = (seen.withColumn("mask", F.expr("explode(sequence(1, shiftleft(1, size(items)) - 1))"))
+               .where("bit_count(mask) >= 2")
                .withColumn("combo", F.expr("filter(items, (x, i) -> getbit(mask, i) = 1)")))
     return (subsets.groupBy(F.col("target").alias("segment"), "combo")
-            .agg(F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).alias("n"),
+            .agg(F.expr("coalesce(sum(n) FILTER (WHERE own), 0) AS n"),
                  F.sum("n").alias("pop_n"),
                  F.max("segment_size").alias("segment_size"),
                  F.max("pop_size").alias("pop_size")))
@@ -150,40 +142,31 @@ def winning_combinations(counts: DataFrame, config: CohortConfig = DEFAULT) -> D
     For a fixed set of demographics every customer matches one combination, so
     at most 1 / coverage combinations per set pass: the windows stay small.
     """
-    covered = counts.where(
-        (F.col("n") > 0) & (F.col("n") / F.col("segment_size") >= config.coverage_threshold))
-    by_segment = Window.partitionBy("segment")
-    largest = covered.withColumn("size", F.size("combo")).withColumn(
-        "largest", F.max("size").over(by_segment)).where("size = largest")
-    order = F.struct(F.transform("combo", lambda i: i["d"]).alias("ds"),
-                     F.transform("combo", lambda i: i["rank"]).alias("ranks"))
-    value, observed, expected = lift(F.col("n"), F.col("segment_size"), F.col("pop_n"),
-                                     F.col("pop_size"), config.lift_epsilon)
-    return (largest.withColumn("order_key", order)
-            .withColumn("position", F.row_number().over(by_segment.orderBy("order_key")))
-            .select("segment", "position", "size", "combo", "n", "segment_size", "pop_n",
-                    "pop_size", value.alias("odds_ratio"),
-                    observed.alias("observed_proportion"),
-                    expected.alias("expected_proportion")))
+    mine = Window.partitionBy("segment")
+    largest = (counts.where(f"n > 0 AND {_covered(config)}")
+               .withColumn("size", F.size("combo"))
+               .withColumn("largest", F.max("size").over(mine)).where("size = largest"))
+    return (largest.withColumn("order_key", F.expr(
+                "struct(transform(combo, i -> i.d), transform(combo, i -> i.rank))"))
+            .withColumn("position", F.row_number().over(mine.orderBy("order_key")))
+            .selectExpr("segment", "position", "size", "combo", "n", "segment_size", "pop_n",
+                        "pop_size", *lift_columns(epsilon=config.lift_epsilon, names=PUBLISHED)))
 
 
 def top_combinations(winners: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     best = Window.partitionBy("segment").orderBy(
         F.desc("observed_proportion"), F.desc("odds_ratio"), F.asc("position"))
     return (winners.withColumn("place", F.row_number().over(best))
-            .where(F.col("place") <= config.max_combinations))
+            .where(f"place <= {config.max_combinations}"))
 
 
 def profile_table(top: DataFrame) -> DataFrame:
     """The eight published columns plus the place within the cohort."""
-    return top.select(
-        "segment",
-        F.concat(F.lit("C"), F.col("position").cast("string")).alias("combination_id"),
-        combination_text(F.col("combo")).alias("combination"),
-        "observed_proportion", "expected_proportion", "odds_ratio",
-        F.col("n").alias("count"),
-        F.col("observed_proportion").alias("coverage"),
-        "place")
+    return top.selectExpr(
+        "segment", "concat('C', position) AS combination_id",
+        f"{combination_text('combo')} AS combination",
+        "observed_proportion", "expected_proportion", "odds_ratio", "n AS count",
+        "observed_proportion AS coverage", "place")
 
 
 def segment_profiles(cells: DataFrame, config: CohortConfig = DEFAULT,
@@ -198,13 +181,10 @@ def wide_profile(decoded: DataFrame) -> DataFrame:
 
     Needs columns segment, place and text; at most a few rows per cohort.
     """
-    texts = []
-    for name, column in zip(SEGMENTS, WIDE_PROFILE_COLUMNS):
-        mine = F.when((F.col("segment") == name) & (F.col("text") != ""),
-                      F.struct("place", "text"))
-        ordered = F.transform(F.array_sort(F.collect_list(mine)), lambda p: p["text"])
-        texts.append(F.array_join(ordered, ", ").alias(column))
-    return decoded.agg(*texts)
+    return decoded.agg(*[
+        F.expr("array_join(transform(array_sort(collect_list(struct(place, text)) FILTER "
+               f"(WHERE segment = {quote(name)} AND text != '')), p -> p.text), ', ') AS {column}")
+        for name, column in zip(SEGMENTS, WIDE_PROFILE_COLUMNS)])
 
 
 def full_size_combinations(df: DataFrame, population: DataFrame, population_items: DataFrame,
@@ -224,91 +204,84 @@ def full_size_combinations(df: DataFrame, population: DataFrame, population_item
     """
     cells = demographic_cells(df, demographics)
     counts = item_counts(cells, demographics).drop("pop_n", "pop_size")
-    joined = (counts.join(population_items, ["demo", "value"], "left")
-              .withColumn("pop_n", F.coalesce("pop_n", F.lit(0)))
-              .withColumn("pop_size", F.lit(population.count()).cast("bigint")))
-    qualifying = ranked_items(qualifying_items(joined, config), demographics)
-    return _best_products(cells, demographic_cells(population, demographics), qualifying,
-                          config, demographics)
-
-
-def _best_products(cells: DataFrame, pop_cells: DataFrame, qualifying: DataFrame,
-                   config: CohortConfig, demographics) -> DataFrame:
-    keep = config.max_combinations
-    rows = qualifying.select("segment", "d", "demo", "value", "rank", "segment_size",
-                             "pop_size")
-    # Radix of each demographic: how many positions one step of its rank spans.
-    widths = rows.groupBy("segment", "d").agg(F.max("rank").alias("width"))
-    after = Window.partitionBy("segment").orderBy(F.desc("d")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    radix = widths.withColumn(
-        "step", F.coalesce(F.product("width").over(after), F.lit(1.0)).cast("bigint"))
-    shape = radix.groupBy("segment").agg(
-        F.count("*").alias("size"),
-        F.max(F.col("step") * F.col("width")).alias("products"))
-    ordered = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    # Cohorts with fewer than two qualifying demographics are skipped; ids run on.
-    offsets = (shape.where("size >= 2").withColumn("at", segment_position(F.col("segment")))
-               .withColumn("offset", F.coalesce(F.sum("products").over(ordered), F.lit(0)))
-               .select("segment", "size", "products", "offset"))
-    placed = (rows.join(radix.select("segment", "d", "step"), ["segment", "d"])
-              .join(offsets, "segment"))
-    lists = placed.groupBy(F.col("segment").alias("target")).agg(
-        F.map_from_entries(F.collect_list(F.struct(
-            F.struct(F.col("d").alias("d"), F.col("value").alias("value")).alias("key"),
-            ((F.col("rank") - 1) * F.col("step")).alias("part")))).alias("parts"),
-        F.array_sort(F.collect_list(F.struct("d", "rank", "step", "demo", "value")))
-        .alias("catalog"),
-        F.max("size").alias("size"), F.max("products").alias("products"),
-        F.max("offset").alias("offset"), F.max("segment_size").alias("segment_size"),
-        F.max("pop_size").alias("pop_size"))
-
-    def product_positions(c: DataFrame) -> DataFrame:
-        parts = F.array_compact(F.array(*[
-            F.when(F.col(name).isNotNull(), F.try_element_at(
-                F.col("parts"), F.struct(F.lit(i).alias("d"), F.col(name).alias("value"))))
-            for i, name in enumerate(demographics)]))
-        return (c.withColumn("target", F.explode(F.array(*[F.lit(s) for s in SEGMENTS])))
-                .join(lists.select("target", "parts", "size"), "target")
-                .withColumn("hit", parts).where(F.size("hit") == F.col("size"))
-                .withColumn("index", F.aggregate("hit", F.lit(0).cast("bigint"),
-                                                 lambda a, b: a + b)))
-
-    matched = (product_positions(cells).where("segment = target")
-               .groupBy("target", "index").agg(F.sum("n").alias("n")))
-    pop_matched = (product_positions(pop_cells)
-                   .groupBy("target", "index").agg(F.sum("n").alias("pop_n")))
-    # Unmatched positions can only be needed among the first few of a cohort.
-    first = lists.select(
-        "target", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                       F.least(F.col("products") - 1,
-                                               F.lit(2 * keep - 1)))).alias("index"))
+    total = population.count()
+    sized = counts.join(population_items, ["demo", "value"], "left").selectExpr(
+        "segment", "demo", "value", "n", "segment_size", "coalesce(pop_n, 0) AS pop_n",
+        f"cast({total} AS bigint) AS pop_size")
+    qualifying = ranked_items(qualifying_items(sized, config), demographics)
+    pop_cells = demographic_cells(population, demographics)
+
+    shapes = _product_shapes(qualifying)
+    here = _product_positions(cells, shapes, demographics).where("segment = target")
+    everywhere = _product_positions(pop_cells, shapes, demographics)
+    matched = here.groupBy("target", "index").agg(F.sum("n").alias("n"))
+    pop_matched = everywhere.groupBy("target", "index").agg(F.sum("n").alias("pop_n"))
+    # With fewer matches than places, the unmatched ones that can be needed
+    # are among the first few positions.
+    first = shapes.selectExpr(
+        "target", f"explode(sequence(0L, least(products, {2 * config.max_combinations}) - 1)) "
+        "AS index")
     candidates = (first.join(matched, ["target", "index"], "full")
                   .join(pop_matched, ["target", "index"], "left")
-                  .join(lists.drop("parts"), "target"))
-    value, observed, expected = lift(
-        F.coalesce("n", F.lit(0)), F.col("segment_size"), F.coalesce("pop_n", F.lit(0)),
-        F.col("pop_size"), config.lift_epsilon)
-    scored = candidates.select(
-        F.col("target").alias("segment"), "index", "size", "catalog",
-        (F.col("offset") + F.col("index") + 1).alias("position"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-        F.bround(observed, 4).alias("observed_proportion"),
-        F.bround(expected, 4).alias("expected_proportion"),
-        F.bround(value, 3).alias("odds_ratio"),
-        observed.alias("coverage"))
+                  .join(shapes.drop("parts"), "target")
+                  .na.fill(0, ["n", "pop_n"])
+                  .selectExpr("target AS segment", "index", "size", "catalog", "n",
+                              "offset + index + 1 AS position",
+                              *lift_columns(epsilon=config.lift_epsilon)))
+    scored = candidates.selectExpr(
+        "segment", "index", "size", "catalog", "n", "position", "observed AS coverage",
+        "bround(observed, 4) AS observed_proportion",
+        "bround(expected, 4) AS expected_proportion", "bround(lift, 3) AS odds_ratio")
     best = Window.partitionBy("segment").orderBy(
         F.desc("observed_proportion"), F.desc("odds_ratio"), F.asc("index"))
-    top = scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
-    decoded = F.expr(
-        "filter(catalog, i -> (index div i.step) % "
-        "aggregate(filter(catalog, j -> j.d = i.d), 0, (a, j) -> greatest(a, j.rank)) "
-        "= i.rank - 1)")
-    text = F.transform(decoded, lambda i: F.struct(
-        i["demo"].alias("demo"), F.coalesce(i["value"], F.lit("nan")).alias("value")))
-    return top.select(
-        "segment", "size", F.concat(F.lit("C"), F.col("position").cast("string"))
-        .alias("combination_id"),
-        combination_text(text).alias("combination"),
-        "observed_proportion", "expected_proportion", "odds_ratio",
-        F.col("n").alias("count"), "coverage", "place")
+    top = (scored.withColumn("place", F.row_number().over(best))
+           .where(f"place <= {config.max_combinations}"))
+    # The rank of each demographic is one digit of the index in mixed radix.
+    chosen = ("filter(catalog, x -> (index div x.step) % x.width = x.rank - 1)")
+    text = combination_text(f"transform({chosen}, x -> named_struct('demo', x.demo, 'value', "
+                            "coalesce(x.value, 'nan')))")
+    return top.selectExpr(
+        "segment", "size", "concat('C', position) AS combination_id", f"{text} AS combination",
+        "observed_proportion", "expected_proportion", "odds_ratio", "n AS count", "coverage",
+        "place")
+
+
+def _product_shapes(qualifying: DataFrame) -> DataFrame:
+    """One row per cohort with two or more qualifying demographics.
+
+    Holds the radix of every demographic, the number of products, the running
+    id offset over the cohorts before it, and a map 'position:value' -> the
+    value's contribution to the product index.
+    """
+    later = Window.partitionBy("segment").orderBy(F.desc("d")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    digits = (qualifying.groupBy("segment", "d").agg(F.max("rank").alias("width"))
+              .withColumn("step", F.coalesce(F.product("width").over(later), F.lit(1.0)))
+              .selectExpr("segment", "d", "width", "cast(step AS bigint) AS step"))
+    # One row per cohort in the next two steps.
+    earlier = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (digits.groupBy("segment")
+             .agg(F.expr("cast(count(*) AS int) AS size"), F.expr("max(step * width) AS products"))
+             .where("size >= 2").withColumn("at", F.expr(segment_position()))
+             .withColumn("offset", F.coalesce(F.sum("products").over(earlier), F.lit(0))))
+    return (qualifying.join(digits, ["segment", "d"]).join(sizes, "segment")
+            .groupBy(F.col("segment").alias("target"))
+            .agg(F.expr("map_from_entries(collect_list(struct(concat(d, ':', value), "
+                        "(rank - 1) * step)) FILTER (WHERE value IS NOT NULL)) AS parts"),
+                 F.expr("array_sort(collect_list(struct(d, rank, step, width, demo, value))) "
+                        "AS catalog"),
+                 *[F.max(c).alias(c) for c in (
+                     "size", "products", "offset", "segment_size", "pop_size")]))
+
+
+def _product_positions(cells: DataFrame, shapes: DataFrame, demographics) -> DataFrame:
+    """Cells that match a product of a cohort, with the product's index."""
+    parts = ", ".join(f"try_element_at(parts, concat('{i}:', {c}))"
+                      for i, c in enumerate(demographics))
+    return (cells.withColumn("target", F.expr(f"explode({_segment_array()})"))
+            .join(shapes.select("target", "parts", "size"), "target")
+            .selectExpr("segment", "target", "n", "size",
+                        f"array_compact(array({parts})) AS hits")
+            .where("size(hits) = size")
+            .selectExpr("segment", "target", "n",
+                        "aggregate(hits, 0L, (a, b) -> a + b) AS index"))

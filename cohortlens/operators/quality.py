@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.config import CohortConfig, DEFAULT, SEGMENTS
-from cohortlens.functions.columns import title, to_number
+from cohortlens.functions.columns import quote, title, to_number, with_exprs
 from cohortlens.operators.customer_table import CUSTOMER_COLUMNS
 
 INTEGER_FIELDS = ("customer_id", "loan_count", "maturity_dpd", "total_missed_installment",
@@ -29,34 +29,32 @@ GENDERS = ("Male", "Female", "Other", "Unknown")
 
 @dataclass(frozen=True)
 class Rule:
-    """A row passes if `holds` is true; NULL counts as broken."""
+    """A row passes if `holds` (SQL) is true; NULL counts as broken."""
 
     name: str
-    holds: Column
+    holds: str
 
 
 def _at_least(c: str, low: float) -> Rule:
-    return Rule(f"{c}_at_least_{low:g}", F.col(c) >= low)
+    return Rule(f"{c}_at_least_{low:g}", f"{c} >= {low}")
 
 
 def _above(c: str, low: float) -> Rule:
-    return Rule(f"{c}_above_{low:g}", F.col(c) > low)
+    return Rule(f"{c}_above_{low:g}", f"{c} > {low}")
 
 
 def _between(c: str, low: float, high: float) -> Rule:
-    return Rule(f"{c}_in_{low:g}_{high:g}", F.col(c).between(low, high))
+    return Rule(f"{c}_in_{low:g}_{high:g}", f"{c} BETWEEN {low} AND {high}")
 
 
 def _whole(c: str) -> Rule:
-    x = F.col(c).cast("double")
-    return Rule(f"{c}_is_whole", x == F.floor(x).cast("double"))
+    return Rule(f"{c}_is_whole", f"cast({c} AS double) = rint(cast({c} AS double))")
 
 
 def raw_rules(df: DataFrame) -> list[Rule]:
     """The 19-column contract. Whole-number checks only where the type allows fractions."""
-    fractional = {f.name for f in df.schema.fields
-                  if f.dataType.simpleString() in ("double", "float", "string")
-                  or f.dataType.simpleString().startswith("decimal")}
+    fractional = {name for name, kind in df.dtypes
+                  if kind in ("double", "float", "string") or kind.startswith("decimal")}
     return [
         _above("customer_id", 0),
         _at_least("loan_count", 0),
@@ -74,52 +72,51 @@ def raw_rules(df: DataFrame) -> list[Rule]:
     ]
 
 
-def processed_rules(df: DataFrame, config: CohortConfig = DEFAULT) -> list[Rule]:
-    """Raw contract plus ratio bounds and cohort names, for the columns present."""
-    rules = raw_rules(df)
-    for c in RATIO_FIELDS:
-        if c not in df.columns or (config.keep_overdrawn_ratios and c == "missed_payment_ratio"):
-            continue
-        rules.append(Rule(f"{c}_in_0_1", F.col(c).isNull() | F.col(c).between(0, 1)))
+def derived_rules(df: DataFrame, config: CohortConfig = DEFAULT) -> list[Rule]:
+    """Ratio bounds and cohort names, for the columns present. NULL is allowed."""
+    rules = [Rule(f"{c}_in_0_1", f"{c} IS NULL OR {c} BETWEEN 0 AND 1")
+             for c in RATIO_FIELDS if c in df.columns
+             and not (config.keep_overdrawn_ratios and c == "missed_payment_ratio")]
     if "segment" in df.columns:
-        rules.append(Rule("segment_known",
-                          F.col("segment").isNull() | F.col("segment").isin(*SEGMENTS)))
+        names = ", ".join(map(quote, SEGMENTS))
+        rules.append(Rule("segment_known", f"segment IS NULL OR segment IN ({names})"))
     return rules
 
 
 def coerce_record(df: DataFrame, keep_gender: bool = False) -> DataFrame:
     """Field coercions of the contract: tenor, optional texts, gender names."""
-    name = title(F.col("gender").cast("string"))
-    gender = F.when(name.isin(*GENDERS), name).otherwise(F.lit("Unknown"))
-    changes = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in OPTIONAL_TEXT_FIELDS}
-    changes["tenor_in_months"] = F.coalesce(to_number(F.col("tenor_in_months")), F.lit(1.0))
+    name = title("cast(gender AS string)")
+    names = ", ".join(map(quote, GENDERS))
+    changes = {c: f"coalesce(cast({c} AS string), '')" for c in OPTIONAL_TEXT_FIELDS}
+    changes["tenor_in_months"] = f"coalesce({to_number('tenor_in_months')}, 1D)"
     if not keep_gender:
-        changes["gender"] = gender
-    return df.withColumns(changes)
+        changes["gender"] = f"if({name} IN ({names}), {name}, 'Unknown')"
+    else:
+        changes["gender"] = "cast(gender AS string)"
+    return with_exprs(df, changes)
 
 
 def with_errors(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds `errors`, the names of the broken rules."""
-    broken = [F.when(~F.coalesce(r.holds, F.lit(False)), F.lit(r.name)) for r in rules]
-    return df.withColumn("errors", F.array_compact(F.array(*broken)))
+    broken = [f"if(coalesce({r.holds}, false), NULL, {quote(r.name)})" for r in rules]
+    return df.withColumn("errors", F.expr(f"array_compact(array({', '.join(broken)}))"))
 
 
 def to_contract_types(df: DataFrame) -> DataFrame:
-    types = {c: F.col(c).cast("int" if c in SMALL_INTEGER_FIELDS else "bigint")
-             for c in INTEGER_FIELDS}
-    types.update({c: F.col(c).cast("double") for c in FLOAT_FIELDS})
-    return df.withColumns(types)
+    types = dict(df.dtypes)
+    wanted = {c: "int" if c in SMALL_INTEGER_FIELDS else "bigint" for c in INTEGER_FIELDS}
+    wanted.update({c: "double" for c in FLOAT_FIELDS})
+    return with_exprs(df, {c: f"cast({c} AS {t})" for c, t in wanted.items() if types[c] != t})
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
-    return to_contract_types(checked.where(F.size("errors") == 0).drop("errors"))
+    return to_contract_types(checked.where("size(errors) = 0").drop("errors"))
 
 
 def rejected_rows(checked: DataFrame) -> DataFrame:
     """Quarantine table: who failed and which rules broke."""
-    return (checked.where(F.size("errors") > 0)
-            .select("customer_id", F.size("errors").alias("n_errors"),
-                    F.array_join("errors", "; ").alias("error")))
+    return checked.where("size(errors) > 0").selectExpr(
+        "customer_id", "size(errors) AS n_errors", "array_join(errors, '; ') AS error")
 
 
 def check_raw(df: DataFrame) -> DataFrame:
@@ -127,25 +124,34 @@ def check_raw(df: DataFrame) -> DataFrame:
     return with_errors(coerced, raw_rules(coerced))
 
 
-def check_processed(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    """Contract check of coded rows, restricted to the contract's columns.
+def recode(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
+    """Coded rows in contract form: contract columns only, codes as text.
 
-    The coded gender is not a valid gender name, so it becomes 'Unknown' here
+    A coded gender is not a valid gender name, so it becomes 'Unknown' here
     unless the config keeps it.
     """
     kept = df.select(*[c for c in PROCESSED_COLUMNS if c in df.columns])
-    coerced = coerce_record(kept, keep_gender=config.keep_gender)
-    return with_errors(coerced, processed_rules(coerced, config))
+    return to_contract_types(coerce_record(kept, keep_gender=config.keep_gender))
+
+
+def check_derived(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
+    """Only the rules about derived columns, for rows that passed the raw contract."""
+    return with_errors(df, derived_rules(df, config))
+
+
+def check_processed(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
+    """Full contract of processed rows: raw rules again plus the derived ones."""
+    coded = recode(df, config)
+    return with_errors(coded, raw_rules(coded) + derived_rules(coded, config))
 
 
 def report(checked: DataFrame) -> DataFrame:
     """One row: total, valid, invalid and valid percent."""
-    return checked.agg(
-        F.count("*").alias("total_records"),
-        F.count_if(F.size("errors") == 0).alias("valid_records"),
-        F.count_if(F.size("errors") > 0).alias("invalid_records"),
-    ).withColumn("valid_percent", F.round(
-        F.try_divide(F.col("valid_records") * 100.0, F.col("total_records")), 4))
+    return checked.selectExpr("size(errors) = 0 AS ok").agg(
+        F.expr("count(*) AS total_records"),
+        F.expr("count_if(ok) AS valid_records"),
+        F.expr("count_if(NOT ok) AS invalid_records"),
+        F.expr("round(try_divide(count_if(ok) * 100D, count(*)), 4) AS valid_percent"))
 
 
 def errors_by_rule(checked: DataFrame) -> DataFrame:

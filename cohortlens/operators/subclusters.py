@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlens.config import DEMOGRAPHICS
-from cohortlens.functions.columns import row_mean
+from cohortlens.functions.columns import case, number, quote, row_mean
 from cohortlens.functions.ranks import ACCURACY, SMALL_ROWS, rank_values
 from cohortlens.functions.staging import unpivot_text
 from cohortlens.operators.features import CLUSTER_FEATURES
@@ -16,7 +16,8 @@ EXPECTED_SMOOTHING = 0.001
 
 
 def with_score(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
-    return df.withColumn("cluster_score", F.round(row_mean(list(columns)), 9))
+    """Mean of the features, rounded so that equal customers tie exactly."""
+    return df.withColumn("cluster_score", F.expr(f"round({row_mean(list(columns))}, 9)"))
 
 
 def _cut_points(scored: DataFrame, accuracy: int) -> dict[str, tuple[float, int | None]]:
@@ -36,8 +37,8 @@ def _cut_points(scored: DataFrame, accuracy: int) -> dict[str, tuple[float, int
         if wanted == middle.equal:
             cuts[segment] = (middle.value, None)
             continue
-        tied = scored.where((F.col("segment") == segment)
-                            & (F.col("cluster_score") == middle.value))
+        tied = scored.where(f"segment = {quote(segment)} "
+                            f"AND cluster_score = {number(middle.value)}")
         ids = rank_values(tied, "segment", "customer_id", [wanted / middle.equal],
                           lambda m, p, k=wanted: [k], accuracy)
         cuts[segment] = (middle.value, int(ids[segment][1][0][0].value))
@@ -54,27 +55,24 @@ def equal_split(df: DataFrame, rows: int, columns=CLUSTER_FEATURES,
     if rows <= small_rows:
         mine = Window.partitionBy("segment")
         place = F.row_number().over(mine.orderBy("cluster_score", "customer_id"))
-        n = F.count("*").over(mine)
-        return (scored.withColumn("_place", place).withColumn("_n", n)
-                .withColumn("sub_cluster", F.when(
-                    F.col("_n") >= MIN_SPLIT_ROWS,
-                    F.when(F.col("_place") <= F.floor(F.col("_n") / 2), 1).otherwise(2)))
+        return (scored.withColumn("_place", place).withColumn("_n", F.count("*").over(mine))
+                .withColumn("sub_cluster", F.expr(
+                    f"CASE WHEN _n >= {MIN_SPLIT_ROWS} THEN if(_place <= _n div 2, 1, 2) END"))
                 .drop("_place", "_n"))
-    label = None
+    halves = []
     for segment, (score, last_id) in _cut_points(scored, accuracy).items():
-        first = F.col("cluster_score") < score
-        tie = F.col("cluster_score") == score
-        first = first | (tie if last_id is None else tie & (F.col("customer_id") <= last_id))
-        mine = F.col("segment") == segment
-        half = F.when(first, 1).otherwise(2)
-        label = F.when(mine, half) if label is None else label.when(mine, half)
-    return scored.withColumn("sub_cluster", F.lit(None).cast("int") if label is None else label)
+        limit = number(score)
+        first = f"cluster_score <= {limit}" if last_id is None else (
+            f"cluster_score < {limit} OR cluster_score = {limit} AND customer_id <= {last_id}")
+        halves.append((f"segment = {quote(segment)}", f"if({first}, 1, 2)"))
+    label = case(halves) if halves else "cast(NULL AS int)"
+    return scored.withColumn("sub_cluster", F.expr(label))
 
 
 def behaviour(split: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
     """Mean features of every (cohort, sub-cluster)."""
     return split.groupBy("segment", "sub_cluster").agg(
-        *[F.round(F.avg(F.col(c).cast("double")), 2).alias(c) for c in columns])
+        *[F.expr(f"round(avg(cast({c} AS double)), 2) AS {c}") for c in columns])
 
 
 def population_counts(df: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
@@ -93,22 +91,22 @@ def group_counts(split: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
 def over_representation(split: DataFrame, population: DataFrame, population_rows: int,
                         demographics=DEMOGRAPHICS) -> DataFrame:
     """Observed and expected share and their ratio per group, demographic and value."""
-    sizes = split.groupBy("segment", "sub_cluster").agg(F.count("*").alias("group_n"))
-    # Null-safe: cohorts that are not split have a NULL sub_cluster. `sizes`
-    # has at most two rows per cohort.
-    g, s = group_counts(split, demographics).alias("g"), F.broadcast(sizes).alias("s")
-    joined = g.join(s, F.col("g.segment").eqNullSafe(F.col("s.segment"))
-                    & F.col("g.sub_cluster").eqNullSafe(F.col("s.sub_cluster"))).select(
-        "g.segment", "g.sub_cluster", "demo", "value", "n", "group_n")
-    joined = joined.join(population_counts(population, demographics), ["demo", "value"], "left")
-    observed = F.col("n") / F.col("group_n")
-    expected = F.coalesce("pop_n", F.lit(0)) / F.lit(population_rows)
-    return joined.select(
+    counts = group_counts(split, demographics)
+    # At most two rows per cohort. Cohorts that are not split have a NULL
+    # sub_cluster, hence the null-safe condition.
+    sizes = (split.groupBy("segment", "sub_cluster").agg(F.count("*").alias("group_n"))
+             .selectExpr("segment AS s", "sub_cluster AS c", "group_n"))
+    joined = (counts.join(F.broadcast(sizes), F.expr("segment <=> s AND sub_cluster <=> c"))
+              .join(population_counts(population, demographics), ["demo", "value"], "left"))
+    observed = "n / group_n"
+    expected = f"coalesce(pop_n, 0) / {population_rows}D"
+    return joined.selectExpr(
         "segment", "sub_cluster", "demo", "value",
-        F.bround(observed, 4).alias("observed_proportion"),
-        F.bround(expected, 4).alias("expected_proportion"),
-        F.bround(observed / (expected + EXPECTED_SMOOTHING), 2).alias("over_representation"),
-        F.col("n").alias("category_count"))
+        f"bround({observed}, 4) AS observed_proportion",
+        f"bround({expected}, 4) AS expected_proportion",
+        f"bround({observed} / ({expected} + {number(EXPECTED_SMOOTHING)}), 2) "
+        "AS over_representation",
+        "n AS category_count")
 
 
 def segment_rates(df: DataFrame, population: DataFrame, demographics=DEMOGRAPHICS) -> DataFrame:
@@ -116,7 +114,6 @@ def segment_rates(df: DataFrame, population: DataFrame, demographics=DEMOGRAPHIC
     mine = (unpivot_text(df, ["segment"], demographics).where("value IS NOT NULL")
             .groupBy("segment", "demo", "value").agg(F.count("*").alias("n")))
     joined = mine.join(population_counts(population, demographics), ["demo", "value"], "left")
-    return joined.select("segment", "demo", "value", "n",
-                         F.coalesce("pop_n", F.lit(0)).alias("pop_n"),
-                         F.round(F.col("n") / F.coalesce(F.col("pop_n").cast("double"),
-                                                        F.lit(0.001)), 6).alias("rate"))
+    return joined.selectExpr(
+        "segment", "demo", "value", "n", "coalesce(pop_n, 0) AS pop_n",
+        "round(n / coalesce(cast(pop_n AS double), 0.001D), 6) AS rate")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cohortlens.config import CODED_DEMOGRAPHICS, CohortConfig, DEFAULT, DEMOGRAPHICS
+from cohortlens.functions.columns import with_exprs
 from cohortlens.functions.staging import Stage, write_stage
 from cohortlens.operators import binning, cleaning, customer_table, encoding, features, scoring
 from cohortlens.sources.inputs import Inputs
@@ -16,7 +17,7 @@ FILLED = ("employment_status", "marital_status", "state", "location")
 
 def known_customers(raw: DataFrame) -> DataFrame:
     """Drops the gender 'Unknown' and rows without age, channel, income or gender."""
-    known = raw.where(F.col("gender").isNull() | (F.col("gender") != "Unknown"))
+    known = raw.where("gender IS NULL OR gender != 'Unknown'")
     return known.na.drop(subset=["age", "dw_channel_key", "income", "gender"])
 
 
@@ -35,15 +36,15 @@ class Exploration:
 
     @cached_property
     def bracketed(self) -> DataFrame:
-        return self.known.withColumn("income_bracket", binning.income_bracket(
-            F.col("income"), self.config, outside_first=False))
+        return with_exprs(self.known, {
+            "income_bracket": binning.income_bracket(self.config, outside_first=False)})
 
     @cached_property
     def adults(self) -> DataFrame:
         """Rows up to the maximum age, with the balanced age category."""
-        upto = self.bracketed.where(F.col("age") <= self.config.max_age)
+        upto = self.bracketed.where(f"age <= {self.config.max_age}")
         edges = binning.balanced_age_edges(upto, config=self.config)
-        return upto.withColumn("age_category", binning.balanced_age_category(F.col("age"), edges))
+        return with_exprs(upto, {"age_category": binning.balanced_age_category(edges)})
 
     @cached_property
     def coded(self) -> DataFrame:

@@ -1,20 +1,19 @@
 """The full run: inputs -> customers -> cohorts -> profiles -> tables.
 
 Steps are lazy DataFrames. Three results are written as stage tables because
-several later steps read them: the customer table (so the fact is scanned and
-shuffled once), the feature table (the value threshold and everything after
+several later steps read them: the checked customers (so the fact is scanned
+and shuffled once), the feature table (the value threshold and everything after
 read it) and the demographic cells.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortlens.config import CohortConfig, DEFAULT, SEGMENTS
-from cohortlens.functions.columns import percent_text
+from cohortlens.config import CohortConfig, DEFAULT
+from cohortlens.functions.columns import percent_text, quote
 from cohortlens.functions.staging import Stage, write_stage
 from cohortlens.operators import (
     binning, cleaning, customer_table, decode, encoding, explore, features, profiles, quality,
@@ -31,26 +30,25 @@ class CohortRun:
     # -- customers ---------------------------------------------------------
     @cached_property
     def raw(self) -> DataFrame:
-        """The 19-column customer table, not yet written."""
+        """The 19-column customer table as extracted."""
         return customer_table.customer_table(self.src, self.config)
 
     @cached_property
-    def raw_stage(self) -> Stage:
-        return write_stage(self.raw, "customers")
+    def checked(self) -> Stage:
+        """Pre-cleaned customers with the list of contract rules each one breaks.
 
-    @cached_property
-    def checked(self) -> DataFrame:
-        # The ratio cap dropped every row without an income, so the income
-        # median fill of `clean_income` has nothing to do here.
-        return quality.check_raw(cleaning.pre_clean(self.raw_stage.df))
+        The ratio cap of the extract keeps no row without an income, so the
+        income median of the pre-cleaning has nothing to fill here.
+        """
+        return write_stage(quality.check_raw(cleaning.pre_clean(self.raw)), "checked")
 
     @cached_property
     def valid(self) -> DataFrame:
-        return quality.valid_rows(self.checked)
+        return quality.valid_rows(self.checked.df)
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return quality.rejected_rows(self.checked)
+        return quality.rejected_rows(self.checked.df)
 
     # -- preprocessing -----------------------------------------------------
     @cached_property
@@ -76,7 +74,12 @@ class CohortRun:
 
     @cached_property
     def processed(self) -> DataFrame:
-        return quality.valid_rows(quality.check_processed(self.encoded, self.config))
+        """Coded rows in contract form.
+
+        Cleaning and binning only fill gaps and narrow ranges, so the raw rules
+        still hold and are not evaluated a second time.
+        """
+        return quality.recode(self.encoded, self.config)
 
     # -- features and cohorts ----------------------------------------------
     @cached_property
@@ -84,13 +87,11 @@ class CohortRun:
         # Valid tenors and amounts are positive: no feature can be missing.
         return features.payment_features(self.processed)
 
-    @cached_property
-    def survivors_checked(self) -> DataFrame:
-        return quality.check_processed(self.featured, self.config)
-
     @cached_property
     def survivors(self) -> Stage:
-        return write_stage(quality.valid_rows(self.survivors_checked), "features")
+        """Rows whose derived columns keep the contract."""
+        checked = quality.check_derived(self.featured, self.config)
+        return write_stage(checked.where("size(errors) = 0").drop("errors"), "features")
 
     @cached_property
     def segmented(self) -> DataFrame:
@@ -112,34 +113,35 @@ class CohortRun:
         return write_stage(self.profiles, "profiles")
 
     # -- results -----------------------------------------------------------
-    def summary(self, run_id: str, finished_at) -> DataFrame:
+    @cached_property
+    def sizes(self) -> DataFrame:
+        return self.cells.groupBy("segment").agg(F.sum("n").alias("customers"))
+
+    def summary(self, run_id: str, finished_at: str) -> DataFrame:
         """One row: run id, time, customers, distribution, number of profiles."""
-        pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("segment", "n"))))
-        head = (self.cells.groupBy("segment").agg(F.sum("n").alias("n"))
-                .agg(F.sum("n").alias("total_customers"), pairs.alias("distribution")))
-        n_profiles = self.profiles_stage.rows
-        return head.select(F.lit(run_id).alias("run_id"), finished_at.alias("finished_at"),
-                           "total_customers", "distribution",
-                           F.lit(n_profiles).cast("bigint").alias("profiles_generated"))
+        return self.sizes.agg(
+            F.expr("sum(customers) AS total_customers"),
+            F.expr("map_from_entries(array_sort(collect_list(struct(segment, customers)))) "
+                   "AS distribution"),
+        ).selectExpr(f"{quote(run_id)} AS run_id", f"{finished_at} AS finished_at",
+                     "total_customers", "distribution",
+                     f"cast({self.profiles_stage.rows} AS bigint) AS profiles_generated")
 
     def report(self) -> DataFrame:
         """Cohort sizes with their profiles, ready to print."""
-        sizes = explore.with_share(
-            self.cells.groupBy("segment").agg(F.sum("n").alias("customers")), "customers", 1)
-        return (sizes.join(self.profiles, "segment", "left")
-                .select("segment", F.format_number("customers", 0).alias("customers"),
-                        F.format_string("%.1f%%", "percent").alias("percent"),
-                        "place", "combination",
-                        F.when(F.col("coverage").isNotNull(), percent_text(F.col("coverage"), 1))
-                        .alias("coverage"),
-                        F.when(F.col("odds_ratio").isNotNull(), F.format_string(
-                            "%.2f", F.round("odds_ratio", 2))).alias("odds_ratio")))
+        sized = explore.with_share(self.sizes, "customers", 1)
+        return sized.join(self.profiles, "segment", "left").selectExpr(
+            "segment", "format_number(customers, 0) AS customers",
+            "format_string('%.1f%%', percent) AS percent", "place", "combination",
+            f"if(coverage IS NULL, NULL, {percent_text('coverage', 1)}) AS coverage",
+            "if(odds_ratio IS NULL, NULL, format_string('%.2f', round(odds_ratio, 2))) "
+            "AS odds_ratio")
 
     def wide_profile(self) -> DataFrame:
         decoded = decode.decode_with_codes(self.profiles_stage.df, self.codes)
         return profiles.wide_profile(decoded)
 
-    def save(self, root: str, run_id: str, finished_at) -> dict[str, str]:
+    def save(self, root: str, run_id: str, finished_at: str) -> dict[str, str]:
         """Write all results of the run under `root`."""
         paths = {name: f"{root}/{name}" for name in (
             "segmented", "profiles", "codes", "summary", "quarantine", "customer_segment",
@@ -154,8 +156,3 @@ class CohortRun:
         # Last, so that a summary row means the run is complete.
         sinks.append_run(self.summary(run_id, finished_at).drop("run_id"), paths["summary"], run_id)
         return paths
-
-
-@dataclass(frozen=True)
-class SegmentOrder:
-    names: tuple[str, ...] = SEGMENTS

@@ -6,78 +6,59 @@ from this fixed row-by-row mapping (FIXTURES.md, section 3).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.sources.inputs import Inputs
 
 
-def _choose(c, *labels):
-    out = F.when(c == 0, labels[0])
-    for i, label in enumerate(labels[1:], start=1):
-        out = out.when(c == i, label)
-    return out
-
-
 def loan_fact(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    returned = F.col("l_returnflag") == "R"
-    missed = F.when(
-        returned & (F.col("l_linestatus") == "O") & (F.col("l_discount") >= 0.08), 1).otherwise(0)
-    low_priority = F.col("o_orderpriority") == "5-LOW"
-    ship = F.col("l_shipdate")
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("dw_customer_key"),
-        F.col("l_orderkey").alias("loan_ref"),
-        F.col("o_orderdate").alias("disbursement_date"),
-        (F.year(ship) * 10000 + F.month(ship) * 100 + F.dayofmonth(ship)).alias("dw_date_key"),
-        F.when(low_priority & (F.col("o_orderstatus") == "F"), "ON2D")
-        .when(low_priority, "DTP").otherwise("TERM").alias("product_code"),
-        F.when(returned & (F.col("l_discount") >= 0.05), F.col("l_quantity").cast("int"))
-        .otherwise(0).alias("maturity_dpd"),
-        F.when((missed == 1) & (F.col("l_tax") >= 0.05), F.col("l_linenumber") + 14)
-        .otherwise(0).alias("installment_dpd"),
-        F.when(returned, price * F.col("l_discount").cast("decimal(4,2)"))
-        .otherwise(0).cast("decimal(18,4)").alias("total_amount_overdue"),
-        price.alias("total_loan_amount"),
-        missed.alias("total_missed_installment"),
-        F.col("l_linenumber").cast("double").alias("tenor_in_months"),
-        F.when(F.col("l_returnflag") == "A", F.col("l_discount") * 1000.0)
-        .otherwise(0.0).alias("ontime_repayment_rate"),
+    missed = ("l_returnflag = 'R' AND l_linestatus = 'O' AND l_discount >= 0.08D")
+    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(
+        "o_custkey AS dw_customer_key",
+        "l_orderkey AS loan_ref",
+        "o_orderdate AS disbursement_date",
+        "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS dw_date_key",
+        """CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'ON2D'
+                WHEN o_orderpriority = '5-LOW' THEN 'DTP' ELSE 'TERM' END AS product_code""",
+        """if(l_returnflag = 'R' AND l_discount >= 0.05D, cast(l_quantity AS int), 0)
+           AS maturity_dpd""",
+        f"if({missed} AND l_tax >= 0.05D, l_linenumber + 14, 0) AS installment_dpd",
+        """cast(if(l_returnflag = 'R',
+                   cast(l_extendedprice AS decimal(18,2)) * cast(l_discount AS decimal(4,2)), 0)
+                AS decimal(18,4)) AS total_amount_overdue""",
+        "cast(l_extendedprice AS decimal(18,2)) AS total_loan_amount",
+        f"if({missed}, 1, 0) AS total_missed_installment",
+        "cast(l_linenumber AS double) AS tenor_in_months",
+        "if(l_returnflag = 'A', l_discount * 1000D, 0D) AS ontime_repayment_rate",
     )
 
 
 def customer_dim(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    balance = F.col("c_acctbal")
-    return (customer
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                key.alias("dw_customer_key"),
-                (F.lit(16) + (key * 37) % 60).cast("int").alias("age"),
-                F.when(key % 10 <= 5, "male").when(key % 10 <= 8, " FEMALE ").alias("gender"),
-                _choose(F.col("c_nationkey") % 7, "Single", "Married", "Divorced", "Widowed",
-                        "Separated").alias("marital_status"),
-                F.col("n_name").alias("state"),
-                F.col("r_name").alias("location"),
-                F.lower("c_mktsegment").alias("purpose_of_loan"),
-                F.when(balance < 0, "UNEMPLOYED").when(balance < 4000, "EMPLOYED")
-                .when(balance < 8000, "SELF_EMPLOYED").alias("employment_status"),
-                F.when(key % 9 != 8, F.concat(F.lit("CH"), (key % 9).cast("string")))
-                .alias("dw_channel_key"),
-                F.when(F.col("c_mktsegment") == "MACHINERY", "Corporate")
-                .otherwise("Individual").alias("customer_category"),
-            ))
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    return customer.join(places, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey AS dw_customer_key",
+        "cast(16 + (c_custkey * 37) % 60 AS int) AS age",
+        """CASE WHEN c_custkey % 10 <= 5 THEN 'male' WHEN c_custkey % 10 <= 8 THEN ' FEMALE '
+           END AS gender""",
+        """CASE c_nationkey % 7 WHEN 0 THEN 'Single' WHEN 1 THEN 'Married' WHEN 2 THEN 'Divorced'
+           WHEN 3 THEN 'Widowed' WHEN 4 THEN 'Separated' END AS marital_status""",
+        "n_name AS state",
+        "r_name AS location",
+        "lower(c_mktsegment) AS purpose_of_loan",
+        """CASE WHEN c_acctbal < 0 THEN 'UNEMPLOYED' WHEN c_acctbal < 4000 THEN 'EMPLOYED'
+                WHEN c_acctbal < 8000 THEN 'SELF_EMPLOYED' END AS employment_status""",
+        "if(c_custkey % 9 != 8, concat('CH', c_custkey % 9), NULL) AS dw_channel_key",
+        "if(c_mktsegment = 'MACHINERY', 'Corporate', 'Individual') AS customer_category",
+    )
 
 
 def income_decision(orders: DataFrame) -> DataFrame:
-    key, price, status = F.col("o_custkey"), F.col("o_totalprice"), F.col("o_orderstatus")
-    return orders.select(
-        key.alias("user_client_id"),
-        F.when(status == "F", "Salary Advance").when(status == "O", "TURNOVER loan")
-        .when(status == "P", "Other").alias("offer_type"),
-        (price * (F.lit(1) + key % 5) / 2).alias("monthly_salary_l6m"),
-        (price * (F.lit(1) + key % 4)).alias("turnover_last6m_trim"),
+    return orders.selectExpr(
+        "o_custkey AS user_client_id",
+        """CASE o_orderstatus WHEN 'F' THEN 'Salary Advance' WHEN 'O' THEN 'TURNOVER loan'
+           WHEN 'P' THEN 'Other' END AS offer_type""",
+        "o_totalprice * (1 + o_custkey % 5) / 2 AS monthly_salary_l6m",
+        "o_totalprice * (1 + o_custkey % 4) AS turnover_last6m_trim",
     )
 
 

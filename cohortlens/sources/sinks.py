@@ -62,13 +62,11 @@ def latest_run(table: DataFrame, column: str = "run_id") -> DataFrame:
     return table.where(F.col(column).cast("string") == last.scalar())
 
 
-def segment_rows(segmented: DataFrame, updated_at) -> DataFrame:
-    """Target columns of the segment table."""
-    return segmented.select(
-        F.col("customer_id").cast("string").alias("customer_id"),
-        F.col("segment").alias("segment_assigned"),
-        recommendation(F.col("segment")).alias("recommendation"),
-        updated_at.alias("updated_at"))
+def segment_rows(segmented: DataFrame, updated_at: str) -> DataFrame:
+    """Target columns of the segment table; `updated_at` is SQL for a timestamp."""
+    return segmented.selectExpr(
+        "cast(customer_id AS string) AS customer_id", "segment AS segment_assigned",
+        f"{recommendation()} AS recommendation", f"{updated_at} AS updated_at")
 
 
 def last_per_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
