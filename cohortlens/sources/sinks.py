@@ -10,11 +10,16 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortlens.functions.columns import quote
 from cohortlens.functions.staging import new_path, stage_root
 from cohortlens.operators.scoring import recommendation
 
 FORMATS = ("parquet", "csv")
 
+# Keeps '', NULL and outer blanks apart on the way back.
+CSV_TEXT = {"escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False}
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: str | None = None, mode: str = "errorifexists") -> str:
@@ -23,9 +28,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         raise ValueError(f"unsupported format {fmt!r}, use one of {FORMATS}")
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        # Quoting all keeps '' and NULL apart on the way back.
-        writer = writer.option("header", True).option("escape", '"').option("nullValue", "\\N")
-        writer = writer.option("emptyValue", "")
+        writer = writer.options(header=True, **CSV_TEXT)
     else:
         writer = writer.option("compression", "snappy")
     if partition_by:
@@ -39,8 +42,7 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("nullValue", "\\N")
-        reader = reader.option("emptyValue", "")
+        reader = reader.options(header=True, **CSV_TEXT)
     return reader.load(path)
 
 
@@ -136,6 +138,20 @@ def jdbc_append(df: DataFrame, table: str, batch: int = 1000) -> None:
      .option("dbtable", table).option("batchsize", batch).save())
 
 
+def metadata(df: DataFrame, source: str, extracted_at: str, query_text: str) -> DataFrame:
+    """One row about an extract: size, columns, types, source, query hash, id range."""
+    kinds = ", ".join(f"{c}:{t}" for c, t in df.dtypes)
+    missing = " + ".join(f"count_if({c} IS NULL)" for c in df.columns)
+    return df.agg(
+        F.expr("count(*) AS record_count"), F.expr(f"{missing} AS missing_values"),
+        F.expr("min(customer_id) AS min_customer_id"),
+        F.expr("max(customer_id) AS max_customer_id"),
+    ).selectExpr(f"{extracted_at} AS extraction_timestamp", "record_count",
+                 f"{quote(','.join(df.columns))} AS columns", f"{quote(kinds)} AS column_types",
+                 f"{quote(source)} AS data_source", f"sha2({quote(query_text)}, 256) AS query_hash",
+                 "missing_values", "min_customer_id", "max_customer_id")
+
+
 def segment_counts(table: DataFrame) -> DataFrame:
     """Check after the write: rows per assigned segment, largest first."""
     return (table.groupBy("segment_assigned").agg(F.count("*").alias("customer_count"))
