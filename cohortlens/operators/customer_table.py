@@ -44,16 +44,40 @@ def per_customer(rows: DataFrame, *aggregates: str) -> DataFrame:
     return rows.groupBy(KEY).agg(*[F.expr(a) for a in aggregates])
 
 
-# Sums run over decimals and counts, so the result has the same bits whatever
-# the order of the tasks.
+# Sums run over integers, so the result has the same bits whatever the order
+# of the tasks: doubles are counted in 1e-4 (amounts) or 1e-6 (means) units,
+# decimals are exact as they are. The largest sum is 9.2e14; beyond it ANSI
+# mode stops the job instead of wrapping around.
+def _units(c: str, scale: int) -> str:
+    return f"cast(rint(nanvl(cast({c} AS double), NULL) * {scale}D) AS bigint)"
+
+
 def exact_mean(c: str, keep: str = "true") -> str:
-    x = f"cast({c} AS decimal(18,6))"
-    return (f"try_divide(cast(sum({x}) FILTER (WHERE {keep}) AS double), "
-            f"count({c}) FILTER (WHERE {keep})) AS {c}")
+    kept = f"FILTER (WHERE {keep})"
+    return (f"try_divide(cast(sum({_units(c, 1000000)}) {kept} AS double) / 1000000D, "
+            f"count(nanvl(cast({c} AS double), NULL)) {kept}) AS {c}")
+
+
+def exact_sum(fact: DataFrame, c: str, keep: str = "true") -> str:
+    kept = f"FILTER (WHERE {keep})"
+    if dict(fact.dtypes)[c].startswith("decimal"):
+        return f"cast(sum({c}) {kept} AS double) AS {c}"
+    return f"cast(sum({_units(c, 10000)}) {kept} AS double) / 10000D AS {c}"
+
+
+# The newest snapshot date and the highest dpd at it travel as one bigint:
+# date * 2^33 + dpd + 2^31 + 1, with 0 in the low part for a NULL dpd. A
+# struct would do, but makes Spark sort the fact instead of hashing it.
+PACKED_SNAPSHOT = ("cast(dw_date_key AS bigint) * 8589934592 "
+                   "+ coalesce(cast(maturity_dpd AS bigint) + 2147483649, 0)")
+
+
+def snapshot_date(packed: str) -> str:
+    return f"cast(floor({packed} / 8589934592BD) AS int)"
 
 
-def exact_sum(c: str, keep: str = "true") -> str:
-    return f"cast(sum({c}) FILTER (WHERE {keep}) AS double) AS {c}"
+def snapshot_dpd(packed: str) -> str:
+    return f"cast(nullif(pmod({packed}, 8589934592), 0) - 2147483649 AS int)"
 
 
 def latest_loan_flag(fact: DataFrame) -> DataFrame:
@@ -85,8 +109,8 @@ def latest_loan_rows(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFra
 def latest_snapshot_dpd(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Highest maturity_dpd at the customer's newest snapshot date."""
     dated = keep_included(fact, config).where("dw_date_key IS NOT NULL")
-    return per_customer(dated, "max(struct(dw_date_key, maturity_dpd)) AS top").selectExpr(
-        KEY, "top.dw_date_key AS latest_date_key", "top.maturity_dpd AS maturity_dpd")
+    return per_customer(dated, f"max({PACKED_SNAPSHOT}) AS top").selectExpr(
+        KEY, f"{snapshot_date('top')} AS latest_date_key", f"{snapshot_dpd('top')} AS maturity_dpd")
 
 
 def loan_counts(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
@@ -105,8 +129,8 @@ def dpd_flags(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
 
 def customer_sums(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     return per_customer(
-        keep_included(fact, config), exact_sum("total_amount_overdue"),
-        exact_sum("total_loan_amount"),
+        keep_included(fact, config), exact_sum(fact, "total_amount_overdue"),
+        exact_sum(fact, "total_loan_amount"),
         "sum(total_missed_installment) AS total_missed_installment",
         exact_mean("tenor_in_months"), exact_mean("ontime_repayment_rate"))
 
@@ -124,18 +148,17 @@ def customer_metrics(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFra
         "max(disbursement_date) AS newest",
         "max(disbursement_date) FILTER (WHERE keep) AS newest_included",
         "count(DISTINCT if(keep, loan_ref, NULL)) AS loan_count",
-        "max(struct(dw_date_key, maturity_dpd)) FILTER (WHERE keep AND dw_date_key IS NOT NULL)"
-        " AS top",
+        f"max({PACKED_SNAPSHOT}) FILTER (WHERE keep) AS top",
         f"max({late}) FILTER (WHERE keep) AS has_14plus_dpd",
         f"sum({late}) FILTER (WHERE keep) AS count_14plus_dpd",
-        exact_sum("total_amount_overdue", "keep"),
-        exact_sum("total_loan_amount", "keep"),
+        exact_sum(fact, "total_amount_overdue", "keep"),
+        exact_sum(fact, "total_loan_amount", "keep"),
         "sum(total_missed_installment) FILTER (WHERE keep) AS total_missed_installment",
         exact_mean("tenor_in_months", "keep"),
         exact_mean("ontime_repayment_rate", "keep"))
     return measures.where("newest = newest_included").selectExpr(
         KEY, "loan_count", "total_amount_overdue",
-        "coalesce(cast(top.maturity_dpd AS bigint), 0) AS maturity_dpd",
+        f"coalesce(cast({snapshot_dpd('top')} AS bigint), 0) AS maturity_dpd",
         "total_missed_installment", "coalesce(has_14plus_dpd, 0) AS has_14plus_dpd",
         "coalesce(count_14plus_dpd, 0) AS count_14plus_dpd", "tenor_in_months",
         "ontime_repayment_rate", "total_loan_amount")

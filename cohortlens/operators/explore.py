@@ -182,15 +182,15 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     raises on a constant column in ANSI mode. Constant columns give NULL.
     """
     columns = columns or numeric_columns(df)
-    cells = []
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            both = f"FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
-            r = (f"try_divide(covar_pop({a}, {b}) {both}, "
-                 f"stddev_pop({a}) {both} * stddev_pop({b}) {both})")
-            cells.append(f"named_struct('column_a', {quote(a)}, 'column_b', {quote(b)}, "
-                         f"'r', round({r}, 6))")
-    return df.agg(F.expr(f"array({', '.join(cells)}) AS cells")).selectExpr("inline(cells)")
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    cells = ", ".join(f"{quote(a)}, {quote(b)}, cast({a} AS double), cast({b} AS double)"
+                      for a, b in pairs)
+    # One short aggregate over (pair, x, y) rows keeps the generated code
+    # small; the rows collapse to one per pair before the shuffle.
+    long = df.selectExpr(f"stack({len(pairs)}, {cells}) AS (column_a, column_b, x, y)").selectExpr(
+        "column_a", "column_b", "if(y IS NULL, NULL, x) AS x", "if(x IS NULL, NULL, y) AS y")
+    return long.groupBy("column_a", "column_b").agg(F.expr(
+        "round(try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y)), 6) AS r"))
 
 
 def revenue_share(df: DataFrame) -> DataFrame:

@@ -23,10 +23,8 @@ def loan_fact(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         """if(l_returnflag = 'R' AND l_discount >= 0.05D, cast(l_quantity AS int), 0)
            AS maturity_dpd""",
         f"if({missed} AND l_tax >= 0.05D, l_linenumber + 14, 0) AS installment_dpd",
-        """cast(if(l_returnflag = 'R',
-                   cast(l_extendedprice AS decimal(18,2)) * cast(l_discount AS decimal(4,2)), 0)
-                AS decimal(18,4)) AS total_amount_overdue""",
-        "cast(l_extendedprice AS decimal(18,2)) AS total_loan_amount",
+        "if(l_returnflag = 'R', l_extendedprice * l_discount, 0D) AS total_amount_overdue",
+        "l_extendedprice AS total_loan_amount",
         f"if({missed}, 1, 0) AS total_missed_installment",
         "cast(l_linenumber AS double) AS tenor_in_months",
         "if(l_returnflag = 'A', l_discount * 1000D, 0D) AS ontime_repayment_rate",

@@ -22,7 +22,7 @@ CSV_TEXT = {"escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": False,
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: str | None = None, mode: str = "errorifexists") -> str:
+                mode: str = "errorifexists") -> str:
     """Snappy Parquet or CSV with header; anything else is refused."""
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}, use one of {FORMATS}")
@@ -31,8 +31,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         writer = writer.options(header=True, **CSV_TEXT)
     else:
         writer = writer.option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
     writer.save(path)
     return path
 
@@ -54,8 +52,12 @@ def round_trip(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
 
 
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
-    """Add one run to a table partitioned by run_id."""
-    write_table(df.withColumn("run_id", F.lit(run_id)), path, "parquet", "run_id", mode="append")
+    """Add one run to a table partitioned by run_id.
+
+    The partition folder is written directly: a run without rows still leaves
+    a file with its schema, and a second run with the same id is refused.
+    """
+    write_table(df, f"{path}/run_id={run_id}")
 
 
 def latest_run(table: DataFrame, column: str = "run_id") -> DataFrame:
