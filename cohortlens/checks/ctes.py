@@ -304,11 +304,19 @@ CTES["qualifying"] = """
 SELECT *, row_number() OVER (PARTITION BY segment, demo ORDER BY n DESC, value) AS rank
 FROM lifted WHERE lift >= 1.2"""
 
-# Every customer's qualifying values in its own cohort, as a list in demographic order.
+# Every customer's qualifying values in its own cohort, as a list in
+# demographic order. Counted by windows over the rows: joining the long rows
+# with the qualifying table derived from them stalls DuckDB on larger inputs.
+CTES["basket_rows"] = """
+SELECT *, dense_rank() OVER (PARTITION BY segment, demo ORDER BY n DESC, value) AS rank
+FROM (SELECT *, count(*) OVER (PARTITION BY segment, demo, value) AS n,
+    count(*) OVER (PARTITION BY demo, value) AS pop_n,
+    count(*) OVER (PARTITION BY segment, demo) AS segment_size,
+    count(*) OVER (PARTITION BY demo) AS pop_size FROM seg_long)
+WHERE (n::DOUBLE / segment_size) / (pop_n::DOUBLE / pop_size + 1e-6::DOUBLE) >= 1.2"""
 CTES["baskets"] = """
-SELECT l.customer_id, l.segment, list(struct_pack(d := l.d, r := q.rank, t := l.demo || ': '
-  || l.value) ORDER BY l.d) AS items
-FROM seg_long l JOIN qualifying q USING (segment, demo, value) GROUP BY ALL"""
+SELECT customer_id, segment, list(struct_pack(d := d, r := rank, t := demo || ': ' || value)
+  ORDER BY d) AS items FROM basket_rows GROUP BY customer_id, segment"""
 CTES["subset_counts"] = """
 SELECT segment, combo, count(*) AS n FROM (
   SELECT segment, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS combo

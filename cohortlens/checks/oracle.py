@@ -384,7 +384,7 @@ SQL["fn_combo_parse"] = """
 SELECT segment, place, CAST(pos - 1 AS INTEGER) AS pos, demo, value FROM profile_parts"""
 _KNOWN = {
     "marital_status": ("divorced", "married", "others", "separated", "single", "widowed"),
-    "dw_channel_key": ("android", "FSA", "IOS", "oxygen_now", "TSA", "web", "oxygen"),
+    "dw_channel_key": ("android", "FSA", "IOS", None, "TSA", "web"),
     "gender": ("female", "male"),
     "employment_status": ("employed", "others", "self_employed", "unemployed"),
     "purpose": ("auto/transportation", "consumer_goods", "education", "electronics",
@@ -393,7 +393,7 @@ _KNOWN = {
                 "uncategorized", "utilities"),
 }
 _KNOWN_ROWS = ", ".join(f"('{f}', '{i}', '{x}')" for f, names in _KNOWN.items()
-                        for i, x in enumerate(names))
+                        for i, x in enumerate(names) if x)
 SQL["fn_decode"] = f"""
 SELECT p.segment, p.place, string_agg(coalesce(k.label, CASE p.demo
     WHEN 'income_bracket' THEN 'income: ' WHEN 'age_category' THEN 'age: '

@@ -26,15 +26,14 @@ class Stage:
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Shared scratch folder of this cluster."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/") + "/cohortlens"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="cohortlens-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root + "/cohortlens"
+    """Shared scratch folder of this cluster; a temporary one in local mode only."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/") + "/cohortlens"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

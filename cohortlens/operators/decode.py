@@ -7,15 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlens.functions.columns import combination_items, lookup
 from cohortlens.functions.staging import small_side
 
-# Labels published for the codes of the known production data.
+# Labels published for the codes of one known data set. Channel
+# codes 3 and 6 stand for product names there; a site adds its own labels
+# through the `labels` argument.
 KNOWN_LABELS = {
     "marital_status": {
         "0": "divorced", "1": "married", "2": "others", "3": "separated", "4": "single",
         "5": "widowed",
     },
     "dw_channel_key": {
-        "0": "android", "1": "FSA", "2": "IOS", "3": "oxygen_now", "4": "TSA", "5": "web",
-        "6": "oxygen",
+        "0": "android", "1": "FSA", "2": "IOS", "4": "TSA", "5": "web",
     },
     "gender": {"0": "female", "1": "male"},
     "employment_status": {
@@ -41,20 +42,21 @@ PREFIXES = {
 }
 
 
-def _labels() -> dict[str, str]:
+def _by_item(labels: dict[str, dict[str, str]]) -> dict[str, str]:
     return {f"{demo}={code}": label
-            for demo, labels in KNOWN_LABELS.items() for code, label in labels.items()}
+            for demo, codes in labels.items() for code, label in codes.items()}
 
 
 # SQL for the text of a part that has no label; `prefixes` is the PREFIXES map.
 FALLBACK = ("concat(coalesce(try_element_at(prefixes, x.demo), concat(x.demo, ': ')), x.value)")
 
 
-def decode_known(df: DataFrame, text: str = "combination", name: str = "decoded") -> DataFrame:
-    """Adds the combination with the fixed labels, parts joined by ', '."""
+def decode_known(df: DataFrame, text: str = "combination", name: str = "decoded",
+                 labels: dict[str, dict[str, str]] = KNOWN_LABELS) -> DataFrame:
+    """Adds the combination with the given labels, parts joined by ', '."""
     label = (f"if(x.demo IS NULL, x.value, coalesce("
              f"try_element_at(labels, concat(x.demo, '=', x.value)), {FALLBACK}))")
-    return (df.withColumns({"labels": lookup(_labels()), "prefixes": lookup(PREFIXES)})
+    return (df.withColumns({"labels": lookup(_by_item(labels)), "prefixes": lookup(PREFIXES)})
             .withColumn(name, F.expr(f"array_join(transform({combination_items(text)}, "
                                      f"x -> {label}), ', ')"))
             .drop("labels", "prefixes"))

@@ -222,6 +222,8 @@ def test_decode_known(spark):
         "combination string")
     assert decode_known(df).first()["decoded"] == (
         "married, channel: 7, for_99, income: <69k, odd: 4")
+    own = decode_known(df, labels={"odd": {"4": "four"}}).first()["decoded"]
+    assert own == "marital_status: 1, channel: 7, for_99, income: <69k, four"
 
 
 def test_correlation_of_constant_column_is_null(spark):
