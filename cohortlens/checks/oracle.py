@@ -163,10 +163,10 @@ SQL["agg_segment_dist"] = """
 SELECT segment, count(*) AS n, round(count(*) * 100.0::DOUBLE
   / (SELECT count(*) FROM segmented), 4) AS percent FROM segmented GROUP BY segment"""
 SQL["agg_numeric_summary"] = union_all(f"""
-SELECT '{c}' AS column_name, round(min({c})::DOUBLE, 4) AS min, round(max({c})::DOUBLE, 4) AS max,
-  round(avg({c}::DOUBLE), 4) AS mean, round(stddev_samp({c}::DOUBLE), 4) AS std,
+SELECT '{c}' AS column_name, round(min({c})::DOUBLE, 6) AS min, round(max({c})::DOUBLE, 6) AS max,
+  round(avg({c}::DOUBLE), 6) AS mean, round(stddev_samp({c}::DOUBLE), 6) AS std,
   count(*) FILTER (WHERE {c} = 0) AS zeros, count(*) - count({c}) AS missing,
-  round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median FROM registry""" for c in NUMERIC)
+  round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median FROM registry""" for c in NUMERIC)
 SQL["agg_cat_summary"] = union_all(f"""
 SELECT '{c}' AS column_name, count(v) AS distinct_values,
   count(DISTINCT CASE WHEN v IS NOT NULL THEN n END) AS distinct_frequencies,
@@ -187,15 +187,15 @@ SELECT round(avg(has_14plus_dpd), 6) AS default_rate,
   CAST(sum(has_14plus_dpd) AS BIGINT) AS default_count,
   count(*) FILTER (WHERE has_14plus_dpd = 0) AS non_default_count FROM raw19"""
 SQL["agg_describe"] = union_all(f"""
-SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}::DOUBLE), 4) AS mean,
-  round(stddev_samp({c}::DOUBLE), 4) AS std, round(min({c})::DOUBLE, 4) AS min,
-  round(max({c})::DOUBLE, 4) AS max, {", ".join(
-    f"round(quantile_cont({c}::DOUBLE, {p}), 4) AS p{p * 100:g}"
+SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}::DOUBLE), 6) AS mean,
+  round(stddev_samp({c}::DOUBLE), 6) AS std, round(min({c})::DOUBLE, 6) AS min,
+  round(max({c})::DOUBLE, 6) AS max, {", ".join(
+    f"round(quantile_cont({c}::DOUBLE, {p}), 6) AS p{p * 100:g}"
     for p in (0.05, 0.15, 0.25, 0.5, 0.75, 0.9, 0.95))} FROM registry""" for c in NUMERIC)
 SQL["agg_snapshot"] = union_all(f"""
-SELECT '{c}' AS column_name, round(min({c})::DOUBLE, 4) AS best_case,
-  round(avg({c}::DOUBLE), 4) AS average, round(max({c})::DOUBLE, 4) AS worst_case,
-  count(*) AS sample_size, round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median FROM ex_adults"""
+SELECT '{c}' AS column_name, round(min({c})::DOUBLE, 6) AS best_case,
+  round(avg({c}::DOUBLE), 6) AS average, round(max({c})::DOUBLE, 6) AS worst_case,
+  count(*) AS sample_size, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median FROM ex_adults"""
     for c in ("loan_count", "total_loan_amount", "maturity_dpd", "tenor_in_months"))
 SQL["agg_default_by_dim"] = union_all(f"""
 SELECT '{c}' AS dimension, CAST({c} AS VARCHAR) AS value,

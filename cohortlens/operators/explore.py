@@ -29,7 +29,7 @@ def _sum_up(df: DataFrame, columns: list[str], *aggregates: str) -> DataFrame:
 
 
 def with_quantiles(summary: DataFrame, df: DataFrame, columns: list[str],
-                   probs: dict[str, float], rows: int, digits: int = 4,
+                   probs: dict[str, float], rows: int, digits: int = 6,
                    small_rows: int = SMALL_ROWS) -> DataFrame:
     """Adds exact quantile columns to a one-row-per-column summary."""
     found = exact_quantiles(df, columns, list(probs.values()), rows, small_rows)
@@ -46,8 +46,8 @@ def numeric_summary(df: DataFrame, rows: int) -> DataFrame:
     """min, max, mean, median, sample std, zeros and missing per numeric column."""
     columns = numeric_columns(df)
     summary = _sum_up(
-        df, columns, "round(min(x), 4) AS min", "round(max(x), 4) AS max",
-        "round(avg(x), 4) AS mean", "round(stddev_samp(x), 4) AS std",
+        df, columns, "round(min(x), 6) AS min", "round(max(x), 6) AS max",
+        "round(avg(x), 6) AS mean", "round(stddev_samp(x), 6) AS std",
         "count_if(x = 0) AS zeros", "count_if(x IS NULL) AS missing")
     return with_quantiles(summary, df, columns, {"median": 0.5}, rows)
 
@@ -115,8 +115,8 @@ def describe(df: DataFrame, probs: list[float], rows: int,
     """count, mean, std, min, percentiles (linear) and max per numeric column."""
     columns = columns or numeric_columns(df)
     summary = _sum_up(
-        df, columns, "count(x) AS count", "round(avg(x), 4) AS mean",
-        "round(stddev_samp(x), 4) AS std", "round(min(x), 4) AS min", "round(max(x), 4) AS max")
+        df, columns, "count(x) AS count", "round(avg(x), 6) AS mean",
+        "round(stddev_samp(x), 6) AS std", "round(min(x), 6) AS min", "round(max(x), 6) AS max")
     names = {f"p{p * 100:g}": p for p in probs}
     return with_quantiles(summary, df, columns, names, rows)
 
@@ -124,8 +124,8 @@ def describe(df: DataFrame, probs: list[float], rows: int,
 def snapshot(df: DataFrame, metrics: list[str], rows: int) -> DataFrame:
     """Best, average, median and worst case per metric, with the sample size."""
     summary = _sum_up(
-        df, metrics, "round(min(x), 4) AS best_case", "round(avg(x), 4) AS average",
-        "round(max(x), 4) AS worst_case", "count(*) AS sample_size")
+        df, metrics, "round(min(x), 6) AS best_case", "round(avg(x), 6) AS average",
+        "round(max(x), 6) AS worst_case", "count(*) AS sample_size")
     return with_quantiles(summary, df, metrics, {"median": 0.5}, rows)
 
 
