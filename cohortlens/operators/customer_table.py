@@ -1,9 +1,8 @@
 """One row per customer from the snapshot fact, the dimension and the decisions.
 
-The fact is read once and shuffled once per grouping level: all aggregates
-share one `groupBy`. Spark pre-aggregates on the map side and spreads the
-distinct loan count over (customer, loan), so a customer that owns a third of
-all fact rows does not end up in one task.
+Every aggregate over the fact is pre-aggregated on the map side, and the
+distinct loan count is spread over (customer, loan) first, so a customer that
+owns a third of all fact rows does not end up in one task.
 """
 
 from __future__ import annotations
@@ -136,10 +135,15 @@ def customer_sums(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
 
 
 def customer_metrics(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
-    """All per-customer measures in one pass over the fact.
+    """All per-customer measures: one fused aggregate, plus the distinct loan count.
 
     A customer stays only if the newest disbursement over all products equals
     the newest over included products, which is the latest-loan rule.
+
+    The loan count is an aggregate of its own over two narrow columns. Inside
+    the fused one Spark would shuffle all measures once per (customer, loan)
+    instead of once per customer. Both sides end up partitioned by customer,
+    so the join adds no shuffle.
     """
     keep = included(config)
     late = f"if(installment_dpd >= {config.dpd_flag_from}, 1, 0)"
@@ -147,7 +151,6 @@ def customer_metrics(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFra
         fact.withColumn("keep", F.expr(f"coalesce({keep}, false)")),
         "max(disbursement_date) AS newest",
         "max(disbursement_date) FILTER (WHERE keep) AS newest_included",
-        "count(DISTINCT if(keep, loan_ref, NULL)) AS loan_count",
         f"max({PACKED_SNAPSHOT}) FILTER (WHERE keep) AS top",
         f"max({late}) FILTER (WHERE keep) AS has_14plus_dpd",
         f"sum({late}) FILTER (WHERE keep) AS count_14plus_dpd",
@@ -156,7 +159,8 @@ def customer_metrics(fact: DataFrame, config: CohortConfig = DEFAULT) -> DataFra
         "sum(total_missed_installment) FILTER (WHERE keep) AS total_missed_installment",
         exact_mean("tenor_in_months", "keep"),
         exact_mean("ontime_repayment_rate", "keep"))
-    return measures.where("newest = newest_included").selectExpr(
+    latest = measures.where("newest = newest_included")
+    return latest.join(loan_counts(fact, config), KEY).selectExpr(
         KEY, "loan_count", "total_amount_overdue",
         f"coalesce(cast({snapshot_dpd('top')} AS bigint), 0) AS maturity_dpd",
         "total_missed_installment", "coalesce(has_14plus_dpd, 0) AS has_14plus_dpd",

@@ -118,7 +118,14 @@ def test_latest_flag_keeps_every_row(src):
             } == {"DTP"}
 
 
-def test_fact_is_hash_aggregated_once(src):
-    plan = ct.customer_metrics(src.loan_fact)._jdf.queryExecution().executedPlan().toString()
+def test_fact_is_hash_aggregated_with_few_shuffles(spark, src, tmp_path):
+    src.loan_fact.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    plan = ct.customer_metrics(fact)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
-    assert plan.count("Scan") == 1
+    # Measures by customer; loans by (customer, loan), then by customer.
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("FileScan") == 2
+    narrow = [line for line in plan.splitlines() if "FileScan" in line and "ReadSchema" in line
+              and "maturity_dpd" not in line]
+    assert len(narrow) == 1 and "loan_ref" in narrow[0]
