@@ -4,16 +4,19 @@ Words and word pairs of every document are hashed into `BUCKETS` buckets. One
 multinomial is counted over all documents (raw corpus), one over trusted
 documents; both are smoothed. A document's score is the sum of
 log(trusted / raw) over its n-grams divided by their number. Every document with
-a score of at least `THRESHOLD` stays, if the base rules do not reject it;
+a score of at least the threshold stays, if the base rules do not reject it;
 nothing is drawn at random.
 
 The trusted side is fitted on at most `TRUSTED_DOCS` labelled documents, taken
 in the order of a hash of their id; that bound makes it safe to send the ids and the
-two count vectors to every task. The raw side counts every document.
+two count vectors to every task. Half of them are counted, the others only scored:
+the threshold is `MARGIN` below the `LOWEST` quantile of their scores, so a small or
+uneven trusted set, which lowers the scores of good documents too, lowers it as well.
+The raw side counts every document.
 
 Defined results: a null or empty text has no words, fails the base rules and is
 rejected. Documents without an n-gram, or a corpus without trusted documents,
-score 0. Repeated rows are counted and judged each. Equal 8-word windows are
+score 0; without held-out trusted documents the threshold is `MARGIN` below 0. Repeated rows are counted and judged each. Equal 8-word windows are
 found by a 64-bit hash.
 """
 
@@ -30,7 +33,7 @@ from cohortlens.llm import kernel
 BUCKETS = 1 << 16
 TRUSTED_DOCS = 20_000
 SMOOTHING = 1.0
-THRESHOLD = -0.5
+LOWEST, MARGIN = 0.001, 0.05
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -50,13 +53,17 @@ def _features(words: kernel.Words, h: np.ndarray) -> Iterator[tuple[int, np.ndar
         yield k, np.concatenate([one[words.first[k]:words.first[k + 1]], two[to[k]:to[k + 1]]])
 
 
+def _among(batch: pa.RecordBatch, ids: np.ndarray) -> np.ndarray:
+    doc = batch.column("doc_id")
+    return np.isin(doc.fill_null(0).to_numpy(zero_copy_only=False), ids) & doc.is_valid().to_numpy(zero_copy_only=False)
+
+
 def _count(trusted: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             data, at = kernel.text_bytes(batch.column("text"))
-            is_good = np.isin(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), trusted)
-            is_good &= ~np.asarray(batch.column("doc_id").is_null())
+            is_good = _among(batch, trusted)
             for i, j in kernel.pieces(at):
                 words = kernel.Words(data, at[i:j + 1])
                 for k, f in _features(words, words.hashes()):
@@ -127,28 +134,45 @@ def _judge(ratio: np.ndarray):
     return run
 
 
-def fit_ratio(docs: DataFrame, trusted: DataFrame, trusted_docs: int = TRUSTED_DOCS) -> np.ndarray:
-    """log(trusted / raw) of every bucket. trusted: doc_id."""
-    ids = (trusted.where("doc_id is not null").select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_docs).collect())
-    ids = np.sort(np.array([r[0] for r in ids], np.int64))
-    counts = (docs.select("doc_id", "text").mapInArrow(_count(ids), "bucket long, raw long, good long")
+def _held_out(ids: np.ndarray, ratio: np.ndarray):
+    judging = _judge(ratio)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from judging([batch.filter(pa.array(_among(batch, ids)))])
+    return run
+
+
+def _base_failed():
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
+def fit(docs: DataFrame, trusted: DataFrame, trusted_docs: int = TRUSTED_DOCS) -> tuple[np.ndarray, float]:
+    """log(trusted / raw) of every bucket, and the threshold. trusted: doc_id."""
+    rows = (trusted.where("doc_id is not null").select("doc_id").distinct()
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_docs).collect())
+    ids = np.array([r[0] for r in rows], np.int64)
+    counted, held = np.sort(ids[::2]), np.sort(ids[1::2])
+    texts = docs.select("doc_id", "text")
+    counts = (texts.mapInArrow(_count(counted), "bucket long, raw long, good long")
               .groupBy("bucket").agg(F.sum("raw"), F.sum("good")).collect())
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for b, r, g in counts:
         raw[b], good[b] = r, g
     if not good.sum():
-        return np.zeros(BUCKETS)
+        return np.zeros(BUCKETS), -MARGIN
     p, q = good + SMOOTHING, raw + SMOOTHING
-    return np.log(p / p.sum()) - np.log(q / q.sum())
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    lowest = (texts.mapInArrow(_held_out(held, ratio), BASE).where(~_base_failed())
+              .agg(F.percentile("score", LOWEST)).first()[0])
+    return ratio, (lowest or 0.0) - MARGIN
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id, counts, score, base_failed and kept of every row of docs."""
-    ratio = fit_ratio(docs, trusted)
+    ratio, threshold = fit(docs, trusted)
     return (docs.select("doc_id", "text").mapInArrow(_judge(ratio), BASE)
-            .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
-                100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+            .withColumn("base_failed", _base_failed())
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)))
 
 
@@ -157,9 +181,9 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
 
 
-def filter_documents(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def filter_documents(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """The rows of docs that stay, all columns. The text is judged where it is read."""
-    ratio = fit_ratio(docs, trusted)
+    ratio, threshold = fit(docs, trusted)
     judging, schema = _judge(ratio), docs.schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
