@@ -7,12 +7,17 @@ document is done as soon as every place holds less than j; long documents need t
 or three steps. `BANDS` bands of `ROWS` values give bucket keys: at a similarity
 of 0.8 the chance that two documents share no bucket is 5e-8.
 
-Equal sets are collapsed first. In a bucket not all pairs are compared: each round,
-its most central members that have not served yet are pivots and are compared
-with the members in other components; verified links merge components, and a
-bucket is finished when its members are in one. The number of pivots doubles every
-round, so any bucket ends with every pair compared or joined. A group of copies costs
-a row per member and round, not a row per pair.
+Equal sets are collapsed first. In a bucket not all pairs are compared. Its most
+central member is the pivot and is compared with the others; a link merges
+components. With pivot P, a member X is known by its difference D(X) from P, and
+the difference of two members is |D(X)| + |D(Y)| - 2 |D(X) & D(Y)|. So two members
+that are not both linked to P can be linked only if their differences share enough
+elements, and such pairs are found by joining on the first elements of the
+differences (what X adds before what it lacks; prefix and position filter), then
+verified. By the triangle inequality of the Jaccard distance a member within 2 (1 - t)
+of P has all its partners within 3 (1 - t); it is done and leaves the bucket. Members
+further away go to the next round, with twice the pivots. All links between members of
+a bucket are found, and a group of copies costs rows in proportion to its members.
 
 Defined results: a null, empty or blank text has no shingles and links with
 nothing; with fewer than k words the whole word sequence is the one shingle.
@@ -120,18 +125,50 @@ def _packed_sets(k: int):
     return run
 
 
+def _compare(left: pa.Scalar, right: pa.Scalar) -> tuple[np.ndarray, np.ndarray, int]:
+    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (left, right))
+    return x, y, len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+
+
 def _verify(percent: int):
+    """Linked pairs among (a, b, left, right)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
             ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x = np.frombuffer(left[i].as_buffer(), np.uint64)
-                y = np.frombuffer(right[i].as_buffer(), np.uint64)
-                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+            for i, (left, right) in enumerate(zip(batch.column("left"), batch.column("right"))):
+                x, y, common = _compare(left, right)
                 ok[i] = common and 100 * common >= percent * (len(x) + len(y) - common)
+            yield batch.select(["a", "b"]).append_column("linked", pa.array(ok))
+    return run
+
+
+def _differences(percent: int):
+    """Members b within 3 (1 - t) of their pivot a, with the elements to join on."""
+    t = percent / 100
+    c = (1 - t) / (1 + t)   # linked: |difference| <= c * (sum of the sizes)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for a, b, left, right in zip(*(batch.column(n) for n in ("a", "b", "left", "right"))):
+                p, x, common = _compare(left, right)
+                union = len(p) + len(x) - common
+                if union - common > (3 * (1 - t) + 1e-9) * union:
+                    continue
+                linked = bool(common) and 100 * common >= percent * union
+                near = union - common <= (2 * (1 - t) + 1e-9) * union
+                added = x[~np.isin(x, p, assume_unique=True)]
+                lacking = p[~np.isin(p, x, assume_unique=True)]
+                d = np.concatenate([added, lacking])
+                # Elements that the differences of a linked pair share, at least.
+                least = ((len(d) + c * (len(p) - len(x))) / 2 if linked
+                         else (len(d) - c * (len(p) + len(x))) / (1 + c))
+                first = len(d) - max(1, int(np.ceil(least - 1e-9))) + 1
+                rows.append((a.as_py(), b.as_py(), len(x), linked, near, len(d), d[:first].view(np.int64).tolist()))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
+            names = ["a", "b", "n", "linked", "near", "d", "elements"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(ok)], ["a", "b", "linked"])
+                [pa.array(x, t_) for x, t_ in zip(zip(*rows) if rows else [[]] * 7, types)], names)
     return run
 
 
@@ -145,17 +182,45 @@ def _shared_buckets(reps: DataFrame) -> DataFrame:
     return keep(met.join(central, "doc").select("key", "doc", "n", "centrality"), "buckets")
 
 
-def _pairs(members: DataFrame, pivots_per_bucket: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pivots of this round, and the pairs (a < b) of a pivot and another component."""
-    ranked = F.struct("centrality", (-F.col("doc")).alias("minus"), "n", "comp")
-    slot = F.pmod(F.xxhash64("doc"), F.lit(pivots_per_bucket))
-    pivots = (members.groupBy("key", slot.alias("slot")).agg(F.max(ranked).alias("p"))
-              .select("key", (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("pivot_n"),
-                      F.col("p.comp").alias("pivot_comp")))
-    fits = (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
-    pairs = (members.join(pivots, "key").where((F.col("comp") != F.col("pivot_comp")) & fits)
-             .select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct())
-    return pivots.select("key", F.col("pivot").alias("doc")), pairs
+def _pivots(members: DataFrame, per_bucket: int) -> DataFrame:
+    """key, pivot, pivot_n: the most central members of every bucket."""
+    ranked = F.struct("centrality", (-F.col("doc")).alias("minus"), "n")
+    slot = F.pmod(F.xxhash64("doc"), F.lit(per_bucket))
+    return (members.groupBy("key", slot.alias("slot")).agg(F.max(ranked).alias("p"))
+            .select("key", (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("pivot_n")))
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def _labelled(rows: DataFrame, doc: str, comp: DataFrame | None) -> DataFrame:
+    """rows with `comp`, the component of the document in column `doc` so far."""
+    if comp is None:
+        return rows.withColumn("comp", F.col(doc))
+    return (rows.join(comp.withColumnRenamed("node", doc), doc, "left")
+            .withColumn("comp", F.coalesce("component", doc)).drop("component"))
+
+
+def _split_only(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of groups that hold more than one component."""
+    split = rows.groupBy(group).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return rows.join(split.select(group), group, "left_semi")
+
+
+def _difference_pairs(seen: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b of one pivot whose differences can share enough. seen: with comp."""
+    c = (100 - percent) / (100 + percent)
+    rows = _split_only(seen, "a").select(
+        F.col("a").alias("pivot"), F.col("b").alias("x"), "n", "d", "comp", F.posexplode("elements").alias("pos", "e"))
+    x = rows.select("pivot", "e", *[F.col(k).alias(f"{k}_x") for k in ("x", "n", "d", "comp", "pos")])
+    y = rows.select("pivot", "e", *[F.col(k).alias(f"{k}_y") for k in ("x", "n", "d", "comp", "pos")])
+    can = 2 * F.least(F.col("d_x") - F.col("pos_x"), F.col("d_y") - F.col("pos_y")) + 1e-6 >= (
+        F.col("d_x") + F.col("d_y") - c * (F.col("n_x") + F.col("n_y")))
+    on = (x.pivot == y.pivot) & (x.e == y.e) & (F.col("x_x") < F.col("x_y")) & (F.col("comp_x") != F.col("comp_y")) & can
+    return x.join(y, on).select(F.col("x_x").alias("a"), F.col("x_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -174,33 +239,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi")
                 .mapInArrow(_packed_sets(shingle), "doc long, shingles binary"), "sets")
 
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tested, comp, pivots_per_bucket = links, None, 1
+    links, comp, per_bucket = None, None, 1
+
+    def merge(fresh: DataFrame) -> None:
+        nonlocal links, comp
+        if not fresh.isEmpty():
+            links = fresh if links is None else links.unionAll(fresh)
+            comp = keep(components(links), "near-components")
+
     while True:
-        if comp is None:
-            now = members.withColumn("comp", F.col("doc"))
-        else:
-            now = (members.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-                   .withColumn("comp", F.coalesce("component", "doc")).drop("component"))
-        split = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        now = keep(now.join(split.select("key"), "key", "left_semi"), "open")
+        now = keep(_split_only(_labelled(members, "doc", comp), "key").drop("comp"), "open")
         if now.isEmpty():
             break
-        pivots, pairs = _pairs(now, pivots_per_bucket, percent)
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right"))
-        seen = keep(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-                    .mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
-        tested = tested.unionAll(seen.select("a", "b"))
-        fresh = seen.where("linked").select("a", "b")
-        if not fresh.isEmpty():
-            links = links.unionAll(fresh)
-            comp = keep(components(links), "near-components")
-        # A pivot has met every member of its bucket and need not stay in it.
-        members = keep(now.drop("comp").join(pivots, ["key", "doc"], "left_anti"), "buckets")
-        pivots_per_bucket *= 2
+        pivots = keep(_pivots(now, per_bucket), "pivots")
+        met = now.join(pivots, "key").where(F.col("doc") != F.col("pivot"))
+        # Sizes further apart than 3 (1 - t) allows need no look at the sets.
+        close = 100 * F.least("n", "pivot_n") >= (100 - 3 * (100 - percent)) * F.greatest("n", "pivot_n")
+        pairs = met.where(close).select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
+        seen = keep(_with_sets(pairs, sets).mapInArrow(
+            _differences(percent), "a long, b long, n long, linked boolean, near boolean, d long, elements array<long>"), "seen")
+        merge(seen.where("linked").select("a", "b"))
+        more = _difference_pairs(_labelled(seen, "b", comp), percent)
+        found = keep(_with_sets(more, sets).mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
+        merge(found.where("linked").select("a", "b"))
+
+        done = (met.join(seen.where("near").select(F.col("a").alias("pivot"), F.col("b").alias("doc")), ["pivot", "doc"], "left_semi")
+                .select("key", "doc").unionAll(pivots.select("key", F.col("pivot").alias("doc"))).distinct())
+        members = keep(now.join(done, ["key", "doc"], "left_anti"), "buckets")
+        per_bucket *= 2
 
     found = classes if comp is None else classes.join(comp, classes.rep == comp.node, "left")
     found = found.select("set_a", "set_b", (F.col("rep") if comp is None
