@@ -5,7 +5,7 @@ A log holds events (conv_id, seq, kind, message, role, text):
 it holds so far, `regenerate` drops it and all later messages logged before. Logs
 are partitioned by conversation and sorted by sequence; windows that only carry a
 running minimum or maximum decide what survives, and the survivors of a message are
-joined in order. A formatted conversation is the concatenation of one record per
+joined in order; its role is the last one logged. A formatted conversation is the concatenation of one record per
 message, so a conversation of any length is rendered and read back as a stream.
 
 Texts are escaped reversibly: a backslash is doubled, and `<|` becomes `<\\|`, so a
@@ -46,14 +46,15 @@ def fold(events: DataFrame) -> DataFrame:
     cut = F.min(F.when(F.col("kind") == "regenerate", F.col("message"))).over(later)
     alive = (events.withColumn("cut", cut)
              .where((F.col("kind") != "regenerate") & (F.col("cut").isNull() | (F.col("message") < F.col("cut")))))
-    resets = F.max(F.when(F.col("kind") != "delta", F.col("seq"))).over(Window.partitionBy("conv_id", "message"))
-    parts = (alive.withColumn("reset", resets)
+    whole = Window.partitionBy("conv_id", "message")
+    resets = F.max(F.when(F.col("kind") != "delta", F.col("seq"))).over(whole)
+    role = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).over(whole)
+    parts = (alive.withColumn("reset", resets).withColumn("role", role)
              .where(F.col("reset").isNull() | (F.col("seq") >= F.col("reset"))))
-    part = F.struct("seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
+    part = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"))
     # The log of a message is as large as its text, which is one value anyway.
     return (parts.groupBy("conv_id", "message")
-            .agg(F.array_sort(F.collect_list(part)).alias("parts"),
-                 F.min_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"))
+            .agg(F.array_sort(F.collect_list(part)).alias("parts"), F.max("role").alias("role"))
             .select("conv_id", "message", F.coalesce("role", F.lit("")).alias("role"),
                     F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text")))
 

@@ -91,7 +91,8 @@ def _occurrences(texts: DataFrame, patterns: dict[str, str], signs: dict[str, st
              .where("col.match is not null")
              .select(*DOC, "kind", "pos", "col.match", F.col("col.before.n").alias("gap"),
                      F.col("col.before.tail").alias("left"), F.col("col.after.head").alias("right"),
-                     F.length("col.match").alias("n")))
+                     F.length("col.match").alias("n"))
+             .dropDuplicates([*DOC, "kind", "pos"]))    # repeated rows
     upto = Window.partitionBy(*DOC, "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return (found.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto))
             .select(*DOC, "kind", "match", (F.col("end") - F.col("n")).alias("start"), "end", "left", "right"))
