@@ -541,7 +541,7 @@ def feat_revenue(ex):
 
 def _scaled_split(ex: Exploration) -> DataFrame:
     stage = ex.segmented_stage
-    return subclusters.equal_split(features.z_scores(stage.df), stage.rows)
+    return subclusters.equal_split(features.z_scores(stage.df))
 
 
 @on_exploration

@@ -1,11 +1,10 @@
 """Exact order statistics without one task ever holding all values.
 
-Up to SMALL_ROWS rows Spark's `percentile` (exact, buffers the distinct
-values) is used. Beyond that: (1) `percentile_approx` gives, per group, a
-bracket that must contain the wanted rank; (2) one more scan counts the rows
-below the bracket and builds a value histogram inside it, about
-4 * n / accuracy rows; (3) a running sum over that small histogram finds the
-value. Both ways give the same numbers.
+At every size: (1) `percentile_approx` gives, per group, a bracket around the
+wanted rank; (2) one more scan counts the rows below the bracket and builds a
+value histogram inside it, about 4 * n / accuracy rows; (3) a running sum over
+that small histogram finds the value. Should a bracket miss its rank, a wider one
+is tried. The accuracy changes the cost, never the numbers.
 """
 
 from __future__ import annotations
@@ -17,9 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.functions.staging import unpivot_numbers, write_stage
 
-# `percentile` holds the distinct values of a column in one task: 200,000 rows
-# of a dozen columns stay below a few hundred MB.
-SMALL_ROWS = 200_000
 # A sketch of this accuracy is well under 1 MB per column and task, and its
 # bracket holds about 4 in 10,000 rows.
 ACCURACY = 10_000
@@ -35,13 +31,13 @@ class RankValue:
 def _brackets(long: DataFrame, group: str, value: str, probs: list[float],
               accuracy: int) -> dict[str, tuple[int, list[tuple[float, float]]]]:
     """Per group: row count and, per probability, bounds that hold its rank."""
-    slack = 2.0 / accuracy
+    slack = 2.0 / max(accuracy, 1)
     wanted = []
     for p in probs:
         wanted += [max(p - slack, 0.0), min(p + slack, 1.0)]
     rows = (long.groupBy(group)
             .agg(F.count(value).alias("n"),
-                 F.percentile_approx(value, wanted, accuracy).alias("edges"))
+                 F.percentile_approx(value, wanted, max(accuracy, 1)).alias("edges"))
             .collect())
     out = {}
     for r in rows:
@@ -106,11 +102,10 @@ def rank_values(long: DataFrame, group: str, value: str, probs: list[float],
     for r in picked:
         result[r[group]][1][r["hit"]["i"]].append(
             RankValue(r["v"], r["upto"] - r["n"], r["n"]))
-    for g, (n, _) in found.items():
-        for i, p in enumerate(probs):
-            if len(result[g][1][i]) != len(ranks(n, p)):
-                raise RuntimeError(f"rank bracket missed for {g} at {p}")
-    return result
+    missed = any(len(result[g][1][i]) != len(ranks(n, p))
+                 for g, (n, _) in found.items() for i, p in enumerate(probs))
+    # With an accuracy of 2 or less a bracket holds every row.
+    return rank_values(long, group, value, probs, ranks, accuracy // 8) if missed else result
 
 
 def _linear_ranks(n: int, p: float) -> list[int]:
@@ -118,19 +113,9 @@ def _linear_ranks(n: int, p: float) -> list[int]:
     return [math.floor(h) + 1, math.ceil(h) + 1]
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], rows: int,
-                    small_rows: int = SMALL_ROWS,
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column, as driver numbers.
-
-    `rows` is the row count of df (or a bound on it); it only picks the route.
-    """
-    if rows <= small_rows:
-        got = df.agg(*[
-            F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c)
-            for c in columns]).first()
-        return {c: list(got[c]) if got[c] is not None else [None] * len(probs) for c in columns}
-
+    """Linear-interpolated quantiles per column, as driver numbers."""
     long = unpivot_numbers(df, [], columns)
     found = rank_values(long, "column_name", "x", probs, _linear_ranks, accuracy)
     out: dict[str, list[float | None]] = {}
@@ -149,8 +134,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], rows:
     return out
 
 
-def medians(df: DataFrame, columns: list[str], rows: int, **kw) -> dict[str, float | None]:
-    return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5], rows, **kw).items()}
+def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5]).items()}
 
 
 def distributed_row_number(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:

@@ -51,7 +51,7 @@ def fill_medians(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
     holes = [c for c in columns if gaps[c]]
     if not holes:
         return df
-    middle = medians(df, holes, rows)
+    middle = medians(df, holes)
     return with_exprs(df, {c: f"coalesce({c}, {number(middle[c])})"
                            for c in holes if middle[c] is not None})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -9,6 +10,21 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlens.operators.features import CLUSTER_FEATURES
 
 
+def elbow_of(inertias: list[float]) -> int:
+    """The k after which a further cluster gains least, from 2 to the largest k.
+
+    A gain is compared with the next one by IEEE division; an undefined ratio (no gain
+    twice) is decisive, as is the first of equal ratios.
+    """
+    gains = -np.diff(np.asarray(inertias, float))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # Differences are taken upwards: a vanished gain is a positive zero below.
+        ratio = np.divide(-gains[:-1], np.where(gains[1:] == 0, 0.0, -gains[1:]))
+    undefined = np.flatnonzero(np.isnan(ratio))
+    place = undefined[0] if len(undefined) else int(np.flatnonzero(ratio == ratio.max())[0])
+    return int(min(place + 2, len(inertias)))
+
+
 def elbow(scaled: DataFrame, columns=CLUSTER_FEATURES, max_k: int = 4,
           seed: int = 42) -> DataFrame:
     """(k, inertia, optimal_k) for k = 1..max_k.
@@ -22,9 +38,7 @@ def elbow(scaled: DataFrame, columns=CLUSTER_FEATURES, max_k: int = 4,
                               handleInvalid="skip").transform(scaled).select("features")
     for k in range(2, max_k + 1):
         inertias.append(KMeans(k=k, seed=seed).fit(vectors).summary.trainingCost)
-    drops = [b - a for a, b in zip(inertias, inertias[1:])]
-    ratios = [a / b if b else float("inf") for a, b in zip(drops, drops[1:])]
-    best = min(max(2, ratios.index(max(ratios)) + 2), max_k)
+    best = elbow_of(inertias)
     return scaled.sparkSession.createDataFrame(
         [(k, x, best) for k, x in enumerate(inertias, start=1)],
         "k int, inertia double, optimal_k int")

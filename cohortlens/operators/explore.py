@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlens.functions.columns import case, number, quote
-from cohortlens.functions.ranks import SMALL_ROWS, exact_quantiles
+from cohortlens.functions.ranks import exact_quantiles
 from cohortlens.functions.staging import unpivot_numbers, unpivot_text
 
 FLAG = "has_14plus_dpd"
@@ -29,10 +29,9 @@ def _sum_up(df: DataFrame, columns: list[str], *aggregates: str) -> DataFrame:
 
 
 def with_quantiles(summary: DataFrame, df: DataFrame, columns: list[str],
-                   probs: dict[str, float], rows: int, digits: int = 6,
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
+                   probs: dict[str, float], digits: int = 6) -> DataFrame:
     """Adds exact quantile columns to a one-row-per-column summary."""
-    found = exact_quantiles(df, columns, list(probs.values()), rows, small_rows)
+    found = exact_quantiles(df, columns, list(probs.values()))
     out = summary
     for i, name in enumerate(probs):
         arms = [(f"column_name = {quote(c)}", number(found[c][i])) for c in columns
@@ -49,7 +48,7 @@ def numeric_summary(df: DataFrame, rows: int) -> DataFrame:
         df, columns, "round(min(x), 6) AS min", "round(max(x), 6) AS max",
         "round(avg(x), 6) AS mean", "round(stddev_samp(x), 6) AS std",
         "count_if(x = 0) AS zeros", "count_if(x IS NULL) AS missing")
-    return with_quantiles(summary, df, columns, {"median": 0.5}, rows)
+    return with_quantiles(summary, df, columns, {"median": 0.5})
 
 
 def categorical_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -98,6 +97,9 @@ def column_profile(df: DataFrame) -> DataFrame:
     """Type, distinct and missing values per column."""
     types = F.create_map(*[F.lit(v) for f in df.schema.fields
                            for v in (f.name, f.dataType.simpleString())])
+    # Adding 0.0 makes -0.0 and 0.0 one value before they become text.
+    floats = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("float", "double")]
+    df = df.withColumns({c: F.expr(f"`{c}` + 0.0D") for c in floats})
     counts = (unpivot_text(df, [], df.columns, "column_name", "value")
               .groupBy("column_name").agg(F.countDistinct("value").alias("distinct_values"),
                                           F.expr("count_if(value IS NULL) AS missing")))
@@ -118,7 +120,7 @@ def describe(df: DataFrame, probs: list[float], rows: int,
         df, columns, "count(x) AS count", "round(avg(x), 6) AS mean",
         "round(stddev_samp(x), 6) AS std", "round(min(x), 6) AS min", "round(max(x), 6) AS max")
     names = {f"p{p * 100:g}": p for p in probs}
-    return with_quantiles(summary, df, columns, names, rows)
+    return with_quantiles(summary, df, columns, names)
 
 
 def snapshot(df: DataFrame, metrics: list[str], rows: int) -> DataFrame:
@@ -126,7 +128,7 @@ def snapshot(df: DataFrame, metrics: list[str], rows: int) -> DataFrame:
     summary = _sum_up(
         df, metrics, "round(min(x), 6) AS best_case", "round(avg(x), 6) AS average",
         "round(max(x), 6) AS worst_case", "count(*) AS sample_size")
-    return with_quantiles(summary, df, metrics, {"median": 0.5}, rows)
+    return with_quantiles(summary, df, metrics, {"median": 0.5})
 
 
 def value_counts(df: DataFrame, columns: list[str], keep_null: bool = True) -> DataFrame:

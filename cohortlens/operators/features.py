@@ -44,7 +44,7 @@ def fill_feature_gaps(df: DataFrame, rows: int) -> DataFrame:
     holes = [c for c in FEATURE_FIELDS if gaps[c]]
     if not holes:
         return usable
-    middle = medians(usable, holes, rows)
+    middle = medians(usable, holes)
     return with_exprs(usable, {c: f"coalesce({c}, {number(middle[c])})"
                                for c in holes if middle[c] is not None})
 

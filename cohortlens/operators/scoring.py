@@ -25,7 +25,7 @@ def risk_level(config: CohortConfig = DEFAULT) -> str:
 
 def value_threshold(df: DataFrame, rows: int, config: CohortConfig = DEFAULT) -> float | None:
     return exact_quantiles(
-        df, ["monthly_loan_volume"], [config.value_percentile], rows)["monthly_loan_volume"][0]
+        df, ["monthly_loan_volume"], [config.value_percentile])["monthly_loan_volume"][0]
 
 
 def value_level(threshold: float | None, config: CohortConfig = DEFAULT) -> str:

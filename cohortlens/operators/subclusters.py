@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.config import DEMOGRAPHICS
-from cohortlens.functions.columns import case, number, quote, row_mean
-from cohortlens.functions.ranks import ACCURACY, SMALL_ROWS, rank_values
+from cohortlens.functions.columns import number, row_mean
+from cohortlens.functions.ranks import distributed_row_number
 from cohortlens.functions.staging import unpivot_text
 from cohortlens.operators.features import CLUSTER_FEATURES
 
@@ -20,53 +20,20 @@ def with_score(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
     return df.withColumn("cluster_score", F.expr(f"round({row_mean(list(columns))}, 9)"))
 
 
-def _cut_points(scored: DataFrame, accuracy: int) -> dict[str, tuple[float, int | None]]:
-    """Per cohort the last (score, id) of its first half.
-
-    The score of the middle row comes from `rank_values`. Rows that tie on it
-    are cut by id the same way, so neither a cohort nor a tie is ever sorted
-    in one task. Cohorts are few; the loop runs at most once for each.
-    """
-    scores = rank_values(scored, "segment", "cluster_score", [0.5],
-                         lambda n, p: [max(n // 2, 1)], accuracy)
-    cuts = {}
-    for segment, (n, [[middle]]) in scores.items():
-        if n < MIN_SPLIT_ROWS:
-            continue
-        wanted = n // 2 - middle.below
-        if wanted == middle.equal:
-            cuts[segment] = (middle.value, None)
-            continue
-        tied = scored.where(f"segment = {quote(segment)} "
-                            f"AND cluster_score = {number(middle.value)}")
-        ids = rank_values(tied, "segment", "customer_id", [wanted / middle.equal],
-                          lambda m, p, k=wanted: [k], accuracy)
-        cuts[segment] = (middle.value, int(ids[segment][1][0][0].value))
-    return cuts
-
-
-def equal_split(df: DataFrame, rows: int, columns=CLUSTER_FEATURES,
-                small_rows: int = SMALL_ROWS, accuracy: int = ACCURACY) -> DataFrame:
+def equal_split(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
     """sub_cluster 1 for the first n // 2 rows by (mean feature, id), 2 for the rest.
 
-    Cohorts under MIN_SPLIT_ROWS are not split and get NULL.
+    Rows without a mean come last; rows equal in both are told apart by their
+    place, so the halves are exact whatever repeats. Cohorts under MIN_SPLIT_ROWS are
+    not split and get NULL. No cohort is ever sorted in one task.
     """
-    scored = with_score(df, columns)
-    if rows <= small_rows:
-        mine = Window.partitionBy("segment")
-        place = F.row_number().over(mine.orderBy("cluster_score", "customer_id"))
-        return (scored.withColumn("_place", place).withColumn("_n", F.count("*").over(mine))
-                .withColumn("sub_cluster", F.expr(
-                    f"CASE WHEN _n >= {MIN_SPLIT_ROWS} THEN if(_place <= _n div 2, 1, 2) END"))
-                .drop("_place", "_n"))
-    halves = []
-    for segment, (score, last_id) in _cut_points(scored, accuracy).items():
-        limit = number(score)
-        first = f"cluster_score <= {limit}" if last_id is None else (
-            f"cluster_score < {limit} OR cluster_score = {limit} AND customer_id <= {last_id}")
-        halves.append((f"segment = {quote(segment)}", f"if({first}, 1, 2)"))
-    label = case(halves) if halves else "cast(NULL AS int)"
-    return scored.withColumn("sub_cluster", F.expr(label))
+    order = ["_missing", "cluster_score", "customer_id"]
+    scored = with_score(df, columns).withColumn("_missing", F.isnull("cluster_score"))
+    placed = distributed_row_number(scored, "segment", order, "_place")
+    sizes = scored.groupBy("segment").agg(F.count("*").alias("_n"))
+    half = f"CASE WHEN _n >= {MIN_SPLIT_ROWS} THEN if(_place <= _n div 2, 1, 2) END"
+    return (placed.join(F.broadcast(sizes), "segment")   # one row per cohort
+            .withColumn("sub_cluster", F.expr(half)).drop("_missing", "_place", "_n"))
 
 
 def behaviour(split: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:

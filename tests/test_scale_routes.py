@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cohortlens.functions.ranks import distributed_row_number, exact_quantiles
-from cohortlens.operators import explore, subclusters
+from cohortlens.operators import clustering, explore, subclusters
 from cohortlens.operators.features import CLUSTER_FEATURES
 
 PROBS = [0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0]
@@ -32,26 +32,17 @@ def frame(spark, numbers):
 
 
 def test_sketch_route_is_exact(frame, numbers):
-    got = exact_quantiles(frame, ["tied", "money", "gaps", "empty"], PROBS, 30_000,
-                          small_rows=0, accuracy=200)
+    got = exact_quantiles(frame, ["tied", "money", "gaps", "empty"], PROBS, accuracy=200)
     for i, c in enumerate(("tied", "money", "gaps"), start=1):
         values = [r[i] for r in numbers if r[i] is not None]
         np.testing.assert_allclose(got[c], np.quantile(values, PROBS), rtol=1e-12)
     assert got["empty"] == [None] * len(PROBS)
 
 
-def test_both_routes_agree(frame):
-    small = exact_quantiles(frame, ["tied", "money"], PROBS, 30_000)
-    large = exact_quantiles(frame, ["tied", "money"], PROBS, 30_000, small_rows=0, accuracy=500)
-    assert small == large
-
-
-def test_describe_large_route(frame):
-    few = explore.describe(frame.select("money", "gaps"), [0.25, 0.5], 30_000)
-    many = explore.with_quantiles(
-        few.drop("p25", "p50"), frame, ["money", "gaps"], {"p25": 0.25, "p50": 0.5}, 30_000,
-        small_rows=0)
-    assert sorted(few.collect()) == sorted(many.collect())
+@pytest.mark.parametrize("accuracy", [2, 50, 10_000])
+def test_the_accuracy_does_not_change_the_numbers(frame, accuracy):
+    expected = exact_quantiles(frame, ["tied", "money"], PROBS, accuracy=500)
+    assert exact_quantiles(frame, ["tied", "money"], PROBS, accuracy=accuracy) == expected
 
 
 def test_distributed_row_number(frame):
@@ -84,7 +75,36 @@ def cohorts(spark, n, tie_share):
 @pytest.mark.parametrize("tie_share", [0.0, 0.4, 1.0])
 def test_equal_split_without_sorting_a_cohort(spark, tie_share):
     df = cohorts(spark, 3000, tie_share).cache()
-    simple = subclusters.equal_split(df, 3000).select("customer_id", "segment", "sub_cluster")
-    large = subclusters.equal_split(df, 3000, small_rows=0, accuracy=50).select(
-        "customer_id", "segment", "sub_cluster")
-    assert set(map(tuple, simple.collect())) == set(map(tuple, large.collect()))
+    expected = {}
+    by_segment = {}
+    for r in subclusters.with_score(df).collect():
+        by_segment.setdefault(r["segment"], []).append((r["cluster_score"], r["customer_id"]))
+    for segment, rows in by_segment.items():
+        for place, (_, i) in enumerate(sorted(rows)):
+            expected[segment, i] = None if len(rows) < 100 else 1 if place < len(rows) // 2 else 2
+    got = subclusters.equal_split(df).collect()
+    assert {(r["segment"], r["customer_id"]): r["sub_cluster"] for r in got} == expected
+
+
+def test_equal_split_with_repeated_ids_and_missing_scores(spark):
+    columns = ", ".join(f"{c} double" for c in CLUSTER_FEATURES)
+    x = lambda v: (v,) * len(CLUSTER_FEATURES)
+    rows = [(50 if 40 <= i < 60 else i, "tied", *x(1.0)) for i in range(100)]
+    rows += [(i, "gaps", *x(None if i < 30 else float(i))) for i in range(130)]
+    df = spark.createDataFrame(rows, f"customer_id bigint, segment string, {columns}")
+    split = subclusters.equal_split(df)
+    sizes = {(r["segment"], r["sub_cluster"]): r["count"] for r in split.groupBy("segment", "sub_cluster").count().collect()}
+    assert sizes == {("tied", 1): 50, ("tied", 2): 50, ("gaps", 1): 65, ("gaps", 2): 65}
+    late = {r["customer_id"] for r in split.where("segment = 'gaps' AND sub_cluster = 2").collect()}
+    assert late == set(range(30)) | set(range(95, 130))
+
+
+def test_elbow_of_vanishing_gains():
+    assert clustering.elbow_of([100.0, 40.0, 30.0, 25.0]) == 2
+    assert clustering.elbow_of([100.0, 40.0, 0.0, 0.0]) == 2    # -inf loses against a number
+    assert clustering.elbow_of([10.0, 0.0, 0.0, 0.0]) == 3      # no gain twice
+
+
+def test_zero_and_minus_zero_are_one_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (0.1,)], "x double")
+    assert explore.column_profile(df).first()["distinct_values"] == 2
