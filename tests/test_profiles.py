@@ -47,37 +47,38 @@ def qualifying(rows, segment, population_size, pop_counts, threshold=1.2):
 
 
 def enumerate_profiles(rows, population, pop_counts, coverage, keep, first_id=None):
-    """The search spelled out: sizes from large to small, all subsets, all products."""
+    """Every row votes for the sets of qualifying items it holds; keys are sorted for ids."""
     result, running = [], first_id
     for segment in SEGMENTS:
         mine = [r for r in rows if r[1] == segment]
-        if not mine:
-            continue
-        cats = qualifying(rows, segment, len(population), pop_counts)
+        cats = qualifying(rows, segment, len(population), pop_counts) if mine else {}
         if len(cats) < 2:
             continue
-        number = 1 if running is None else running
-        for size in range(len(cats), 1, -1):
-            found = []
-            for subset in itertools.combinations(sorted(cats), size):
-                for combo in itertools.product(*[cats[d] for d in subset]):
-                    def holds(r):
-                        return all(v is not None and r[2 + d] == v
-                                   for d, v in zip(subset, combo))
-                    n = sum(map(holds, mine))
-                    if n / len(mine) < coverage:
-                        continue
-                    pop = sum(map(holds, population))
-                    found.append((number, " | ".join(
-                        f"{DEMOS[d]}: {'nan' if v is None else v}"
-                        for d, v in zip(subset, combo)), n, pop, n / len(mine),
-                        pop / len(population)))
-                    number += 1
-            if found:
-                result += [(segment, *f) for f in found]
-                break
+        rank = {(d, v): i for d, vs in cats.items() for i, v in enumerate(vs)}
+
+        def votes(people):
+            held = [[(d, r[2 + d]) for d in cats if r[2 + d] is not None and (d, r[2 + d]) in rank]
+                    for r in people]
+            return Counter(frozenset(s) for items in held for size in range(2, len(items) + 1)
+                           for s in itertools.combinations(items, size))
+        own, everyone = votes(mine), votes(population)
+        keys = set(own)
+        if coverage <= 0:   # combinations that nobody holds count too
+            keys = {frozenset()}
+            for d, vs in cats.items():
+                keys = {k | {(d, v)} for k in keys for v in vs}
+        keys = [sorted(k) if None not in dict(k).values() else sorted(k, key=lambda i: i[0])
+                for k in keys if own[k] / len(mine) >= coverage]
+        largest = max(map(len, keys), default=0)
+        keys = sorted((k for k in keys if len(k) == largest),
+                      key=lambda k: ([d for d, _ in k], [rank[i] for i in k]))
+        start = 1 if running is None else running
+        for at, k in enumerate(keys, start):
+            text = " | ".join(f"{DEMOS[d]}: {'nan' if v is None else v}" for d, v in k)
+            n, pop = own[frozenset(k)], everyone[frozenset(k)]
+            result.append((segment, at, text, n, pop, n / len(mine), pop / len(population)))
         if running is not None:
-            running = number
+            running = start + len(keys)
     return result
 
 
