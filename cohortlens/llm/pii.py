@@ -144,8 +144,9 @@ def all_spans(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, disclosure: flo
     spans = base.select(*DOC, "kind", "start", "end", "match", F.lit(None).cast("double").alias("disclosure"))
     if terms.isEmpty():
         return spans
-    holding = (texts.select(*DOC, F.explode(_terms(F.col("text"))).alias("term"))
-               .join(terms, "term", "left_semi").select(*DOC).distinct())
+    # Written first, so that its size is known before any text would be shuffled.
+    holding = keep(texts.select(*DOC, F.explode(_terms(F.col("text"))).alias("term"))
+                   .join(terms, "term", "left_semi").select(*DOC).distinct(), "holding")
     inside = texts.alias("x").join(holding.alias("y"), F.col("x.doc_id").eqNullSafe(F.col("y.doc_id"))
                                    & (F.col("x.t") == F.col("y.t")), "left_semi")
     found = (_occurrences(inside, {"term": TERM}, {"term": "."}, 0).withColumn("term", F.lower("match"))
