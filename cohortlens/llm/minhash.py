@@ -16,7 +16,7 @@ elements, and such pairs are found by joining on the first elements of the
 differences (what X adds before what it lacks; prefix and position filter), then
 verified. By the triangle inequality of the Jaccard distance a member within 2 (1 - t)
 of P has all its partners within 3 (1 - t); it is done and leaves the bucket. Members
-further away go to the next round, with twice the pivots. All links between members of
+further away go to the next round, with `MORE` times the pivots. All links between members of
 a bucket are found, and a group of copies costs rows in proportion to its members.
 
 Defined results: a null, empty or blank text has no shingles and links with
@@ -41,6 +41,7 @@ BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
 PERCENT = 80     # links need 100 * intersection >= PERCENT * union
 SHINGLE = 5
+MORE = 8         # pivots per bucket: 1, then 8, 64, ...
 
 
 def shingle_sets(words: kernel.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,13 +240,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi")
                 .mapInArrow(_packed_sets(shingle), "doc long, shingles binary"), "sets")
 
-    links, comp, per_bucket = None, None, 1
+    comp, per_bucket = None, 1
 
     def merge(fresh: DataFrame) -> None:
-        nonlocal links, comp
-        if not fresh.isEmpty():
-            links = fresh if links is None else links.unionAll(fresh)
-            comp = keep(components(links), "near-components")
+        """Take fresh links into comp; only components that they join are worked on."""
+        nonlocal comp
+        ends = _labelled(_labelled(fresh, "a", comp).withColumnRenamed("comp", "comp_a"), "b", comp)
+        bridges = keep(ends.where("comp_a <> comp").select(F.col("comp_a").alias("a"), F.col("comp").alias("b"))
+                       .distinct(), "bridges")
+        if bridges.isEmpty():
+            return
+        known = bridges.select(F.explode(F.array("a", "b")).alias("node")).distinct().selectExpr("node", "node as comp")
+        if comp is not None:
+            known = comp.selectExpr("node", "component as comp").unionAll(known.join(comp, "node", "left_anti"))
+        joined = components(bridges).select(F.col("node").alias("comp"), "component")
+        comp = keep(known.join(joined, "comp", "left").select("node", F.coalesce("component", "comp").alias("component")),
+                    "near-components")
 
     while True:
         now = keep(_split_only(_labelled(members, "doc", comp), "key").drop("comp"), "open")
@@ -266,7 +276,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         done = (met.join(seen.where("near").select(F.col("a").alias("pivot"), F.col("b").alias("doc")), ["pivot", "doc"], "left_semi")
                 .select("key", "doc").unionAll(pivots.select("key", F.col("pivot").alias("doc"))).distinct())
         members = keep(now.join(done, ["key", "doc"], "left_anti"), "buckets")
-        per_bucket *= 2
+        per_bucket *= MORE
 
     found = classes if comp is None else classes.join(comp, classes.rep == comp.node, "left")
     found = found.select("set_a", "set_b", (F.col("rep") if comp is None
