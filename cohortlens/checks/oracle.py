@@ -52,6 +52,7 @@ SELECT {TIME_1} AS extraction_timestamp, count(*) AS record_count,
 SQL["sink_features"] = f"SELECT customer_id, {rounded(FEATURES)}, {RUN_1} AS run_id FROM survivors"
 SQL["sink_run_artifacts"] = """
 SELECT 'segmented' AS table_name, count(*) AS rows FROM segmented
+UNION ALL SELECT 'raw', count(*) FROM valid UNION ALL SELECT 'metadata', 1
 UNION ALL SELECT 'customer_segment', count(*) FROM segmented
 UNION ALL SELECT 'profiles', count(*) FROM profiles
 UNION ALL SELECT 'codes', count(*) FROM codes
@@ -363,8 +364,10 @@ SQL["fn_like"] = """
 SELECT offer_type ILIKE '%salar%' AS salary_offer, offer_type ILIKE '%turnover%'
   AS turnover_offer, count(*) AS n FROM income_decision GROUP BY 1, 2"""
 SQL["fn_case"] = """
-SELECT customer_id, CASE WHEN age >= 65 THEN 'senior' WHEN age >= 30 THEN 'adult' ELSE 'young' END
-  AS stage, coalesce(maturity_dpd, 0) AS maturity_dpd, abs(age - 40) AS age_gap FROM registry"""
+SELECT customer_id, CASE WHEN total_loan_amount <> 0
+  THEN round(abs(income / total_loan_amount), 6) END AS ratio,
+  coalesce(maturity_dpd, 0) AS maturity_dpd, coalesce(has_14plus_dpd, 0) AS has_14plus_dpd
+FROM registry"""
 SQL["fn_to_numeric"] = """
 SELECT dw_customer_key, TRY_CAST(state AS DOUBLE) AS from_text,
   TRY_CAST(substr(state, 8) AS DOUBLE) AS from_digits FROM customer_dim"""

@@ -109,8 +109,7 @@ def sink_features(run):
 def sink_run_artifacts(run):
     spark = run.raw.sparkSession
     paths = run.save(new_path(spark, "artifacts"), FIRST_RUN, FIRST_TIME)
-    versioned = {"customer_segment": "/version=000001"}
-    parts = [spark.read.parquet(path + versioned.get(name, ""))
+    parts = [spark.read.parquet(sinks.current_version(spark, path) or path)
              .agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
              for name, path in paths.items()]
     out = parts[0]
@@ -713,9 +712,10 @@ def fn_like(src):
 @on_registry
 def fn_case(registry):
     return registry.selectExpr(
-        "customer_id", "CASE WHEN age >= 65 THEN 'senior' WHEN age >= 30 THEN 'adult' "
-        "ELSE 'young' END AS stage", "coalesce(maturity_dpd, 0) AS maturity_dpd",
-        "abs(age - 40) AS age_gap")
+        "customer_id", "CASE WHEN income IS NULL OR total_loan_amount IS NULL "
+        "OR total_loan_amount = 0 THEN NULL ELSE round(abs(income / total_loan_amount), 6) END "
+        "AS ratio", "coalesce(maturity_dpd, 0) AS maturity_dpd",
+        "coalesce(has_14plus_dpd, 0) AS has_14plus_dpd")
 
 
 @on_inputs

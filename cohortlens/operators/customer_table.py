@@ -43,25 +43,30 @@ def per_customer(rows: DataFrame, *aggregates: str) -> DataFrame:
     return rows.groupBy(KEY).agg(*[F.expr(a) for a in aggregates])
 
 
-# Sums run over integers, so the result has the same bits whatever the order
-# of the tasks: doubles are counted in 1e-4 (amounts) or 1e-6 (means) units,
-# decimals are exact as they are. The largest sum is 9.2e14; beyond it ANSI
-# mode stops the job instead of wrapping around.
-def _units(c: str, scale: int) -> str:
-    return f"cast(rint(nanvl(cast({c} AS double), NULL) * {scale}D) AS bigint)"
+# Sums run over decimals with ten places, so the result has the same bits
+# whatever the order of the tasks. A customer with a value or a sum that they
+# cannot hold (infinite, or from 1e28) gets the sum of the doubles instead, as
+# it is: no value ends the job. NaN counts as missing.
+def _double(c: str) -> str:
+    return f"nanvl(cast({c} AS double), NULL)"
+
+
+def _double_sum(c: str, kept: str) -> str:
+    exact = f"try_cast({_double(c)} AS decimal(38,10))"
+    return (f"coalesce(if(count({exact}) {kept} = count({_double(c)}) {kept}, "
+            f"cast(try_sum({exact}) {kept} AS double), NULL), sum({_double(c)}) {kept})")
 
 
 def exact_mean(c: str, keep: str = "true") -> str:
     kept = f"FILTER (WHERE {keep})"
-    return (f"try_divide(cast(sum({_units(c, 1000000)}) {kept} AS double) / 1000000D, "
-            f"count(nanvl(cast({c} AS double), NULL)) {kept}) AS {c}")
+    return f"try_divide({_double_sum(c, kept)}, count({_double(c)}) {kept}) AS {c}"
 
 
 def exact_sum(fact: DataFrame, c: str, keep: str = "true") -> str:
     kept = f"FILTER (WHERE {keep})"
     if dict(fact.dtypes)[c].startswith("decimal"):
         return f"cast(sum({c}) {kept} AS double) AS {c}"
-    return f"cast(sum({_units(c, 10000)}) {kept} AS double) / 10000D AS {c}"
+    return f"{_double_sum(c, kept)} AS {c}"
 
 
 # The newest snapshot date and the highest dpd at it travel as one bigint:

@@ -141,18 +141,27 @@ class CohortRun:
         decoded = decode.decode_with_codes(self.profiles_stage.df, self.codes)
         return profiles.wide_profile(decoded)
 
-    def save(self, root: str, run_id: str, finished_at: str) -> dict[str, str]:
-        """Write all results of the run under `root`."""
-        paths = {name: f"{root}/{name}" for name in (
-            "segmented", "profiles", "codes", "summary", "quarantine", "customer_segment",
-            "segment_profile")}
-        sinks.append_run(self.segmented, paths["segmented"], run_id)
-        sinks.append_run(self.profiles_stage.df, paths["profiles"], run_id)
-        sinks.append_run(self.codes, paths["codes"], run_id)
-        sinks.append_run(self.quarantine, paths["quarantine"], run_id)
+    def save(self, root: str, run_id: str, finished_at: str, source: str = "warehouse",
+             query_text: str = "customer table", fmt: str = "parquet") -> dict[str, str]:
+        """Write all results of the run under `root`.
+
+        `fmt` is the form of the tables kept per run; the two target tables
+        (customer_segment, segment_profile) stay Parquet versions.
+        """
+        per_run = {
+            "raw": self.valid,
+            "metadata": sinks.metadata(self.valid, source, finished_at, query_text),
+            "segmented": self.segmented, "profiles": self.profiles_stage.df,
+            "codes": self.codes, "quarantine": self.quarantine,
+        }
+        targets = ("customer_segment", "segment_profile")
+        paths = {name: f"{root}/{name}" for name in (*per_run, *targets, "summary")}
+        for name, df in per_run.items():
+            sinks.append_run(df, paths[name], run_id, fmt)
         sinks.upsert_parquet(paths["customer_segment"],
                              sinks.segment_rows(self.segmented, finished_at))
         sinks.replace_table(self.wide_profile(), paths["segment_profile"])
         # Last, so that a summary row means the run is complete.
-        sinks.append_run(self.summary(run_id, finished_at).drop("run_id"), paths["summary"], run_id)
+        sinks.append_run(self.summary(run_id, finished_at).drop("run_id"), paths["summary"],
+                         run_id, fmt)
         return paths

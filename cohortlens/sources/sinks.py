@@ -51,13 +51,17 @@ def round_trip(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     return read_table(df.sparkSession, path, df.schema, fmt)
 
 
-def append_run(df: DataFrame, path: str, run_id: str) -> None:
+def append_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
     """Add one run to a table partitioned by run_id.
 
     The partition folder is written directly: a run without rows still leaves
     a file with its schema, and a second run with the same id is refused.
+    In CSV, arrays, maps and structs become JSON text.
     """
-    write_table(df, f"{path}/run_id={run_id}")
+    if fmt == "csv":
+        nested = [c for c, t in df.dtypes if t.startswith(("array", "map", "struct"))]
+        df = df.withColumns({c: F.to_json(c) for c in nested})
+    write_table(df, f"{path}/run_id={run_id}", fmt)
 
 
 def latest_run(table: DataFrame, column: str = "run_id") -> DataFrame:
@@ -89,30 +93,44 @@ def upserted(current: DataFrame, changes: DataFrame, key: str = "customer_id") -
 
 
 def upsert_parquet(path: str, changes: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Upsert into a Parquet table kept as versions; the newest version is current.
+    """Upsert into a table kept as versions."""
+    current = current_version(changes.sparkSession, path)
+    if current is None:
+        return publish(last_per_key(changes, key), path)
+    rows = changes.sparkSession.read.schema(changes.schema).parquet(current)
+    return publish(upserted(rows, changes, key), path)
+
 
-    The new version is written beside the one being read. Old versions can be
-    dropped by the operator of the cluster once no reader uses them.
+def publish(state: DataFrame, path: str) -> DataFrame:
+    """Write `state` as the next version of the Parquet table under `path`.
+
+    The newest committed version is current, so readers see the old rows until
+    the job commits. Old versions can be dropped by the operator of the cluster
+    once no reader uses them. One writer at a time.
     """
-    spark = changes.sparkSession
-    versions = _versions(spark, path)
-    state = last_per_key(changes, key)
-    if versions:
-        current = spark.read.schema(changes.schema).parquet(f"{path}/version={versions[-1]}")
-        state = upserted(current, changes, key)
-    following = f"{(int(versions[-1]) if versions else 0) + 1:06d}"
-    target = f"{path}/version={following}"
+    spark = state.sparkSession
+    # Past the leftovers of failed jobs, too.
+    taken = _versions(spark, path, committed=False)
+    target = f"{path}/version={(int(taken[-1]) if taken else 0) + 1:06d}"
     write_table(state, target)
-    return spark.read.schema(changes.schema).parquet(target)
+    return spark.read.schema(state.schema).parquet(target)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest committed version under `path`."""
+    versions = _versions(spark, path)
+    return f"{path}/version={versions[-1]}" if versions else None
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Committed versions, oldest first (a version counts once it has _SUCCESS)."""
+def _versions(spark: SparkSession, path: str, committed: bool = True) -> list[str]:
+    """Versions, oldest first (one is committed once it has _SUCCESS)."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
-    return sorted(str(m.getPath().getParent().getName()).split("=")[1] for m in marks or [])
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(
+        f"{path}/version=*" + ("/_SUCCESS" if committed else "")))
+    found = [m.getPath().getParent() if committed else m.getPath() for m in marks or []]
+    return sorted((str(p.getName()).split("=")[1] for p in found), key=int)
 
 
 def upsert_catalog_table(changes: DataFrame, table: str, key: str = "customer_id") -> None:
@@ -126,9 +144,8 @@ def upsert_catalog_table(changes: DataFrame, table: str, key: str = "customer_id
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Full replace: delete everything, write the new rows."""
-    write_table(df, path, mode="overwrite")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Full replace: the new rows become the current version, all at once."""
+    return publish(df, path)
 
 
 def jdbc_append(df: DataFrame, table: str, batch: int = 1000) -> None:

@@ -99,6 +99,19 @@ def test_double_amounts_sum_like_decimals(src):
             == sorted(ct.customer_metrics(src.loan_fact).collect()))
 
 
+def test_sums_of_extreme_amounts(spark, src):
+    inf = float("inf")
+    amounts = {1: [0.00004] * 5, 2: [1e15] * 20, 3: [inf, 1.0], 4: [inf, -inf], 5: [1e30, 1.0],
+               6: [float("nan"), 2.0], 7: [None, None]}
+    fact = spark.createDataFrame([(k, x) for k, found in amounts.items() for x in found],
+                                 "dw_customer_key bigint, amount double")
+    got = {r[0]: r["amount"] for r in ct.per_customer(fact, ct.exact_sum(fact, "amount")).collect()}
+    assert got.pop(4) != got.get(4)     # NaN
+    assert got == {1: 0.0002, 2: 2e16, 3: inf, 5: 1e30, 6: 2.0, 7: None}
+    means = {r[0]: r["amount"] for r in ct.per_customer(fact, ct.exact_mean("amount")).collect()}
+    assert (means[1], means[2], means[3], means[7]) == (0.00004, 1e15, inf, None)
+
+
 def test_ratio_cap(src):
     kept = {r["customer_id"] for r in ct.customer_table(src).collect()}
     assert kept == {1, 3, 4, 8, 9}

@@ -45,6 +45,17 @@ def test_unfinished_version_is_ignored(spark):
         f"{path}/version=000007")
     spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
     assert sinks._versions(spark, path) == ["000001"]
+    sinks.upsert_parquet(path, rows)
+    assert sinks._versions(spark, path) == ["000001", "000008"]
+
+
+def test_versions_are_ordered_as_numbers(spark):
+    path = new_path(spark, "versions")
+    for version in ("999999", "1000000"):
+        spark.range(1).write.parquet(f"{path}/version={version}")
+    assert sinks.current_version(spark, path).endswith("version=1000000")
+    sinks.publish(spark.range(2), path)
+    assert sinks.current_version(spark, path).endswith("version=1000001")
 
 
 def test_replace_leaves_only_the_new_row(spark):
@@ -74,6 +85,22 @@ def test_csv_keeps_blanks_and_nulls(spark):
     assert sorted(sinks.round_trip(df, "csv", "csv").collect()) == sorted(df.collect())
 
 
+def test_failed_replace_leaves_the_old_rows(spark):
+    path = new_path(spark, "replace")
+    sinks.replace_table(spark.range(3), path)
+    with pytest.raises(Exception):
+        sinks.replace_table(spark.range(1).selectExpr("raise_error('stop') AS id"), path)
+    assert spark.read.parquet(sinks.current_version(spark, path)).count() == 3
+
+
+def test_csv_run_holds_nested_columns_as_json(spark):
+    path = new_path(spark, "runs")
+    df = spark.range(1).selectExpr("id", "array('a', 'b') AS names", "map('k', 2) AS sizes")
+    sinks.append_run(df, path, "20260101_000000", "csv")
+    row = sinks.read_table(spark, path, fmt="csv").first()
+    assert (row["id"], row["names"], row["sizes"]) == ("0", '["a","b"]', '{"k":2}')
+
+
 def test_unknown_format_is_refused(spark):
     with pytest.raises(ValueError):
         sinks.write_table(spark.range(1), f"/tmp/{uuid.uuid4().hex}", "xml")
