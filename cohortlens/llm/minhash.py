@@ -261,6 +261,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         now = keep(_split_only(_labelled(members, "doc", comp), "key").drop("comp"), "open")
         if now.isEmpty():
             break
+        if per_bucket > 1:  # only documents that are still open are compared from here on
+            open_docs = keep(now.select("doc").distinct(), "open-docs")
+            sets = keep(sets.join(open_docs, "doc", "left_semi"), "sets")
         pivots = keep(_pivots(now, per_bucket), "pivots")
         met = now.join(pivots, "key").where(F.col("doc") != F.col("pivot"))
         # Sizes further apart than 3 (1 - t) allows need no look at the sets.
