@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cohortlens.checks.ctes import (
     CLUSTER, CODED, DEMOS, RATIO_RULES, RISK, RULES, SEGMENT_NAMES, errors_of, with_ctes)
+from cohortlens.operators.decode import KNOWN_LABELS
 
 SQL: dict[str, str] = {}
 
@@ -22,6 +23,7 @@ FEATURES = ("missed_payment_ratio", "overdue_utilization", "monthly_loan_volume"
             "repayment_efficiency")
 RUN_1 = "'20260101_080000'"
 TIME_1, TIME_2 = "TIMESTAMP '2026-01-01 08:00:00'", "TIMESTAMP '2026-01-02 08:00:00'"
+# The action recommended for each cohort.
 ACTION = """CASE segment WHEN 'Low Risk - High Value' THEN 'Prioritize & reward'
   WHEN 'Low Risk - Low Value' THEN 'Grow value'
   WHEN 'Medium Risk - High Value' THEN 'Monitor risk, retain'
@@ -385,18 +387,8 @@ SQL["fn_combo_format"] = """
 SELECT segment, CAST(position AS INTEGER) AS position, combination FROM winners"""
 SQL["fn_combo_parse"] = """
 SELECT segment, place, CAST(pos - 1 AS INTEGER) AS pos, demo, value FROM profile_parts"""
-_KNOWN = {
-    "marital_status": ("divorced", "married", "others", "separated", "single", "widowed"),
-    "dw_channel_key": ("android", "FSA", "IOS", None, "TSA", "web"),
-    "gender": ("female", "male"),
-    "employment_status": ("employed", "others", "self_employed", "unemployed"),
-    "purpose": ("auto/transportation", "consumer_goods", "education", "electronics",
-                "emergency_funds", "events", "healthcare", "housing", "personal",
-                "retail/home_goods", "transportation", "travel_&_hospitality",
-                "uncategorized", "utilities"),
-}
-_KNOWN_ROWS = ", ".join(f"('{f}', '{i}', '{x}')" for f, names in _KNOWN.items()
-                        for i, x in enumerate(names) if x)
+_KNOWN_ROWS = ", ".join(f"('{demo}', '{code}', '{label}')" for demo, codes in KNOWN_LABELS.items()
+                        for code, label in codes.items())
 SQL["fn_decode"] = f"""
 SELECT p.segment, p.place, string_agg(coalesce(k.label, CASE p.demo
     WHEN 'income_bracket' THEN 'income: ' WHEN 'age_category' THEN 'age: '

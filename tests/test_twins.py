@@ -34,6 +34,23 @@ def test_same_result(spark, con, key):
         assert unwanted not in plan
 
 
+# Sort keys of the queries whose row order is part of the result.
+ORDERS = {
+    "sort_customer": lambda r: r["customer_id"],
+    "topk_states": lambda r: (-r["default_rate"], r["state"]),
+    "sort_state_counts": lambda r: (r["n"], r["state"]),
+    "sort_profiles": lambda r: (-r["observed_proportion"], -r["odds_ratio"]),
+    "agg_value_counts": lambda r: (r["column_name"], -r["n"], r["value"] is not None, r["value"] or ""),
+    "sink_readback": lambda r: (-r["customer_count"], r["segment_assigned"]),
+}
+
+
+@pytest.mark.parametrize("key", sorted(ORDERS))
+def test_rows_come_in_order(spark, key):
+    rows = QUERIES[key](spark, FOLDER).collect()
+    assert rows and rows == sorted(rows, key=ORDERS[key])
+
+
 def test_elbow(spark):
     rows = sorted(QUERIES["ml_elbow_k"](spark, FOLDER).collect())
     assert [r["k"] for r in rows] == [1, 2, 3, 4]
