@@ -1,14 +1,17 @@
 """Mixing sources to target weights by a low-discrepancy source schedule.
 
-The mix is a row of slots of `block` words. Slot i stands at the golden-ratio
-point i * A mod 2^31 (A: the odd integer nearest to 2^31 / phi), which is mapped
-through the cumulative targets to a source, so every stretch of the schedule is
-close to the targets. A slot's rank among its source's slots names the block of the
-source's stream that fills it: the source's documents in hash order, laid end to end
-and repeated up to `EPOCHS` times, cut into equal blocks of words.
+The mix is a row of slots of `block` words, of which every source gets as many as its
+target fills; its last slot is cut to the words still missing, so no source is too
+small for a slot. Slot i stands at the golden-ratio point i * A mod 2^31 (A: the odd
+integer nearest to 2^31 / phi); in the order of the points the slots are dealt to the
+sources one after the other, so every stretch of the schedule is close to the targets.
+A slot's rank among its source's slots names the block of the source's stream that
+fills it: the source's documents in hash order, laid end to end and repeated up to
+`EPOCHS` times, cut into equal blocks of words.
 
 Targets are the source's share of all words by weight, at most EPOCHS times what the
-source has; what is cut off is shared out again by weight.
+source has; what is cut off is shared out again by weight. A source gives its target, rounded
+up to whole words.
 
 Ranks and word positions are running sums over chunks and hash buckets, so a source
 of any size is spread over many tasks. The schedule depends on the data and
@@ -37,7 +40,8 @@ BLOCK = 2048           # words in a slot, at most
 MIN_SLOTS = 1 << 16    # small mixes take shorter slots, for enough of them
 RING = 1 << 31
 STEP = 1327217885      # odd integer nearest to RING / golden ratio
-CELL = 1 << 19         # width of the cells that slots and sources meet in
+CELL = 1 << 19         # width of the cells that slots are put in order in
+RUN = 1 << 10          # slots of a source listed together
 CHUNK = 1 << 16        # slots ranked together
 BUCKET_BITS = 12       # hash buckets of a source
 
@@ -71,26 +75,35 @@ def targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFr
 
 
 def schedule(wanted: DataFrame, block: int) -> DataFrame:
-    """slot, idx and rank (from 0, within the source) of every slot."""
-    before = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    total = wanted.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
-    n = -int(-total // block)
-    edge = lambda c: F.floor(c / max(total, 1.0) * RING)
-    spans = (wanted.withColumn("start", F.coalesce(F.sum("target").over(before), F.lit(0.0)))
-             .select("idx", edge(F.col("start")).alias("lo"), edge(F.col("start") + F.col("target")).alias("hi")))
-    spans = (spans.withColumn("hi", F.when(F.col("hi") >= RING - 4, RING).otherwise(F.col("hi"))).where("lo < hi")
-             .withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / CELL), F.floor((F.col("hi") - 1) / CELL)))))
+    """slot, idx, rank (from 0, within the source) and words of every slot."""
+    upto = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    spans = (wanted.select("idx", F.ceil("target").alias("wanted"))
+             .withColumn("n", F.ceil(F.col("wanted") / block)).where("n > 0")
+             .withColumn("hi", F.sum("n").over(upto)).withColumn("lo", F.col("hi") - F.col("n")))
+    spans = keep(spans, "spans")
+    n = spans.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    run = F.explode(F.sequence(F.floor(F.col("lo") / RUN), F.floor((F.col("hi") - 1) / RUN)))
+    first, last = F.greatest("lo", F.col("run") * RUN), F.least(F.col("hi"), (F.col("run") + 1) * RUN) - 1
+    owners = spans.withColumn("run", run).select("idx", "wanted", F.explode(F.sequence(first, last)).alias("place"))
+
     slots = wanted.sparkSession.range(n).select(
         F.col("id").alias("slot"), (F.col("id") % RING * STEP % RING).alias("u"))
-    slots = keep(slots.withColumn("cell", F.floor(F.col("u") / CELL)).join(spans, "cell")
-                 .where("u >= lo and u < hi")
-                 .select("slot", "idx", F.floor(F.col("slot") / CHUNK).alias("chunk")), "slots")
+    slots = slots.withColumn("cell", F.floor(F.col("u") / CELL))
+    lower = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    below = (slots.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+             .select("cell", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("below")))
+    within = F.row_number().over(Window.partitionBy("cell").orderBy("u", "slot"))
+    places = (slots.withColumn("within", within).join(below, "cell")
+              .select("slot", (F.col("within") + F.col("below") - 1).alias("place")))
+    slots = keep(places.join(owners, "place")
+                 .select("slot", "idx", "wanted", F.floor(F.col("slot") / CHUNK).alias("chunk")), "slots")
     chunks = slots.groupBy("idx", "chunk").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("idx").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     shift = chunks.select("idx", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift"))
     here = F.row_number().over(Window.partitionBy("idx", "chunk").orderBy("slot"))
-    return (slots.withColumn("here", here).join(shift, ["idx", "chunk"])
-            .select("slot", "idx", (F.col("here") + F.col("shift") - 1).alias("rank")))
+    rank = F.col("here") + F.col("shift") - 1
+    return (slots.withColumn("here", here).join(shift, ["idx", "chunk"]).withColumn("rank", rank)
+            .select("slot", "idx", "rank", F.least(F.lit(block), F.col("wanted") - F.col("rank") * block).alias("words")))
 
 
 def _positions(rows: DataFrame) -> DataFrame:
@@ -118,15 +131,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, block: int = BLO
 
     rows = rows.join(wanted.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s", "weight")
     placed = _positions(rows)
-    ends = slots.groupBy("idx").agg(((F.max("rank") + 1) * block).alias("reach"))
+    ends = slots.groupBy("idx").agg(F.sum("words").alias("reach"))
     epoch = F.sequence(F.lit(0), F.least(F.lit(epochs - 1), F.floor((F.col("reach") - 1) / F.col("source_size")).cast("int")))
     copies = (placed.where("size > 0").join(ends, "idx").withColumn("epoch", F.explode(epoch))
               .withColumn("p", F.col("start") + F.col("epoch") * F.col("source_size")).where("p < reach"))
     fragments = copies.withColumn("rank", F.explode(F.sequence(
         F.floor(F.col("p") / block), F.floor((F.col("p") + F.col("size") - 1) / block))))
-    words = F.least(F.col("p") + F.col("size"), (F.col("rank") + 1) * block) - F.greatest("p", F.col("rank") * block)
-    taken = (fragments.join(slots.select("idx", "rank"), ["idx", "rank"])
-             .groupBy("rid").agg(F.sum(words).cast("long").alias("taken")))
+    begin = F.col("rank") * block
+    words = F.least(F.col("p") + F.col("size"), begin + F.col("words")) - F.greatest(F.col("p"), begin)
+    taken = (fragments.join(slots.select("idx", "rank", "words"), ["idx", "rank"])
+             .groupBy("rid").agg(F.sum(F.greatest(words, F.lit(0))).cast("long").alias("taken")))
     return (rows.join(taken, "rid", "left")
             .select("doc_id", "t", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 

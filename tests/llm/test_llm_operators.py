@@ -287,6 +287,30 @@ def test_mix(docs):
     assert abs(words - sum(taken.values())) <= 5
 
 
+def test_mix_gives_small_sources_their_target(spark):
+    rows = [(i, "big " * 500, f"big{i % 3}") for i in range(60)] + [(100 + i, "one two three four", f"small{i:02}") for i in range(40)]
+    rows += [(200, None, "none"), (201, "seven words are in this null source", None)]
+    got = collected(mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=64, min_slots=1))
+    source, taken, target = {d: s for d, _, s in rows}, collections.Counter(), {}
+    for r in got:
+        taken[source[r["doc_id"]]] += r["taken"]
+        target[source[r["doc_id"]]] = r["target"]
+        assert r["taken"] <= 3 * r["size"]
+    assert {s: taken[s] for s in target} == {s: int(np.ceil(t)) for s, t in target.items()}
+    assert all(0 < taken[f"small{i:02}"] < 64 for i in range(40)) and taken["none"] == 0 and taken[None] > 0
+
+
+def test_schedule_mixes_every_stretch(spark):
+    wanted = spark.createDataFrame([(0, 50000.0), (1, 7.5), (2, 150000.0), (3, 0.0)], "idx long, target double")
+    slots = sorted(mixing.schedule(wanted, 10).collect())
+    assert [r["slot"] for r in slots] == list(range(20001))
+    for idx, words in ((0, 50000), (1, 8), (2, 150000)):
+        own = [r for r in slots if r["idx"] == idx]
+        assert [r["rank"] for r in own] == list(range(len(own))) and sum(r["words"] for r in own) == words
+    for i in range(0, 20000, 400):
+        assert abs(sum(r["idx"] == 0 for r in slots[i:i + 400]) - 100) <= 3
+
+
 def test_pack(docs):
     encoder = packing.Encoder.of(*packing.public_tokenizer())
     got = collected(packing.packing_digest(docs))
