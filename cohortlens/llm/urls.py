@@ -1,10 +1,11 @@
 """URL filter: per host a tree of path templates, judged by labelled purity.
 
-Variable segments (numbers, hex strings, dates, mixed ids) become wildcards at once;
-then, level by level, a literal branch is merged into its parent's wildcard if the
-parent has too many branches and this one is small, or if its share of good labels
-does not differ from its parent's by more than chance (two-proportion z-test). What
-is left per host are templates with pooled label counts. A template is rejected if
+Variable segments (numbers, hex strings, dates) become wildcards at once; then, level
+by level, a literal branch is merged into its parent's wildcard if its share of good
+labels does not differ from its parent's by more than chance (two-proportion z-test),
+however many branches there are; one without labels does not differ. Names with digits
+are literal, and their wildcard keeps the extension. What is left per host are
+templates with pooled label counts. A template is rejected if
 its purity, smoothed towards the share of good labels overall, is below
 `MIN_PURITY`. Listed rules overrule the method.
 
@@ -23,15 +24,15 @@ from cohortlens.llm.common import ascii_lower, keep
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
-MAX_BRANCHES = 32     # a node with more literal branches ...
-SMALL_SHARE = 0.05    # ... merges those below this share of its pages
 SAME_Z = 1.96         # branches closer than this to their parent are alike
 PRIOR = 10.0          # weight of the overall share, in labels
 MIN_PURITY = 0.5
 WILD = "*"
 
 _VARIABLE = (r"^(?:[0-9]+|[0-9a-fA-F]{8,}|[0-9A-Fa-f]{8}-[0-9A-Fa-f-]{27}|[0-9]{4}-[0-9]{2}(?:-[0-9]{2})?"
-             r"|[A-Za-z_-]*[0-9][0-9A-Za-z_-]*)(\.[A-Za-z][A-Za-z0-9]{0,4})?$")
+             r")(\.[A-Za-z][A-Za-z0-9]{0,4})?$")
+# Names with digits, ids among them: literal until they are merged.
+_MIXED = r"^[A-Za-z_-]*[0-9][0-9A-Za-z_-]*(\.[A-Za-z][A-Za-z0-9]{0,4})?$"
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -79,10 +80,10 @@ def template_tree(paths: DataFrame) -> DataFrame:
         spread = share * (1 - share) * (1 / F.when(own > 0, own) + 1 / F.when(others > 0, others))
         gap = F.col("good") / F.when(own > 0, own) - (F.col("all_good") - F.col("good")) / F.when(others > 0, others)
         differs = F.coalesce(gap * gap > SAME_Z * SAME_Z * spread, F.lit(False))
-        small = (F.col("branches") > MAX_BRANCHES) & (F.col("n") < SMALL_SHARE * F.col("all_n"))
-        merged = (small | ~differs) & (F.col("branches") > 1)
+        merged = ~differs & (F.col("branches") > 1)
+        wild = F.concat(F.lit(WILD), F.regexp_extract("seg", _MIXED, 1))
         names = judged.select(F.col("host").alias("h"), F.col("template").alias("p"), F.col("seg").alias("s"),
-                              F.when(merged, WILD).otherwise(F.col("seg")).alias("name"))
+                              F.when(merged, wild).otherwise(F.col("seg")).alias("name"))
         rows = (here.join(names, (F.col("host") == F.col("h")) & (F.col("template") == F.col("p"))
                           & (F.col("seg") == F.col("s")), "left")
                 .select("host", "shape", "n", "good", "bad",

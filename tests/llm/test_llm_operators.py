@@ -232,6 +232,19 @@ def test_urls(spark):
     assert {r["template"] for r in got if (r["page_id"] or 0) >= 100} == {"/spam/*.html", "/news/*.html"}
 
 
+def test_urls_judge_every_branch_by_its_labels(spark):
+    bad = {f"dir{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}": i % 4 == 0 for i in range(40)} | {"casino24": True, "news24": False, "quiet9": None}
+    pages = [(i, f"http://wide.example/{name}/{i}-{name}.html") for i, name in enumerate(n for n in bad for _ in range(30))]
+    labels = [(i, not bad[u.split("/")[3]]) for i, u in pages if bad[u.split("/")[3]] is not None]
+    got = collected(urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"),
+                                    spark.createDataFrame(labels, "page_id long, good boolean")))
+    verdicts = collections.defaultdict(set)
+    for r in got:
+        verdicts[r["path"].split("/")[1]].add(r["verdict"])
+    assert verdicts == {name: {"block" if b else "allow"} for name, b in bad.items()}
+    assert {r["template"] for r in got if "casino24" in r["path"]} == {"/casino24/*.html"}
+
+
 def test_embeddings(spark):
     g = np.random.Generator(np.random.PCG64(1))
     rows, n = [], 0
