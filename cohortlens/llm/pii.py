@@ -2,7 +2,7 @@
 
 Base kinds (email, ip, card, phone) are matched by pattern and checked. Values that
 occur in at least `MIN_CONTEXTS` different contexts are protected entities: for every
-term near them the corpus tells how strongly it reveals the entity. With p(e) the
+term of their documents the corpus tells how strongly it reveals the entity. With p(e) the
 share of documents holding the entity and p(t), p(e, t) likewise for the term and for
 both, the disclosure is PMI(e, t) / IC(e), with IC(e) = -log2 p(e): 1 if every document
 with the term has the entity, 0 if they are independent. A term at or above
@@ -10,8 +10,11 @@ with the term has the entity, 0 if they are independent. A term at or above
 with certainty is removed from the sanitised text, others are generalised to their
 shape, and base values to their kind.
 
-A term counts for an entity only if it stands near it in `MIN_CONTEXTS` contexts
-that differ, so copies of one document do not make its words revealing.
+Documents count whole, wherever in them the term and the entity stand. Contexts only
+discount copies: a term counts for an entity only with `MIN_CONTEXTS` contexts of the
+entity that differ, one from every document they share and any that the term stands
+in, so copies of one document do not make its words revealing. A word that stands in
+base values only is no term of theirs.
 
 Patterns start at the beginning of a run and never give a run back, so they are
 linear on long runs. Positions are running sums of the text between matches.
@@ -39,7 +42,8 @@ PATTERNS = {
 SIGNS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"\+[0-9]"}
 TERM = r"[\p{L}\p{N}]{4,}+"
 
-CONTEXT = 60        # code points on each side of an entity in which terms count
+CONTEXT = 60        # code points on each side of an entity that tell copies apart
+PIECE = 128         # code points of a text that are cut out together
 MIN_CONTEXTS = 5
 DISCLOSURE = 0.95
 DOC = ["doc_id", "t"]
@@ -66,40 +70,36 @@ def _valid(kind: Column, match: Column) -> Column:
             .otherwise(True))
 
 
-def _cut(text: Column, kind: str, pattern: str, context: int) -> Column:
-    """Matches with the length of, and the context in, the text between them."""
+def _cut(text: Column, kind: str, pattern: str) -> Column:
+    """Matches with the length of the text between them."""
     between = F.split(text, pattern, -1)
     return F.struct(
         F.lit(kind).alias("kind"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"),
-        F.transform(between, lambda s: F.struct(
-            F.length(s).alias("n"), F.right(s, F.lit(context)).alias("tail"), F.left(s, F.lit(context)).alias("head"),
-        )).alias("between"))
+        F.transform(between, F.length).alias("between"))
 
 
-def _occurrences(texts: DataFrame, patterns: dict[str, str], signs: dict[str, str], context: int) -> DataFrame:
-    """DOC, kind, match, start, end and what stands left and right of every match.
+def _occurrences(texts: DataFrame, patterns: dict[str, str], signs: dict[str, str]) -> DataFrame:
+    """DOC, kind, match, start and end of every match.
 
     texts: DOC and text, distinct.
     """
-    cuts = [F.when(F.col("text").rlike(signs[k]), _cut(F.col("text"), k, p, context)) for k, p in patterns.items()]
+    cuts = [F.when(F.col("text").rlike(signs[k]), _cut(F.col("text"), k, p)) for k, p in patterns.items()]
     found = (texts.select(*DOC, F.explode(F.array_compact(F.array(*cuts))).alias("c"))
              .where(F.size("c.matches") > 0)
              .select(*DOC, "c.kind", F.posexplode(F.arrays_zip(
-                 F.col("c.matches").alias("match"), F.col("c.between").alias("before"),
-                 F.expr("slice(c.between, 2, size(c.matches))").alias("after"))))
+                 F.col("c.matches").alias("match"), F.col("c.between").alias("before"))))
              .where("col.match is not null")
-             .select(*DOC, "kind", "pos", "col.match", F.col("col.before.n").alias("gap"),
-                     F.col("col.before.tail").alias("left"), F.col("col.after.head").alias("right"),
+             .select(*DOC, "kind", "pos", "col.match", F.col("col.before").alias("gap"),
                      F.length("col.match").alias("n"))
              .dropDuplicates([*DOC, "kind", "pos"]))    # repeated rows
     upto = Window.partitionBy(*DOC, "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return (found.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto))
-            .select(*DOC, "kind", "match", (F.col("end") - F.col("n")).alias("start"), "end", "left", "right"))
+            .select(*DOC, "kind", "match", (F.col("end") - F.col("n")).alias("start"), "end"))
 
 
-def base_spans(texts: DataFrame, context: int = CONTEXT) -> DataFrame:
-    found = _occurrences(texts, PATTERNS, SIGNS, context)
+def base_spans(texts: DataFrame) -> DataFrame:
+    found = _occurrences(texts, PATTERNS, SIGNS)
     return found.where(_valid(F.col("kind"), F.col("match")))
 
 
@@ -107,32 +107,93 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points from start to end of a text in pieces; linear in what is cut out."""
+    first = F.floor(start / PIECE).cast("int")
+    some = F.array_join(F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1), "")
+    return F.when(end > start, some.substr((start - first * PIECE + 1).cast("int"), (end - start).cast("int"))).otherwise("")
+
+
+def _holding(texts: DataFrame, spans: DataFrame, min_contexts: int) -> DataFrame:
+    """DOC, seen (entity, left, right), outside and inside (terms out of and only in base values).
+
+    Of documents with an entity that occurs often enough to be protected.
+    """
+    entity = F.concat_ws(":", "kind", F.lower("match"))
+    spans = spans.select(*DOC, entity.alias("entity"), "start", "end")
+    often = spans.groupBy(F.col("entity").alias("often")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_contexts)
+    order = Window.partitionBy(*DOC).orderBy("start", "end", "entity").rowsBetween(Window.unboundedPreceding, -1)
+    per = (spans.join(often, F.col("entity") == F.col("often"), "left")
+           .withColumn("reach", F.coalesce(F.max("end").over(order), F.lit(0)))
+           .groupBy(F.col("doc_id").alias("_d"), F.col("t").alias("_g"))
+           .agg(F.sort_array(F.collect_list(F.struct("start", "end", "entity", "often", "reach"))).alias("spans"),
+                F.max("end").alias("last")).where(F.exists("spans", lambda s: s["often"].isNotNull())))
+    # Written first, so that its size is known before any text would be shuffled.
+    per = keep(per, "entity-docs")
+    rows = texts.join(per, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_g")))
+    n = F.length("text").cast("long")
+
+    def cut(c: Column) -> Column:
+        seen = F.transform(F.filter("spans", lambda s: s["often"].isNotNull()), lambda s: F.struct(
+            s["entity"].alias("entity"),
+            _between(c, F.greatest(s["start"] - CONTEXT, F.lit(0)), s["start"]).alias("left"),
+            _between(c, s["end"], F.least(s["end"] + CONTEXT, n)).alias("right")))
+        rest = F.concat(F.transform("spans", lambda s: _between(c, s["reach"], s["start"])),
+                        F.array(_between(c, F.col("last"), n)))
+        return F.struct(seen.alias("seen"), _terms(F.array_join(rest, " ")).alias("outside"))
+    # A lambda over one array, so that a text is put in pieces once.
+    pieces = F.regexp_extract_all("text", F.lit(rf"[\s\S]{{1,{PIECE}}}+"), F.lit(0))
+    rows = rows.select(*DOC, _terms(F.col("text")).alias("every"), F.explode(F.transform(F.array(pieces), cut)).alias("x"))
+    return (rows.select(*DOC, "x.seen", "x.outside", F.array_except("every", "x.outside").alias("inside"))
+            .dropDuplicates(DOC))    # repeated rows
+
+
 def disclosing_terms(texts: DataFrame, spans: DataFrame, min_contexts: int = MIN_CONTEXTS,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """term and its highest disclosure, for terms at or above the threshold."""
-    entity = spans.select(*DOC, F.concat_ws(":", "kind", F.lower("match")).alias("entity"), "left", "right")
-    near = (entity.withColumn("context", F.xxhash64("left", "right"))
-            # The cut ends of a context may be parts of words.
-            .withColumn("words", F.concat_ws(" ", F.regexp_replace("left", r"^[\p{L}\p{N}]+", ""),
-                                             F.regexp_replace("right", r"[\p{L}\p{N}]+$", "")))
-            .select(*DOC, "entity", "context", F.explode(_terms(F.col("words"))).alias("term")))
-    contexts = (near.groupBy("entity", "term", "context").agg(F.lit(1).alias("one"))
-                .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-                .where(F.col("contexts") >= min_contexts))
-    both = (near.join(contexts.select("entity", "term"), ["entity", "term"], "left_semi")
-            .select("entity", "term", *DOC).distinct()
-            .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")))
-    both = keep(both, "near-terms")
-    if both.isEmpty():
-        return both.select("term", F.lit(1.0).alias("disclosure")).limit(0)
+    held = keep(_holding(texts, spans, min_contexts), "held")
+    seen = held.select(*DOC, F.explode("seen").alias("s")).select(
+        *DOC, "s.*", F.xxhash64("s.left", "s.right").alias("context"))
+    protected = (seen.groupBy("entity", "context").agg(F.lit(1).alias("one"))
+                 .groupBy("entity").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= min_contexts))
+    first = seen.groupBy("entity", *DOC).agg(F.min("context").alias("context"))
     n_docs = texts.count()
-    holders = entity.select("entity", *DOC).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    df = (texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
-    scored = both.join(holders, "entity").join(df, "term")
     # A shown entity in every document carries no information to disclose.
+    sizes = keep(first.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") < n_docs)
+                 .join(protected.select("entity"), "entity"), "entities")
+    if sizes.isEmpty():
+        return seen.select(F.col("entity").alias("term"), F.lit(1.0).alias("disclosure")).limit(0)
+    # Both at most n_entity documents, so a term in more than this stays below the threshold.
+    most = F.pow("n_entity", F.lit(disclosure)) * F.pow(F.lit(float(n_docs)), F.lit(1 - disclosure)) * (1 + 1e-9)
+    holders = keep(first.join(sizes.withColumn("most", most), "entity")
+                   .select(F.col("doc_id").alias("_d"), F.col("t").alias("_g"), "entity", "context", "n_entity", "most"), "holders")
+    # The cut ends of a context may be parts of words.
+    words = F.concat_ws(" ", F.regexp_replace("left", r"^[\p{L}\p{N}]+", ""), F.regexp_replace("right", r"[\p{L}\p{N}]+$", ""))
+    near = keep(seen.join(sizes.select("entity"), "entity", "left_semi")
+                .select("entity", F.explode(_terms(words)).alias("term"), "context").distinct(), "near-terms")
+    # A term in fewer documents than contexts are needed must stand near.
+    df = (texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+          .where(F.col("n_term") <= sizes.agg(F.max(most)).first()[0])
+          .join(near.select("term", F.lit(1).alias("is_near")).distinct(), "term", "left")
+          .where((F.col("n_term") >= min_contexts) | F.col("is_near").isNotNull()).select("term", "n_term"))
+    mark = lambda c, out: F.transform(c, lambda x: F.struct(x.alias("term"), F.lit(out).alias("outside")))
+    wide = (held.select(*DOC, F.explode(F.concat(mark("outside", True), mark("inside", False))).alias("x"))
+            .select(*DOC, "x.*").join(df, "term")
+            .join(holders, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_g")) & (F.col("n_term") <= F.col("most")))
+            .select("entity", "term", "context", "outside", F.lit(1).alias("n"), F.lit(False).alias("near"), "n_entity", "n_term"))
+    none = F.lit(None).cast("long")
+    close = near.select("entity", "term", "context", F.lit(False).alias("outside"), F.lit(0).alias("n"), F.lit(True).alias("near"),
+                        none.alias("n_entity"), none.alias("n_term"))
+    both = (wide.unionByName(close).groupBy("entity", "term", "context")
+            .agg(F.sum("n").alias("n"), F.max("outside").alias("outside"), F.max("near").alias("near"),
+                 F.max("n_entity").alias("n_entity"), F.max("n_term").alias("n_term"))
+            .groupBy("entity", "term")
+            .agg(F.sum("n").alias("n_both"), F.max("outside").alias("outside"), F.count_if(F.col("outside") | F.col("near")).alias("contexts"),
+                 F.max("n_entity").alias("n_entity"), F.max("n_term").alias("n_term"))
+            .where(F.col("outside") & (F.col("contexts") >= min_contexts)))
     information = -F.log2(F.col("n_entity") / n_docs)
     pmi = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
-    return (scored.where((F.col("n_entity") < n_docs) & (pmi >= disclosure * information))
+    return (both.where(pmi >= disclosure * information)
             .groupBy("term").agg(F.max(pmi / information).alias("disclosure")))
 
 
@@ -149,7 +210,7 @@ def all_spans(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, disclosure: flo
                    .join(terms, "term", "left_semi").select(*DOC).distinct(), "holding")
     inside = texts.alias("x").join(holding.alias("y"), F.col("x.doc_id").eqNullSafe(F.col("y.doc_id"))
                                    & (F.col("x.t") == F.col("y.t")), "left_semi")
-    found = (_occurrences(inside, {"term": TERM}, {"term": "."}, 0).withColumn("term", F.lower("match"))
+    found = (_occurrences(inside, {"term": TERM}, {"term": "."}).withColumn("term", F.lower("match"))
              .join(terms, "term").select(*DOC, "kind", "start", "end", "match", "disclosure").distinct())
     return spans.unionByName(found)
 

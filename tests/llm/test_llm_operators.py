@@ -203,6 +203,19 @@ def test_terms_that_disclose(spark):
     assert clean[0] == "filler0 [REMOVED] [REMOVED] reach [EMAIL] now item0" and clean[9] == rows[9][1]
 
 
+def test_terms_disclose_from_anywhere_in_a_document(spark):
+    gap = "common words between them " * 8
+    rows = [(i, f"Dear Zephyrine {gap} row{i} ann@corp.example, bob{i}@x.yy end{i}") for i in range(6)]
+    rows += [(20 + i, f"Half {'Quillon' if i % 2 else ''} {gap} {'' if i % 2 else 'Quillon '}his{i} 10.1.2.3 end{i}") for i in range(12)]
+    rows += [(40 + i, f"{gap} only{i}") for i in range(60)] + [(200 + i, f"{gap} Copied copy +1 (555) 010-9999 same") for i in range(7)]
+    got = {r["doc_id"]: r for r in collected(pii.pii_digest(spark.createDataFrame(rows, "doc_id long, text string")))}
+    words = {d: sorted({x[int(p[1]):int(p[2])] for p in (s.split(":") for s in got[d]["spans"].split(",") if s) if p[0] == "term"})
+             for d, x in rows}
+    assert all(words[d] == ["Dear", "Zephyrine"] for d in range(6))
+    assert all(words[20 + i] == ["Half", "Quillon"] for i in range(12))
+    assert not any(words[d] for d, _ in rows if d >= 40)
+
+
 def test_shards(docs, spark):
     got = collected(sharding.sharding_digest(docs))
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["size"], r["text_crc32"]) for r in got) == sorted(
