@@ -40,7 +40,7 @@ PATTERNS = {
 }
 # A cheap sign without which a text has no match.
 SIGNS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"\+[0-9]"}
-TERM = r"[\p{L}\p{N}]{4,}+"
+TERM = r"[\p{L}\p{N}]++"
 
 CONTEXT = 60        # code points on each side of an entity that tell copies apart
 PIECE = 128         # code points of a text that are cut out together

@@ -216,6 +216,13 @@ def test_terms_disclose_from_anywhere_in_a_document(spark):
     assert not any(words[d] for d, _ in rows if d >= 40)
 
 
+def test_short_names_disclose(spark):
+    rows = [(i, f"note{i} to Kim and 李 in the house x mail kim.l@corp.example item{i}") for i in range(8)]
+    rows += [(i, f"words to and in the house x number{i}") for i in range(8, 60)]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert clean[0] == "note0 to [REMOVED] and [REMOVED] in the house x [REMOVED] [EMAIL] item0" and clean[9] == rows[9][1]
+
+
 def test_shards(docs, spark):
     got = collected(sharding.sharding_digest(docs))
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["size"], r["text_crc32"]) for r in got) == sorted(
