@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, embeddings, line_dedup, minhash, mixing, packing, pii, quality, sharding, urls
+from cohortlens.llm import chat, embeddings, line_dedup, minhash, mixing, packing, pii, quality, sharding, trie, urls, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,4 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": lambda s, d: embeddings.embeddings_digest(table(s, d, "embeddings")),
     "op9_mixing": lambda s, d: mixing.mixing_digest(table(s, d, "documents")),
     "op10_packing": lambda s, d: packing.packing_digest(table(s, d, "documents")),
+    "op11_trie": lambda s, d: trie.trie_digest(table(s, d, "conversations")),
+    "op12_warc": lambda s, d: warc.warc_digest(table(s, d, "pages")),
 }
