@@ -11,14 +11,14 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write once to the shared checkpoint folder and read from there.
 
     Cuts lineage: a lost executor costs a re-read. Nothing is cached locally.
     """
     spark = df.sparkSession
     path = new_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

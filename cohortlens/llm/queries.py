@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, embeddings, line_dedup, minhash, mixing, packing, pii, quality, sharding, trie, urls, warc
+from cohortlens.llm import alignment, chat, embeddings, line_dedup, minhash, mixing, packing, pii, quality, sharding, trie, urls, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,4 +26,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": lambda s, d: packing.packing_digest(table(s, d, "documents")),
     "op11_trie": lambda s, d: trie.trie_digest(table(s, d, "conversations")),
     "op12_warc": lambda s, d: warc.warc_digest(table(s, d, "pages")),
+    "op13_alignment": lambda s, d: alignment.alignment_digest(table(s, d, "documents")),
 }
