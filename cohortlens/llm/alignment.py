@@ -38,8 +38,8 @@ from cohortlens.llm.packing import Encoder
 PIECES = "piece_bpe_32k.model"
 PIECE = 1 << 16          # links of a document written as one row
 COMMON = 1 << 17         # pairs sent to every task, at most
-COUNTED = 1 << 22        # links counted together in a task
-TEXT_BYTES = 1 << 21     # text aligned together
+COUNTED = 1 << 20        # links counted or looked up together in a task
+TEXT_BYTES = 1 << 19     # text aligned together; a longer text stands alone
 END_BITS = 40
 
 
@@ -202,6 +202,13 @@ def _aligned(files: Files, pair: str):
     return run
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about COUNTED links; one row has PIECE at most."""
+    ends = np.asarray(batch.column("links").offsets, np.int64)
+    for lo, hi in kernel.pieces(ends, COUNTED):
+        yield batch.slice(lo, hi - lo)
+
+
 def _partial_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each pair occurs in some of the task's links."""
     held, size = [], 0
@@ -212,11 +219,12 @@ def _partial_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         return done.cast(pa.schema([("pair", pa.int64()), ("n", pa.int64())])).combine_chunks().to_batches()
 
     for batch in batches:
-        held.append(batch.column("links").flatten())
-        size += len(held[-1])
-        if size >= COUNTED:
-            yield from counted()
-            held, size = [], 0
+        for part in _slices(batch):
+            held.append(part.column("links").flatten())
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield from counted()
+                held, size = [], 0
     if size:
         yield from counted()
 
@@ -225,7 +233,7 @@ def _looked_up(common):
     """Sums over the links among the common pairs (sorted pairs, counts, best); the rest as a list."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, counts, best = common.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             links = batch.column("links")
             code = links.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             row = pc.list_parent_indices(links).to_numpy(zero_copy_only=False)
