@@ -444,6 +444,41 @@ SELECT demo, value, count(*) AS pop_n FROM ex_pop_long WHERE value IS NOT NULL
 GROUP BY demo, value"""
 CTES["ex_split_long"] = long_demos("ex_split", "customer_id, segment, sub_cluster")
 
+# k-means: centres at fixed places of the row mean, then ten unrolled steps.
+_DIM = range(1, len(CLUSTER) + 1)
+CTES["km_points"] = f"""
+SELECT *, row_number() OVER (ORDER BY score, customer_id) AS place, count(*) OVER () AS n
+FROM (SELECT *, round(({" + ".join(f"x{i}" for i in _DIM)}) / {len(CLUSTER)}, 9) AS score FROM (
+  SELECT customer_id, {", ".join(f"round({c}, 9) AS x{i}" for i, c in zip(_DIM, CLUSTER))} FROM ex_scaled))"""
+CTES["km_c0"] = f"""
+SELECT k, i, {", ".join(f"x{d}" for d in _DIM)} FROM km_points
+JOIN (SELECT k, i FROM range(1, 5) AS a(k), range(1, 5) AS b(i) WHERE i <= k)
+  ON place = ((2 * i - 1) * n) // (2 * k) + 1"""
+
+
+def _assigned(centres: str) -> str:
+    apart = " + ".join(f"(p.x{d} - c.x{d}) * (p.x{d} - c.x{d})" for d in _DIM)
+    return f"""
+SELECT customer_id, k, i, d, {", ".join(f"x{d}" for d in _DIM)} FROM (
+  SELECT p.*, c.k, c.i, {apart} AS d, row_number() OVER (PARTITION BY p.customer_id, c.k ORDER BY {apart}, c.i) AS rank
+  FROM km_points p JOIN {centres} c ON true) WHERE rank = 1"""
+
+
+def _recentred(step: int) -> str:
+    means = ", ".join(f"coalesce(CAST(sum(CAST(a.x{d} AS DECIMAL(20,9))) AS DOUBLE) / count(a.x{d}), any_value(c.x{d})) AS x{d}"
+                      for d in _DIM)
+    return f"""
+SELECT c.k, c.i, {means} FROM km_c{step - 1} c LEFT JOIN km_a{step} a ON a.k = c.k AND a.i = c.i GROUP BY c.k, c.i"""
+
+
+KM_STEPS = 10
+for _step in range(1, KM_STEPS + 1):
+    CTES[f"km_a{_step}"] = _assigned(f"km_c{_step - 1}")
+    CTES[f"km_c{_step}"] = _recentred(_step)
+CTES["km_last"] = _assigned(f"km_c{KM_STEPS}")
+CTES["km_inertia"] = """
+SELECT k, CAST(sum(CAST(d AS DECIMAL(38,12))) AS DOUBLE) AS inertia FROM km_last GROUP BY k"""
+
 # Search without a coverage threshold.
 CTES["ex_long"] = long_demos("ex_segmented", "customer_id, segment")
 CTES["ex_population"] = "SELECT * FROM ex_segmented WHERE age_category IS NOT NULL"

@@ -288,6 +288,14 @@ SELECT customer_id, segment, round(total_loan_amount - total_amount_overdue, 4)
 FROM ex_segmented"""
 
 # -- windows -----------------------------------------------------------------
+SQL["ml_elbow_k"] = """
+SELECT CAST(a.k AS INTEGER) AS k, round(a.inertia, 6) AS inertia, CAST((
+    SELECT g.k FROM (
+      SELECT b.k, p.inertia - b.inertia AS gain, b.inertia - s.inertia AS next_gain FROM km_inertia b
+      JOIN km_inertia p ON p.k = b.k - 1 JOIN km_inertia s ON s.k = b.k + 1) g
+    ORDER BY CASE WHEN gain = 0 AND next_gain = 0 THEN 0 ELSE 1 END,
+      CASE WHEN next_gain <> 0 THEN gain / next_gain WHEN gain > 0 THEN '-inf'::DOUBLE ELSE 'inf'::DOUBLE END DESC, g.k
+    LIMIT 1) AS INTEGER) AS optimal_k FROM km_inertia a"""
 SQL["win_equal_split"] = "SELECT customer_id, segment, sub_cluster FROM ex_split"
 SQL["win_topk_segment"] = """
 SELECT segment, CAST(position AS INTEGER) AS position, CAST(size AS INTEGER) AS size, n, pop_n,

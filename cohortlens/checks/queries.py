@@ -10,7 +10,7 @@ from cohortlens.config import CODED_DEMOGRAPHICS, DEMOGRAPHICS, SEGMENTS
 from cohortlens.functions import columns as sql
 from cohortlens.functions.staging import new_path, write_stage
 from cohortlens.operators import (
-    binning, cleaning, customer_table as ct, decode, encoding, explore, features, profiles,
+    binning, cleaning, clustering, customer_table as ct, decode, encoding, explore, features, profiles,
     quality, scoring, subclusters)
 from cohortlens.plans.exploration import Exploration, known_customers
 from cohortlens.plans.pipeline import CohortRun
@@ -526,8 +526,7 @@ def feat_zscore(ex):
 
 @on_exploration
 def ml_elbow_k(ex):
-    from cohortlens.operators.clustering import elbow
-    return elbow(write_stage(features.z_scores(ex.featured.df), "scaled").df)
+    return clustering.elbow(features.z_scores(ex.featured.df)).selectExpr("k", "round(inertia, 6) AS inertia", "optimal_k")
 
 
 @on_exploration

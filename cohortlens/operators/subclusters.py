@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.config import DEMOGRAPHICS
-from cohortlens.functions.columns import number, row_mean
-from cohortlens.functions.ranks import distributed_row_number
+from cohortlens.functions.columns import case, number, quote, row_mean
+from cohortlens.functions.ranks import distributed_row_number, select_places
 from cohortlens.functions.staging import unpivot_text
 from cohortlens.operators.features import CLUSTER_FEATURES
 
@@ -23,17 +23,44 @@ def with_score(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
 def equal_split(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
     """sub_cluster 1 for the first n // 2 rows by (mean feature, id), 2 for the rest.
 
-    Rows without a mean come last; rows equal in both are told apart by their
-    place, so the halves are exact whatever repeats. Cohorts under MIN_SPLIT_ROWS are
-    not split and get NULL. No cohort is ever sorted in one task.
+    Rows without a mean come last, rows without an id first among equal means. The row at place n // 2 is found by
+    counting, after which a filter splits the cohort: no row is sorted or moved. Rows equal to it in
+    both are numbered, so the halves are exact whatever repeats. Cohorts under
+    MIN_SPLIT_ROWS are not split and get NULL.
     """
-    order = ["_missing", "cluster_score", "customer_id"]
-    scored = with_score(df, columns).withColumn("_missing", F.isnull("cluster_score"))
-    placed = distributed_row_number(scored, "segment", order, "_place")
-    sizes = scored.groupBy("segment").agg(F.count("*").alias("_n"))
-    half = f"CASE WHEN _n >= {MIN_SPLIT_ROWS} THEN if(_place <= _n div 2, 1, 2) END"
-    return (placed.join(F.broadcast(sizes), "segment")   # one row per cohort
-            .withColumn("sub_cluster", F.expr(half)).drop("_missing", "_place", "_n"))
+    scored = with_score(df, columns)
+    missing, key = "(cluster_score IS NULL OR isnan(cluster_score))", f"coalesce(cast(customer_id AS bigint), {-2 ** 63 + 1}L)"
+    # One row per cohort.
+    sizes = {r["segment"]: r for r in scored.groupBy("segment").agg(
+        F.count("*").alias("n"), F.expr(f"count_if({missing})").alias("gaps")).collect() if r["n"] >= MIN_SPLIT_ROWS}
+    middle = {}
+    for segment, r in sizes.items():
+        # The middle lies among the rows with a mean, or among those without.
+        present, half = r["n"] - r["gaps"], r["n"] // 2
+        mine = "segment IS NULL" if segment is None else f"segment = {quote(segment)}"
+        middle[segment] = (mine, missing, half - present) if half > present else (mine, f"NOT {missing}", half)
+    score = f"if({missing}, 0D, cluster_score)"
+    cuts = select_places(scored, {s: f"{mine} AND {side}" for s, (mine, side, _) in middle.items()}, score, key,
+                         lambda segment, _: [middle[segment][2]])
+    arms, ties = [], {}
+    for segment, (mine, side, place) in middle.items():
+        cut = cuts[segment][0]
+        level = f"{score} = {number(cut.score)}"
+        taken = place - cut.before      # of the rows equal to the cut
+        if side == missing:
+            arms.append((f"{mine} AND NOT {missing}", "1"))
+        arms += [(f"{mine} AND {side} AND ({score} < {number(cut.score)} OR {level} AND {key} < {cut.key}L)", "1"),
+                 (f"{mine} AND {side} AND {level} AND {key} = {cut.key}L", "0" if taken < cut.equal else "1"),
+                 (mine, "2")]
+        if taken < cut.equal:
+            ties[segment] = (mine, taken)
+    split = scored.withColumn("sub_cluster", F.expr(case(arms) if arms else "cast(NULL AS int)"))
+    if not ties:
+        return split
+    tied = distributed_row_number(split.where("sub_cluster = 0"), "segment", ["cluster_score", "customer_id"], "_place")
+    taken = case([(f"{mine} AND _place <= {n}", "1") for mine, n in ties.values()], "2")
+    return split.where("sub_cluster IS NULL OR sub_cluster > 0").unionByName(
+        tied.withColumn("sub_cluster", F.expr(taken)).drop("_place"))
 
 
 def behaviour(split: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:

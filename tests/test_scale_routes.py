@@ -32,17 +32,17 @@ def frame(spark, numbers):
 
 
 def test_sketch_route_is_exact(frame, numbers):
-    got = exact_quantiles(frame, ["tied", "money", "gaps", "empty"], PROBS, accuracy=200)
+    got = exact_quantiles(frame, ["tied", "money", "gaps", "empty"], PROBS, sketch=64)
     for i, c in enumerate(("tied", "money", "gaps"), start=1):
         values = [r[i] for r in numbers if r[i] is not None]
         np.testing.assert_allclose(got[c], np.quantile(values, PROBS), rtol=1e-12)
     assert got["empty"] == [None] * len(PROBS)
 
 
-@pytest.mark.parametrize("accuracy", [2, 50, 10_000])
-def test_the_accuracy_does_not_change_the_numbers(frame, accuracy):
-    expected = exact_quantiles(frame, ["tied", "money"], PROBS, accuracy=500)
-    assert exact_quantiles(frame, ["tied", "money"], PROBS, accuracy=accuracy) == expected
+@pytest.mark.parametrize("sketch", [8, 50, 8192])
+def test_the_sketch_does_not_change_the_numbers(frame, sketch):
+    expected = exact_quantiles(frame, ["tied", "money"], PROBS, sketch=500)
+    assert exact_quantiles(frame, ["tied", "money"], PROBS, sketch=sketch) == expected
 
 
 def test_distributed_row_number(frame):
@@ -99,10 +99,27 @@ def test_equal_split_with_repeated_ids_and_missing_scores(spark):
     assert late == set(range(30)) | set(range(95, 130))
 
 
-def test_elbow_of_vanishing_gains():
-    assert clustering.elbow_of([100.0, 40.0, 30.0, 25.0]) == 2
-    assert clustering.elbow_of([100.0, 40.0, 0.0, 0.0]) == 2    # -inf loses against a number
-    assert clustering.elbow_of([10.0, 0.0, 0.0, 0.0]) == 3      # no gain twice
+@pytest.mark.parametrize("inertias, best", [
+    ([100.0, 40.0, 30.0, 25.0], 2), ([100.0, 90.0, 30.0, 25.0], 3),
+    ([100.0, 40.0, 0.0, 0.0], 2),    # minus infinity loses against a number
+    ([10.0, 0.0, 0.0, 0.0], 3),      # no gain twice decides
+    ([10.0, 5.0], 2)])
+def test_best_k(spark, inertias, best):
+    df = spark.createDataFrame(list(enumerate(inertias, start=1)), "k int, inertia double")
+    assert {r["optimal_k"] for r in clustering.best_k(df).collect()} == {best}
+
+
+def test_elbow_finds_the_clusters_and_repeats(spark):
+    rng = random.Random(5)
+    rows = [(i, *[rng.gauss(20 * (i % 3), 1) for _ in CLUSTER_FEATURES]) for i in range(3000)]
+    rows += [(9000 + i, 0.0, 0.0, 0.0, 0.0, 0.0) for i in range(1000)] + [(9, None, 1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "customer_id bigint, " + ", ".join(f"{c} double" for c in CLUSTER_FEATURES))
+    once = sorted(clustering.elbow(df.repartition(7)).collect())
+    assert once == sorted(clustering.elbow(df.repartition(2, "customer_id")).collect())
+    assert {r["optimal_k"] for r in once} == {3}
+    x = np.array([r[1:] for r in rows if r[1] is not None])
+    assert once[0]["inertia"] == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
+    assert clustering.elbow(df.limit(0)).collect() == []
 
 
 def test_zero_and_minus_zero_are_one_value(spark):
