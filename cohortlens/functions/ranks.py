@@ -75,13 +75,16 @@ def _count(df: DataFrame, probes: list[_Probe], x: dict[str, str]) -> None:
 
 def _find(df: DataFrame, probes: list[_Probe], values: dict[str, str], x: dict[str, str]) -> list[list[RankValue]]:
     """The values at the ranks of every probe, from a histogram inside its bracket."""
-    hits = [f"CASE WHEN {p.holds(x[p.name])} THEN named_struct('probe', {i}, 'v', {values[p.name]}) END" for i, p in enumerate(probes)]
-    anywhere = " OR ".join(dict.fromkeys(p.holds(x[p.name]) for p in probes))
-    histogram = (df.where(anywhere).select(F.explode(F.array_compact(F.array(*[F.expr(h) for h in hits]))).alias("h"))
-                 .groupBy("h.probe", "h.v").agg(F.count(F.lit(1)).alias("n")))
+    names = list(x)
+    table = ", ".join(f"({i}, {names.index(p.name)}, {number(p.low)}, {number(p.high)})" for i, p in enumerate(probes))
+    brackets = F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {table} AS t(probe, name, low, high)"))   # one row per probe
+    narrow = df.selectExpr(*[f"{values[c]} AS v{i}" for i, c in enumerate(names)])
+    long = narrow.select(F.inline(F.array(*[F.struct(F.lit(i).alias("name"), F.col(f"v{i}").alias("v")) for i in range(len(names))])))
+    histogram = (long.where("v IS NOT NULL").join(brackets, "name").where("cast(v AS double) >= low AND cast(v AS double) <= high")
+                 .groupBy("probe", "v").agg(F.count(F.lit(1)).alias("n")))
     walked = histogram.withColumn("upto", F.sum("n").over(Window.partitionBy("probe").orderBy("v")))
-    places = [(i, r - p.below) for i, p in enumerate(probes) for r in p.ranks]
-    wanted = F.broadcast(df.sparkSession.createDataFrame(places, "probe int, place long"))   # one row per rank
+    table = ", ".join(f"({i}, {r - p.below}L)" for i, p in enumerate(probes) for r in p.ranks)
+    wanted = F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {table} AS t(probe, place)"))   # one row per rank
     rows = {(r["probe"], r["place"]): r for r in walked.join(wanted, "probe").where("upto >= place AND upto - n < place").collect()}
     out = []
     for i, p in enumerate(probes):

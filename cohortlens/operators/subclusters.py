@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlens.config import DEMOGRAPHICS
 from cohortlens.functions.columns import case, number, quote, row_mean
 from cohortlens.functions.ranks import distributed_row_number, select_places
-from cohortlens.functions.staging import unpivot_text
+from cohortlens.functions.staging import unpivot_text, write_stage
 from cohortlens.operators.features import CLUSTER_FEATURES
 
 # Smallest cohort that is split, smoothing of the expected share.
@@ -23,44 +23,47 @@ def with_score(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
 def equal_split(df: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
     """sub_cluster 1 for the first n // 2 rows by (mean feature, id), 2 for the rest.
 
-    Rows without a mean come last, rows without an id first among equal means. The row at place n // 2 is found by
-    counting, after which a filter splits the cohort: no row is sorted or moved. Rows equal to it in
-    both are numbered, so the halves are exact whatever repeats. Cohorts under
-    MIN_SPLIT_ROWS are not split and get NULL.
+    Rows without a mean come last, rows without an id first among equal means. The row at
+    place n // 2 is found by counting over three narrow columns, after which a filter splits
+    the cohort: no row is sorted or moved. Rows equal to it in both are numbered, so the
+    halves are exact whatever repeats. Cohorts under MIN_SPLIT_ROWS are not split and get NULL.
     """
-    scored = with_score(df, columns)
-    missing, key = "(cluster_score IS NULL OR isnan(cluster_score))", f"coalesce(cast(customer_id AS bigint), {-2 ** 63 + 1}L)"
+    scored = with_score(df, columns).withColumn("_at", F.expr(
+        "struct(cluster_score IS NULL OR isnan(cluster_score) AS late, coalesce(nanvl(cluster_score, 0D), 0D) AS score, "
+        f"coalesce(cast(customer_id AS bigint), {-2 ** 63 + 1}L) AS key)"))
+    order = write_stage(scored.select("segment", "_at.*"), "split-order").df
     # One row per cohort.
-    sizes = {r["segment"]: r for r in scored.groupBy("segment").agg(
-        F.count("*").alias("n"), F.expr(f"count_if({missing})").alias("gaps")).collect() if r["n"] >= MIN_SPLIT_ROWS}
-    middle = {}
-    for segment, r in sizes.items():
-        # The middle lies among the rows with a mean, or among those without.
-        present, half = r["n"] - r["gaps"], r["n"] // 2
-        mine = "segment IS NULL" if segment is None else f"segment = {quote(segment)}"
-        middle[segment] = (mine, missing, half - present) if half > present else (mine, f"NOT {missing}", half)
-    score = f"if({missing}, 0D, cluster_score)"
-    cuts = select_places(scored, {s: f"{mine} AND {side}" for s, (mine, side, _) in middle.items()}, score, key,
-                         lambda segment, _: [middle[segment][2]])
-    arms, ties = [], {}
-    for segment, (mine, side, place) in middle.items():
+    sizes = order.groupBy("segment").agg(F.count("*").alias("n"), F.expr("count_if(late)").alias("gaps")).collect()
+    rows, place = {}, {}
+    for segment, n, gaps in sizes:
+        if n >= MIN_SPLIT_ROWS:
+            # The middle lies among the rows with a mean, or among those without.
+            late = n // 2 > n - gaps
+            rows[segment] = f"segment <=> {_literal(segment)} AND {'' if late else 'NOT '}late"
+            place[segment] = (late, n // 2 - (n - gaps if late else 0))
+    cuts = select_places(order, rows, "score", "key", lambda segment, _: [place[segment][1]])
+    ends, taken = [], {}
+    for segment, (late, at) in place.items():
         cut = cuts[segment][0]
-        level = f"{score} = {number(cut.score)}"
-        taken = place - cut.before      # of the rows equal to the cut
-        if side == missing:
-            arms.append((f"{mine} AND NOT {missing}", "1"))
-        arms += [(f"{mine} AND {side} AND ({score} < {number(cut.score)} OR {level} AND {key} < {cut.key}L)", "1"),
-                 (f"{mine} AND {side} AND {level} AND {key} = {cut.key}L", "0" if taken < cut.equal else "1"),
-                 (mine, "2")]
-        if taken < cut.equal:
-            ties[segment] = (mine, taken)
-    split = scored.withColumn("sub_cluster", F.expr(case(arms) if arms else "cast(NULL AS int)"))
-    if not ties:
+        if at - cut.before < cut.equal:
+            taken[segment] = at - cut.before      # of the rows equal to the cut
+        ends.append((f"segment <=> {_literal(segment)}", f"struct(struct({str(late).lower()} AS late, {number(cut.score)} AS score, {cut.key}L AS key) "
+                     f"AS at, {1 - (segment in taken)} AS level)"))
+    if not ends:
+        return scored.drop("_at").withColumn("sub_cluster", F.lit(None).cast("int"))
+    split = (scored.withColumn("_cut", F.expr(case(ends)))
+             .withColumn("sub_cluster", F.expr("CASE WHEN _cut IS NULL THEN NULL WHEN _at < _cut.at THEN 1 WHEN _at = _cut.at THEN _cut.level ELSE 2 END"))
+             .drop("_at", "_cut"))
+    if not taken:
         return split
     tied = distributed_row_number(split.where("sub_cluster = 0"), "segment", ["cluster_score", "customer_id"], "_place")
-    taken = case([(f"{mine} AND _place <= {n}", "1") for mine, n in ties.values()], "2")
+    half = case([(f"segment <=> {_literal(s)} AND _place <= {n}", "1") for s, n in taken.items()], "2")
     return split.where("sub_cluster IS NULL OR sub_cluster > 0").unionByName(
-        tied.withColumn("sub_cluster", F.expr(taken)).drop("_place"))
+        tied.withColumn("sub_cluster", F.expr(half)).drop("_place"))
+
+
+def _literal(text: str | None) -> str:
+    return "NULL" if text is None else quote(text)
 
 
 def behaviour(split: DataFrame, columns=CLUSTER_FEATURES) -> DataFrame:
