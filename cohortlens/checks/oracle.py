@@ -45,26 +45,78 @@ for key in ("src_extract", "src_csv", "src_parquet"):
 SQL["src_latest_run"] = "SELECT customer_id, '20260102_080000' AS run_id FROM valid"
 SQL["sink_raw"] = ("SELECT *, 'parquet' AS format FROM valid UNION ALL "
                    "SELECT *, 'csv' AS format FROM valid")
-SQL["sink_metadata"] = f"""
-SELECT {TIME_1} AS extraction_timestamp, count(*) AS record_count,
-  '{",".join(C19)}' AS columns, 'warehouse' AS data_source,
+TYPES = {c: "string" for c in TEXTS} | {c: "int" for c in ("has_14plus_dpd", "age")} | {c: "double" for c in (
+    "total_amount_overdue", "tenor_in_months", "ontime_repayment_rate", "total_loan_amount", "income")}
+KINDS = {c: TYPES.get(c, "bigint") for c in C19}
+
+
+def _column_summary(c: str) -> str:
+    if c in TEXTS:
+        counts = f"(SELECT {c} AS v, count(*) AS n FROM valid WHERE {c} IS NOT NULL GROUP BY 1)"
+        figures = ("NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS mean, NULL::DOUBLE AS median, NULL::DOUBLE AS std, "
+                   f"NULL::BIGINT AS zeros, (SELECT count(DISTINCT n) FROM {counts}) AS distinct_frequencies, "
+                   f"(SELECT v FROM {counts} ORDER BY n DESC, v LIMIT 1) AS top_value, (SELECT max(n) FROM {counts}) AS top_count")
+    else:
+        figures = (f"round(min({c})::DOUBLE, 6) AS min, round(max({c})::DOUBLE, 6) AS max, round(avg({c}::DOUBLE), 6) AS mean, "
+                   f"round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median, round(stddev_samp({c}::DOUBLE), 6) AS std, "
+                   f"count(*) FILTER ({c} = 0) AS zeros, NULL::BIGINT AS distinct_frequencies, NULL::VARCHAR AS top_value, "
+                   "NULL::BIGINT AS top_count")
+    return f"SELECT '{c}' AS column_name, '{KINDS[c]}' AS column_type, count(*) - count({c}) AS missing, {figures} FROM valid"
+
+
+METADATA = f"""
+SELECT {TIME_1} AS extraction_timestamp, count(*) AS record_count, '{",".join(C19)}' AS columns,
+  '{", ".join(f"{c}:{KINDS[c]}" for c in C19)}' AS column_types, 'warehouse' AS data_source,
   sha256('customer table') AS query_hash, CAST(count(*) * {len(C19)}
   - ({" + ".join(f"count({c})" for c in C19)}) AS BIGINT) AS missing_values,
-  min(customer_id) AS min_customer_id, max(customer_id) AS max_customer_id FROM valid"""
+  min(customer_id) AS min_customer_id, max(customer_id) AS max_customer_id,
+  round(avg(has_14plus_dpd), 6) AS default_rate, CAST(sum(has_14plus_dpd) AS BIGINT) AS default_count,
+  count(*) FILTER (has_14plus_dpd = 0) AS non_default_count FROM valid"""
+SQL["sink_metadata"] = f"SELECT * FROM ({METADATA}) m, ({union_all(_column_summary(c) for c in C19)}) s"
+
+
+def fingerprinted(name: str, source: str, kinds: dict[str, str]) -> str:
+    """Rows and fingerprint of a table: 60 bits of an MD5 a row, summed."""
+    def text(c: str, kind: str) -> str:
+        if kind == "double":
+            return f"CAST(CAST(round({c}, 6) AS DECIMAL(38,6)) AS VARCHAR)"
+        return f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp" else f"CAST({c} AS VARCHAR)"
+
+    cells = " || ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in (text(c, k) for c, k in sorted(kinds.items())))
+    return (f"SELECT '{name}' AS table_name, count(*) AS rows, CAST(coalesce(sum(CAST('0x' || substr(md5({cells}), 1, 15) AS BIGINT)), 0) "
+            f"AS VARCHAR) AS fingerprint FROM ({source})")
+
+
 SQL["sink_features"] = f"SELECT customer_id, {rounded(FEATURES)}, {RUN_1} AS run_id FROM survivors"
-SQL["sink_run_artifacts"] = """
-SELECT 'segmented' AS table_name, count(*) AS rows FROM segmented
-UNION ALL SELECT 'raw', count(*) FROM valid UNION ALL SELECT 'metadata', 1
-UNION ALL SELECT 'customer_segment', count(*) FROM segmented
-UNION ALL SELECT 'profiles', count(*) FROM profiles
-UNION ALL SELECT 'codes', count(*) FROM codes
-UNION ALL SELECT 'quarantine', count(*) FROM checked_raw WHERE len(errors) > 0
-UNION ALL SELECT 'segment_profile', 1 UNION ALL SELECT 'summary', 1"""
 UPSERT = f"""
 SELECT CAST(v.customer_id AS VARCHAR) AS customer_id,
   coalesce(s.segment, 'Not assigned') AS segment_assigned, {ACTION} AS recommendation,
   CASE WHEN s.customer_id IS NULL THEN {TIME_1} ELSE {TIME_2} END AS updated_at
 FROM valid v LEFT JOIN segmented s USING (customer_id)"""
+DERIVED = {"income_bracket": "string", "age_category": "string", "segment": "string", **{c: "double" for c in FEATURES}}
+PROFILE_KINDS = {"segment": "string", "combination_id": "string", "combination": "string", "observed_proportion": "double",
+                 "expected_proportion": "double", "odds_ratio": "double", "count": "bigint", "coverage": "double", "place": "int"}
+TARGET_KINDS = {"customer_id": "string", "segment_assigned": "string", "recommendation": "string", "updated_at": "timestamp"}
+SUMMARY = f"""
+SELECT {TIME_1} AS finished_at, CAST(sum(segment_size) AS BIGINT) AS total_customers,
+  string_agg(segment || '=' || segment_size, ';' ORDER BY segment) AS distribution,
+  (SELECT count(*) FROM profiles) AS profiles_generated FROM seg_sizes"""
+SQL["sink_run_artifacts"] = union_all([
+    fingerprinted("raw", "SELECT * FROM valid", KINDS),
+    fingerprinted("metadata", METADATA, {"extraction_timestamp": "timestamp", "default_rate": "double", **{c: "bigint" for c in (
+        "record_count", "columns", "column_types", "data_source", "query_hash", "missing_values", "min_customer_id",
+        "max_customer_id", "default_count", "non_default_count")}}),
+    fingerprinted("segmented", "SELECT * FROM segmented", KINDS | DERIVED),
+    fingerprinted("profiles", "SELECT * FROM profiles", PROFILE_KINDS),
+    fingerprinted("codes", "SELECT * FROM codes", {"feature": "string", "code": "int", "category": "string"}),
+    fingerprinted("quarantine", "SELECT customer_id, len(errors) AS n_errors, list_aggregate(errors, 'string_agg', '; ') AS error "
+                  "FROM checked_raw WHERE len(errors) > 0", {"customer_id": "bigint", "n_errors": "int", "error": "string"}),
+    fingerprinted("customer_segment", f"SELECT CAST(customer_id AS VARCHAR) AS customer_id, segment AS segment_assigned, "
+                  f"{ACTION} AS recommendation, {TIME_1} AS updated_at FROM segmented", TARGET_KINDS),
+    fingerprinted("segment_profile", "SELECT * FROM wide_profile", {c: "string" for c in (
+        "low_risk_high_value", "low_risk_low_value", "medium_risk_high_value", "medium_risk_low_value", "high_risk")}),
+    fingerprinted("summary", SUMMARY, {"finished_at": "timestamp", "total_customers": "bigint", "distribution": "string",
+                                       "profiles_generated": "bigint"})])
 SQL["sink_segment_upsert"] = UPSERT
 SQL["set_upsert_state"] = UPSERT
 SQL["sink_profile_replace"] = "SELECT * FROM wide_profile"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.config import CODED_DEMOGRAPHICS, DEMOGRAPHICS, SEGMENTS
 from cohortlens.functions import columns as sql
+from cohortlens.functions.fingerprint import fingerprint
 from cohortlens.functions.staging import new_path, write_stage
 from cohortlens.operators import (
     binning, cleaning, clustering, customer_table as ct, decode, encoding, explore, features, profiles,
@@ -92,8 +93,10 @@ def sink_raw(run):
 
 @on_run
 def sink_metadata(run):
-    rows = sinks.metadata(run.valid, "warehouse", FIRST_TIME, "customer table")
-    return sinks.round_trip(rows, "metadata").drop("column_types")
+    raw, figures = sinks.observed(run.valid)
+    written = sinks.round_trip(raw, "raw")
+    rows = sinks.metadata(written, figures.get, "warehouse", FIRST_TIME, "customer table")
+    return sinks.round_trip(rows, "metadata").selectExpr("* EXCEPT (summary)", "inline(summary)")
 
 
 @on_run
@@ -107,11 +110,15 @@ def sink_features(run):
 
 @on_run
 def sink_run_artifacts(run):
+    """Rows and fingerprint of every table that a run leaves behind."""
     spark = run.raw.sparkSession
     paths = run.save(new_path(spark, "artifacts"), FIRST_RUN, FIRST_TIME)
-    parts = [spark.read.parquet(sinks.current_version(spark, path) or path)
-             .agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
-             for name, path in paths.items()]
+    tables = {name: sinks.read_table(spark, path).drop("run_id", "summary") for name, path in paths.items()
+              if name not in ("customer_segment", "segment_profile")}
+    changes = sinks.segment_rows(run.segmented, FIRST_TIME)
+    tables["customer_segment"] = sinks.read_upserted(spark, paths["customer_segment"], changes.schema)
+    tables["segment_profile"] = spark.read.parquet(sinks.current_version(spark, paths["segment_profile"]))
+    parts = [fingerprint(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -122,7 +129,7 @@ def _upserted(run: CohortRun) -> DataFrame:
     """All valid customers as not assigned, then the cohorts of this run on top."""
     path = new_path(run.raw.sparkSession, "customer_segment")
     sinks.upsert_parquet(path, sinks.segment_rows(
-        run.valid.selectExpr("customer_id", "'Not assigned' AS segment"), FIRST_TIME))
+        run.valid.selectExpr("customer_id", "'Not assigned' AS segment"), FIRST_TIME), unique=True)
     return sinks.upsert_parquet(path, sinks.segment_rows(run.segmented, SECOND_TIME))
 
 
@@ -449,7 +456,7 @@ def feat_payment(run):
 @on_registry
 def feat_median_fill(registry):
     stage = write_stage(features.payment_features(registry), "registry")
-    return _feature_values(features.fill_feature_gaps(stage.df, stage.rows))
+    return _feature_values(features.fill_feature_gaps(stage.df))
 
 
 @on_registry

@@ -37,7 +37,7 @@ def payment_features(df: DataFrame, guard_zero: bool = True, clipped: bool = Tru
     })
 
 
-def fill_feature_gaps(df: DataFrame, rows: int) -> DataFrame:
+def fill_feature_gaps(df: DataFrame) -> DataFrame:
     """Non-finite features become the column's median; one extra pass only if any exist."""
     usable = with_exprs(df, {c: finite(c) for c in FEATURE_FIELDS})
     gaps = usable.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in FEATURE_FIELDS]).first()

@@ -84,8 +84,9 @@ class CohortRun:
     # -- features and cohorts ----------------------------------------------
     @cached_property
     def featured(self) -> DataFrame:
-        # Valid tenors and amounts are positive: no feature can be missing.
-        return features.payment_features(self.processed)
+        """With payment features; one that is infinite or missing is its column's median."""
+        return features.fill_feature_gaps(
+            write_stage(features.payment_features(self.processed), "featured").df)
 
     @cached_property
     def survivors(self) -> Stage:
@@ -148,18 +149,20 @@ class CohortRun:
         `fmt` is the form of the tables kept per run; the two target tables
         (customer_segment, segment_profile) stay Parquet versions.
         """
-        per_run = {
-            "raw": self.valid,
-            "metadata": sinks.metadata(self.valid, source, finished_at, query_text),
-            "segmented": self.segmented, "profiles": self.profiles_stage.df,
-            "codes": self.codes, "quarantine": self.quarantine,
-        }
-        targets = ("customer_segment", "segment_profile")
-        paths = {name: f"{root}/{name}" for name in (*per_run, *targets, "summary")}
+        names = ("raw", "metadata", "segmented", "profiles", "codes", "quarantine", "customer_segment",
+                 "segment_profile", "summary")
+        paths = {name: f"{root}/{name}" for name in names}
+        raw, figures = sinks.observed(self.valid)
+        per_run = {"raw": raw, "segmented": self.segmented, "profiles": self.profiles_stage.df,
+                   "codes": self.codes, "quarantine": self.quarantine}
         for name, df in per_run.items():
             sinks.append_run(df, paths[name], run_id, fmt)
+        written = sinks.read_table(raw.sparkSession, f"{paths['raw']}/run_id={run_id}", raw.schema, fmt)
+        sinks.append_run(sinks.metadata(written, figures.get, source, finished_at, query_text),
+                         paths["metadata"], run_id, fmt)
+        # The contract's customers are one row per id.
         sinks.upsert_parquet(paths["customer_segment"],
-                             sinks.segment_rows(self.segmented, finished_at))
+                             sinks.segment_rows(self.segmented, finished_at), unique=True)
         sinks.replace_table(self.wide_profile(), paths["segment_profile"])
         # Last, so that a summary row means the run is complete.
         sinks.append_run(self.summary(run_id, finished_at).drop("run_id"), paths["summary"],

@@ -7,11 +7,14 @@ lost executor or a failed job never leaves a half-written current version.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cohortlens.functions.columns import quote
-from cohortlens.functions.staging import new_path, stage_root
+from cohortlens.functions.ranks import medians
+from cohortlens.functions.staging import new_path, stage_root, write_stage
+from cohortlens.operators.explore import FLAG, categorical_summary, numeric_columns, text_columns
 from cohortlens.operators.scoring import recommendation
 
 FORMATS = ("parquet", "csv")
@@ -77,28 +80,81 @@ def segment_rows(segmented: DataFrame, updated_at: str) -> DataFrame:
         f"{recommendation()} AS recommendation", f"{updated_at} AS updated_at")
 
 
-def last_per_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
-    """One row per key: the newest, then the greatest values. Pre-aggregates per task."""
-    rest = [c for c in df.columns if c != key]
-    ordered = F.struct(*(["updated_at"] if "updated_at" in rest else []),
-                       *[c for c in rest if c != "updated_at"])
-    picked = df.groupBy(key).agg(F.max(ordered).alias("row"))
-    return picked.select(key, *[F.col(f"row.{c}").alias(c) for c in rest])
+def last_per_key(df: DataFrame, key: str = "customer_id", unique: bool = False) -> DataFrame:
+    """One row per key: the newest by updated_at, then the greatest row hash.
 
-
-def upserted(current: DataFrame, changes: DataFrame, key: str = "customer_id") -> DataFrame:
+    `unique` says that no key repeats, as in the rows of one run; nothing is done then.
+    Otherwise two hash aggregates over numbers pick a row per key, and the texts
+    are only fetched back, never compared or sorted.
+    """
+    if unique:
+        return df
+    rows = write_stage(df.withColumn("_row", F.monotonically_increasing_id()), "changes").df
+    newest = "coalesce(unix_micros(cast(updated_at AS timestamp)), 0)" if "updated_at" in df.columns else "0L"
+    content = f"xxhash64({', '.join(df.columns)})"
+    rank = f"cast({newest} AS decimal(20,0)) * 18446744073709551616BD + cast({content} AS decimal(20,0))"
+    ranked = rows.selectExpr(f"{key} AS _key", "_row", f"cast({rank} AS decimal(38,0)) AS _rank")
+    best = ranked.groupBy("_key").agg(F.max("_rank").alias("_best")).withColumnRenamed("_key", "_k")
+    # Rows that tie are equal; the first one stays.
+    picked = (ranked.join(best, F.expr("_key <=> _k AND _rank = _best")).groupBy("_key").agg(F.min("_row").alias("_row")))
+    return rows.join(picked.select("_row"), "_row").select(*df.columns)
+
+
+def upserted(current: DataFrame, changes: DataFrame, key: str = "customer_id", unique: bool = False) -> DataFrame:
     """State after insert-or-update: all changes plus the untouched current rows."""
-    latest = last_per_key(changes, key)
+    latest = last_per_key(changes, key, unique)
     return latest.unionByName(current.join(latest, key, "left_anti").select(*latest.columns))
 
 
-def upsert_parquet(path: str, changes: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Upsert into a table kept as versions."""
-    current = current_version(changes.sparkSession, path)
-    if current is None:
-        return publish(last_per_key(changes, key), path)
-    rows = changes.sparkSession.read.schema(changes.schema).parquet(current)
-    return publish(upserted(rows, changes, key), path)
+# Hash buckets of an upsert target, unless it was created with another number.
+BUCKETS = 32
+
+
+def upsert_parquet(path: str, changes: DataFrame, key: str = "customer_id", buckets: int = BUCKETS,
+                   unique: bool = False) -> DataFrame:
+    """Upsert into a Parquet table kept in hash buckets of its key; returns the new state.
+
+    Only buckets that hold a changed key are read, merged and written, to a new folder;
+    the others keep their files. The manifest (bucket, folder, buckets), a row per bucket, is
+    published as the next version, so readers see all of an upsert or nothing.
+    """
+    spark = changes.sparkSession
+    manifest = _manifest(spark, path)
+    buckets = next(iter(manifest.values()))[1] if manifest else buckets
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    latest = write_stage(last_per_key(changes, key, unique).withColumn("_bucket", bucket), "changes").df
+    touched = {r["_bucket"] for r in latest.select("_bucket").distinct().collect()}
+    folder = f"{path}/data/{uuid.uuid4().hex}"
+    if touched:
+        current = _bucket_rows(spark, {b: f for b, f in manifest.items() if b in touched}, changes.schema)
+        state = upserted(current.withColumn("_bucket", bucket), latest, key, unique=True)
+        # Adaptive execution cuts large buckets and joins small ones.
+        state.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(folder)
+    manifest |= {b: (folder, buckets) for b in touched}
+    rows = [(b, f, n) for b, (f, n) in sorted(manifest.items())]
+    publish(spark.createDataFrame(rows, _MANIFEST).coalesce(1), path)
+    return _bucket_rows(spark, manifest, changes.schema)
+
+
+_MANIFEST = "bucket int, folder string, buckets int"
+
+
+def _manifest(spark: SparkSession, path: str) -> dict[int, tuple[str, int]]:
+    """bucket -> (folder, number of buckets) of the current version; a row per bucket."""
+    version = current_version(spark, path)
+    rows = spark.read.schema(_MANIFEST).parquet(version).collect() if version else []
+    return {r["bucket"]: (r["folder"], r["buckets"]) for r in rows}
+
+
+def _bucket_rows(spark: SparkSession, manifest: dict[int, tuple[str, int]], schema) -> DataFrame:
+    if not manifest:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{folder}/_bucket={b}" for b, (folder, _) in sorted(manifest.items())])
+
+
+def read_upserted(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Current rows of a table written by `upsert_parquet`."""
+    return _bucket_rows(spark, _manifest(spark, path), schema)
 
 
 def publish(state: DataFrame, path: str) -> DataFrame:
@@ -157,18 +213,64 @@ def jdbc_append(df: DataFrame, table: str, batch: int = 1000) -> None:
      .option("dbtable", table).option("batchsize", batch).save())
 
 
-def metadata(df: DataFrame, source: str, extracted_at: str, query_text: str) -> DataFrame:
-    """One row about an extract: size, columns, types, source, query hash, id range."""
-    kinds = ", ".join(f"{c}:{t}" for c, t in df.dtypes)
-    missing = " + ".join(f"count_if({c} IS NULL)" for c in df.columns)
-    return df.agg(
-        F.expr("count(*) AS record_count"), F.expr(f"{missing} AS missing_values"),
-        F.expr("min(customer_id) AS min_customer_id"),
-        F.expr("max(customer_id) AS max_customer_id"),
-    ).selectExpr(f"{extracted_at} AS extraction_timestamp", "record_count",
-                 f"{quote(','.join(df.columns))} AS columns", f"{quote(kinds)} AS column_types",
-                 f"{quote(source)} AS data_source", f"sha2({quote(query_text)}, 256) AS query_hash",
-                 "missing_values", "min_customer_id", "max_customer_id")
+# What a summary says of a column; numbers for numeric columns, the last three for texts.
+_SUMMARY = ("column_name string, column_type string, missing bigint, min double, max double, mean double, median double, "
+            "std double, zeros bigint, distinct_frequencies bigint, top_value string, top_count bigint")
+_METADATA = ("record_count bigint, columns string, column_types string, data_source string, query_hash string, "
+             "missing_values bigint, min_customer_id bigint, max_customer_id bigint, default_rate double, "
+             f"default_count bigint, non_default_count bigint, summary array<struct<{_SUMMARY.replace(' ', ':').replace(',:', ',')}>>")
+
+
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """df, and the figures of an extract that a write of it gathers on the way.
+
+    The write must come directly after: its tasks count every row once.
+    """
+    numeric = set(numeric_columns(df))
+    figures = [F.expr("count(*) AS n")]
+    for i, c in enumerate(df.columns):
+        figures.append(F.expr(f"count_if(`{c}` IS NULL) AS missing{i}"))
+        if c in numeric:
+            figures += [F.expr(f"{f}(cast(`{c}` AS double)) AS {f}{i}") for f in ("min", "max", "avg", "stddev_samp")]
+            figures.append(F.expr(f"count_if(`{c}` = 0) AS zeros{i}"))
+    if "customer_id" in df.columns:
+        figures += [F.expr(f"{f}(cast(customer_id AS bigint)) AS {f}_id") for f in ("min", "max")]
+    if FLAG in df.columns:
+        figures += [F.expr(f"avg(cast({FLAG} AS double)) AS default_rate"), F.expr(f"sum(cast({FLAG} AS bigint)) AS default_count"),
+                    F.expr(f"count_if({FLAG} = 0) AS non_default_count")]
+    seen = Observation()
+    return df.observe(seen, *figures), seen
+
+
+def metadata(written: DataFrame, figures: dict, source: str, extracted_at: str, query_text: str) -> DataFrame:
+    """One row about an extract: size, columns, types, source, query hash, id range, defaults
+    and a summary per column.
+
+    `figures` are what the write observed; only medians and top values read the written
+    table, and of it the columns they need.
+    """
+    numeric, texts = numeric_columns(written), text_columns(written)
+    middle = medians(written, numeric) if numeric else {}
+    top = {r["column_name"]: r for r in categorical_summary(written, texts).collect()} if texts else {}   # one row per column
+
+    def rounded(x):
+        return None if x is None else round(x, 6)
+
+    summary = []
+    for i, (c, kind) in enumerate(written.dtypes):
+        row = [c, kind, figures.get(f"missing{i}", 0)]
+        if c in numeric:
+            row += [rounded(figures.get(f"{f}{i}")) for f in ("min", "max", "avg")] + [rounded(middle[c]), rounded(figures.get(f"stddev_samp{i}")),
+                                                                                        figures.get(f"zeros{i}", 0), None, None, None]
+        else:
+            t = top.get(c)
+            row += [None] * 6 + ([t["distinct_frequencies"], t["top_value"], t["top_count"]] if t else [0 if c in texts else None, None, 0 if c in texts else None])
+        summary.append(tuple(row))
+    kinds = ", ".join(f"{c}:{t}" for c, t in written.dtypes)
+    row = (figures.get("n", 0), ",".join(written.columns), kinds, source, None, sum(r[2] for r in summary), figures.get("min_id"),
+           figures.get("max_id"), rounded(figures.get("default_rate")), figures.get("default_count"), figures.get("non_default_count"), summary)
+    return written.sparkSession.createDataFrame([row], _METADATA).coalesce(1).selectExpr(
+        f"{extracted_at} AS extraction_timestamp", "* EXCEPT (query_hash)", f"sha2({quote(query_text)}, 256) AS query_hash")
 
 
 def segment_counts(table: DataFrame) -> DataFrame:

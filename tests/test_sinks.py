@@ -1,10 +1,14 @@
 """Writers on small tables."""
 
+import math
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
+from cohortlens.functions.fingerprint import fingerprint
 from cohortlens.functions.staging import new_path, small_side, stage_root
+from cohortlens.plans.pipeline import CohortRun
 from cohortlens.sources import sinks
 
 T1, T2 = "timestamp_ntz'2026-01-01 00:00:00'", "timestamp_ntz'2026-01-02 00:00:00'"
@@ -115,3 +119,89 @@ def test_small_side_hints_only_checked_sizes(spark):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(small_side(spark.range(10), 10))
     assert not hinted(small_side(spark.range(11), 10))
+
+
+def files_of(df):
+    return set(df.inputFiles())
+
+
+def test_upsert_rewrites_only_the_buckets_of_changed_keys(spark):
+    path = new_path(spark, "upsert")
+    names = ["High Risk", "Low Risk - Low Value"]
+    before = sinks.upsert_parquet(path, sinks.segment_rows(
+        segments(spark, *[(i, names[i % 2]) for i in range(400)]), T1), buckets=16)
+    old = files_of(before)
+    assert len(old) >= 16
+    after = sinks.upsert_parquet(path, sinks.segment_rows(segments(spark, (7, "Low Risk - High Value")), T2))
+    new = files_of(after)
+    assert len(new - old) == 1 and len(old - new) == 1        # one bucket of one file
+    rows = {r["customer_id"]: r["segment_assigned"] for r in after.collect()}
+    assert rows == {str(i): names[i % 2] for i in range(400)} | {"7": "Low Risk - High Value"}
+    assert sinks.read_upserted(spark, path, after.schema).count() == 400
+    # The state before stays readable until its files are dropped.
+    assert {r["customer_id"] for r in before.where("segment_assigned = 'Low Risk - High Value'").collect()} == set()
+
+
+def test_failed_upsert_leaves_the_old_rows(spark):
+    path = new_path(spark, "upsert")
+    rows = sinks.segment_rows(segments(spark, (1, "High Risk")), T1)
+    sinks.upsert_parquet(path, rows)
+    with pytest.raises(Exception):
+        sinks.upsert_parquet(path, rows.withColumn("recommendation", F.expr("raise_error('stop')")))
+    assert [r["customer_id"] for r in sinks.read_upserted(spark, path, rows.schema).collect()] == ["1"]
+    assert sinks.upsert_parquet(path, rows.limit(0)).count() == 1
+
+
+def test_newest_change_of_a_key_wins_whatever_the_layout(spark):
+    rows = [("a", "x", 1), ("a", "y", 3), ("a", "z", 2), ("b", "u", 5), ("b", "v", 5), ("b", "v", 5), (None, "n", 1), (None, "m", None)]
+    df = spark.createDataFrame(rows, "customer_id string, segment_assigned string, day int").selectExpr(
+        "customer_id", "segment_assigned", "timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(day) AS updated_at")
+    picked = sinks.last_per_key(df.repartition(4))
+    got = {r["customer_id"]: r["segment_assigned"] for r in picked.collect()}
+    assert len(got) == picked.count() == 3
+    assert got["a"] == "y" and got["b"] in ("u", "v") and got[None] == "n"
+    again = {r["customer_id"]: r["segment_assigned"] for r in sinks.last_per_key(df.coalesce(1)).collect()}
+    assert again == got
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_figures_come_from_the_write(spark):
+    df = spark.createDataFrame([(1, 2.0, "a", 1), (2, None, "a", 0), (3, 0.0, None, 0)],
+                               "customer_id bigint, income double, state string, has_14plus_dpd int")
+    raw, figures = sinks.observed(df)
+    written = sinks.round_trip(raw, "raw")
+    row = sinks.metadata(written, figures.get, "here", T1, "q").first()
+    assert (row["record_count"], row["missing_values"], row["min_customer_id"], row["max_customer_id"]) == (3, 2, 1, 3)
+    assert (row["default_count"], row["non_default_count"]) == (1, 2)
+    assert row["column_types"] == "customer_id:bigint, income:double, state:string, has_14plus_dpd:int"
+    summary = {s["column_name"]: s for s in row["summary"]}
+    assert (summary["income"]["median"], summary["income"]["zeros"], summary["income"]["missing"]) == (1.0, 1, 1)
+    assert (summary["state"]["top_value"], summary["state"]["top_count"], summary["state"]["min"]) == ("a", 2, None)
+
+
+def test_summary_of_an_empty_extract(spark):
+    raw, figures = sinks.observed(spark.createDataFrame([], "customer_id bigint, state string"))
+    row = sinks.metadata(sinks.round_trip(raw, "raw"), figures.get, "here", T1, "q").first()
+    assert row["record_count"] == 0 and [s["missing"] for s in row["summary"]] == [0, 0]
+
+
+def test_fingerprint_sees_values_not_order(spark):
+    df = spark.createDataFrame([(1, 0.1, "a"), (2, None, None), (2, None, None)], "i int, x double, s string")
+    same = fingerprint(df).first()
+    assert fingerprint(df.orderBy("i", ascending=False).select("s", "x", "i").repartition(3)).first() == same
+    for other in (df.withColumn("x", F.lit(0.1)), df.limit(2), df.withColumn("s", F.coalesce("s", F.lit("-")))):
+        assert fingerprint(other).first()["fingerprint"] != same["fingerprint"]
+    assert tuple(fingerprint(df.limit(0)).first()) == (0, "0")
+
+
+def test_infinite_features_become_the_median_in_the_full_run(spark):
+    rows = [(i, 1, 0.0, 0, 0, 0, 0, 2.0, 50.0, 30, "Male", float(100 * i) if i < 5 else math.inf, 10.0) for i in range(1, 6)]
+    columns = ("customer_id bigint, loan_count bigint, total_amount_overdue double, maturity_dpd bigint, "
+               "total_missed_installment bigint, has_14plus_dpd int, count_14plus_dpd bigint, tenor_in_months double, "
+               "ontime_repayment_rate double, age int, gender string, total_loan_amount double, income double")
+    run = CohortRun(None)
+    run.__dict__["processed"] = spark.createDataFrame(rows, columns)
+    volumes = {r["customer_id"]: r["monthly_loan_volume"] for r in run.featured.collect()}
+    assert volumes[5] == pytest.approx(125.0, rel=1e-4)       # between 200 / 2 and 300 / 2
+    assert volumes[4] == pytest.approx(200.0, rel=1e-4)
