@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Largest side, in rows, that may be shipped to every executor.
-BROADCAST_ROWS = 100_000
+# Largest side, in bytes of its values, that may be shipped to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -49,14 +49,26 @@ def write_stage(df: DataFrame, name: str) -> Stage:
     return Stage(table, table.count(), path)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose row count was checked; no hint beyond it.
+def _bytes(df: DataFrame) -> str:
+    """SQL: what the rows' values take, with some bytes per value and row."""
+    values = [f"coalesce(octet_length(`{c}`), 0) + 16" if kind in ("string", "binary") else "16" for c, kind in df.dtypes]
+    return f"coalesce(sum({' + '.join(values)} + 32L), 0L)"
+
+
+def small_sides(df: DataFrame, group: str, limit: int = BROADCAST_BYTES) -> Callable[[DataFrame, str], DataFrame]:
+    """Measures the groups of df; the result adds a broadcast hint to a join side made of one
+    group if its bytes fit. The groups must be few (columns)."""
+    sizes = dict(df.groupBy(group).agg(F.expr(f"{_bytes(df)} AS bytes")).collect())
+    return lambda side, of: F.broadcast(side) if sizes.get(of, 0) <= limit else side
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a side whose bytes were measured; no hint beyond the limit.
 
     Without the hint the join is planned by size: AQE picks the strategy and
     splits skewed partitions.
     """
-    fits = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if fits else df
+    return F.broadcast(df) if df.agg(F.expr(f"{_bytes(df)} AS bytes")).first()["bytes"] <= limit else df
 
 
 def unpivot_text(df: DataFrame, ids: Iterable[str], columns: Iterable[str],

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.config import CODED_DEMOGRAPHICS
 from cohortlens.functions.columns import quote, with_exprs
 from cohortlens.functions.ranks import distributed_row_number
-from cohortlens.functions.staging import BROADCAST_ROWS, unpivot_text, write_stage
-
-
-# Label sets up to this size are written into the plan as literals.
-LITERAL_LABELS = 1000
+from cohortlens.functions.staging import small_sides, unpivot_text, write_stage
 
 
 def distinct_labels(df: DataFrame, features=CODED_DEMOGRAPHICS) -> DataFrame:
@@ -20,39 +16,23 @@ def distinct_labels(df: DataFrame, features=CODED_DEMOGRAPHICS) -> DataFrame:
             .where("category IS NOT NULL").distinct())
 
 
-def _few_labels(labels: DataFrame) -> list | None:
-    """The labels themselves if there are at most LITERAL_LABELS of them."""
-    rows = labels.limit(LITERAL_LABELS + 1).collect()
-    return rows if len(rows) <= LITERAL_LABELS else None
-
+def ranked_labels(labels: DataFrame) -> DataFrame:
+    """(feature, code, category): the dictionary, ranked over range partitions.
 
-def ranked_labels(labels: DataFrame, window_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(feature, code, category) for label sets of any size.
-
-    Only distinct labels are ranked, never rows: with one window per feature
-    while they are few, over range partitions beyond that.
+    Only distinct labels are ranked, never rows.
     """
-    stage = write_stage(labels, "labels")
-    if stage.rows <= window_rows:
-        rank = F.row_number().over(Window.partitionBy("feature").orderBy("category"))
-        ranked = stage.df.withColumn("rank", rank)
-    else:
-        ranked = distributed_row_number(stage.df, "feature", ["category"], "rank")
-    return ranked.selectExpr("feature", "cast(rank - 1 AS int) AS code", "category")
+    ranked = distributed_row_number(labels, "feature", ["category"], "rank")
+    return write_stage(ranked.selectExpr("feature", "cast(rank - 1 AS int) AS code", "category"), "codes").df
 
 
 def join_codes(df: DataFrame, codes: DataFrame, features=CODED_DEMOGRAPHICS) -> DataFrame:
-    """Replace labels by codes through joins; a table is broadcast if its size allows it."""
-    sizes = {r["feature"]: r["n"] for r in
-             codes.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    """Replace labels by codes through hash joins with the dictionary; no label gives -1."""
+    sides = small_sides(codes, "feature")
     out = df
     for f in features:
-        side = codes.where(f"feature = {quote(f)}").selectExpr(f"category AS {f}", "code AS _code")
-        if sizes.get(f, 0) <= BROADCAST_ROWS:
-            side = F.broadcast(side)
+        side = sides(codes.where(f"feature = {quote(f)}").selectExpr(f"category AS {f}", "code AS _code"), f)
         out = out.join(side, f, "left").drop(f).withColumnRenamed("_code", f)
-        out = with_exprs(out, {f: f"coalesce({f}, -1)"})
-    return out.select(*df.columns)
+    return with_exprs(out.select(*df.columns), {f: f"coalesce({f}, -1)" for f in features})
 
 
 def fit_encode(df: DataFrame, features=CODED_DEMOGRAPHICS,
@@ -60,27 +40,13 @@ def fit_encode(df: DataFrame, features=CODED_DEMOGRAPHICS,
     """Rows with labels replaced by codes, and the (feature, code, category) table.
 
     A code is the rank of the label among the sorted distinct labels of its
-    column. With `missing=None` NULL labels get code -1. Small label sets
-    become literals of the plan; larger ones are joined.
+    column. With `missing=None` NULL labels get code -1.
     """
     fill = {f: f"cast({f} AS string)" if missing is None
             else f"coalesce(cast({f} AS string), {quote(missing)})" for f in features}
     text = with_exprs(df, fill)
-    labels = distinct_labels(text, features)
-    few = _few_labels(labels)
-    if few is None:
-        codes = write_stage(ranked_labels(labels), "codes").df
-        return join_codes(text, codes, features), codes
-
-    # Spark and Python both sort strings by code point.
-    sets = {f: sorted(r["category"] for r in few if r["feature"] == f) for f in features}
-    rows = [(f, i, label) for f, found in sets.items() for i, label in enumerate(found)]
-    codes = df.sparkSession.createDataFrame(
-        rows, "feature string, code int, category string").coalesce(1)
-    coded = text.withColumns({
-        f: F.coalesce(F.array_position(F.lit(found), F.col(f)).cast("int"), F.lit(0))
-        if found else F.lit(0) for f, found in sets.items()})
-    return with_exprs(coded, {f: f"{f} - 1" for f in features}), codes
+    codes = ranked_labels(distinct_labels(text, features))
+    return join_codes(text, codes, features), codes
 
 
 def encoding_table(df: DataFrame, features=CODED_DEMOGRAPHICS,

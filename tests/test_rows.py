@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import CohortConfig, HIGH_RISK, LOW_HIGH, LOW_LOW, MEDIUM_LOW
 from cohortlens.functions import columns as sql
+from cohortlens.functions import staging
 from cohortlens.operators import binning, cleaning, encoding, explore, features, quality, scoring
 from cohortlens.operators.customer_table import CUSTOMER_COLUMNS
 from cohortlens.operators.decode import decode_known
@@ -148,15 +149,18 @@ def test_codes_are_ranks_of_sorted_labels(spark):
     assert column(encoding.fit_encode(df, missing=None)[0], "purpose") == [1, 0, -1, 2, 0]
 
 
-@pytest.mark.parametrize("window_rows", [100, 0])
-def test_large_label_sets_give_the_same_codes(spark, window_rows):
-    df = customers(spark, *[dict(purpose=f"p{i * 37 % 101:03d}", state=str(i)) for i in range(101)])
-    expected, codes = encoding.fit_encode(df)
-    labels = encoding.distinct_labels(df)
-    ranked = encoding.ranked_labels(labels, window_rows)
-    assert sorted(ranked.collect()) == sorted(codes.select(*ranked.columns).collect())
-    joined = encoding.join_codes(df, ranked)
-    assert sorted(joined.collect()) == sorted(expected.collect())
+def test_thousands_of_labels_without_a_broadcast(spark, monkeypatch):
+    labels = [f"p{i * 37 % 3001:05d}" for i in range(3001)]
+    df = customers(spark, *[dict(purpose=p, state=str(i)) for i, p in enumerate(labels)])
+    expected = {p: i for i, p in enumerate(sorted(set(labels)))}
+    for limit in (staging.BROADCAST_BYTES, 1000):
+        monkeypatch.setattr(staging.small_sides, "__defaults__", (limit,))
+        coded, codes = encoding.fit_encode(df)
+        got = {r["category"]: r["code"] for r in codes.where("feature = 'purpose'").collect()}
+        assert got == expected
+        assert {r["state"]: r["purpose"] for r in coded.collect()} == {str(i): expected[p] for i, p in enumerate(labels)}
+        plan = coded.select("purpose")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") == (5 if limit > 1000 else 4)    # the others are small
 
 
 def test_feature_formulas(spark):
@@ -177,7 +181,7 @@ def test_feature_gaps_take_the_median(spark):
     df = features.payment_features(customers(
         spark, dict(ontime_repayment_rate=10), dict(ontime_repayment_rate=None),
         dict(ontime_repayment_rate=30)))
-    assert column(features.fill_feature_gaps(df, 3), "repayment_efficiency") == [0.1, 0.2, 0.3]
+    assert column(features.fill_feature_gaps(df), "repayment_efficiency") == [0.1, 0.2, 0.3]
 
 
 def test_risk_boundaries(spark):

@@ -114,11 +114,13 @@ def test_stage_root_is_the_checkpoint_folder(spark):
     assert stage_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_small_side_hints_only_checked_sizes(spark):
+def test_small_side_hints_only_measured_bytes(spark):
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(small_side(spark.range(10), 10))
-    assert not hinted(small_side(spark.range(11), 10))
+    wide = spark.range(3).selectExpr("id", "repeat('x', 1000) AS label")
+    assert hinted(small_side(wide, 4000))
+    assert not hinted(small_side(wide, 3000))
+    assert hinted(small_side(wide.limit(0), 0))
 
 
 def files_of(df):
