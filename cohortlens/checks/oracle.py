@@ -241,12 +241,19 @@ SQL["agg_default"] = """
 SELECT round(avg(has_14plus_dpd), 6) AS default_rate,
   CAST(sum(has_14plus_dpd) AS BIGINT) AS default_count,
   count(*) FILTER (WHERE has_14plus_dpd = 0) AS non_default_count FROM raw19"""
-SQL["agg_describe"] = union_all(f"""
+
+
+def described(source: str, columns, percents) -> str:
+    return union_all(f"""
 SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}::DOUBLE), 6) AS mean,
   round(stddev_samp({c}::DOUBLE), 6) AS std, round(min({c})::DOUBLE, 6) AS min,
   round(max({c})::DOUBLE, 6) AS max, {", ".join(
-    f"round(quantile_cont({c}::DOUBLE, {p}), 6) AS p{p * 100:g}"
-    for p in (0.05, 0.15, 0.25, 0.5, 0.75, 0.9, 0.95))} FROM registry""" for c in NUMERIC)
+    f"round(quantile_cont({c}::DOUBLE, {p}), 6) AS p{p * 100:g}" for p in percents)} FROM {source}""" for c in columns)
+
+
+SQL["agg_describe"] = described("registry", NUMERIC, (0.05, 0.15, 0.25, 0.5, 0.75, 0.9, 0.95))
+SQL["agg_describe_features"] = described("ex_featured", NUMERIC + CODED + FEATURES, (
+    0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99))
 SQL["agg_snapshot"] = union_all(f"""
 SELECT '{c}' AS column_name, round(min({c})::DOUBLE, 6) AS best_case,
   round(avg({c}::DOUBLE), 6) AS average, round(max({c})::DOUBLE, 6) AS worst_case,

@@ -148,7 +148,7 @@ def sink_profile_replace(run):
 
 def _registry_checked(registry: DataFrame) -> DataFrame:
     stage = write_stage(cleaning.pre_clean(registry), "registry")
-    return quality.check_raw(cleaning.fill_medians(stage.df, ["income"], stage.rows))
+    return quality.check_raw(cleaning.fill_medians(stage.df, ["income"]))
 
 
 @on_registry
@@ -190,7 +190,7 @@ def prj_19col(src):
 @on_registry
 def clean_preclean(registry):
     stage = write_stage(cleaning.pre_clean(registry), "registry")
-    return cleaning.fill_medians(stage.df, ["income"], stage.rows)
+    return cleaning.fill_medians(stage.df, ["income"])
 
 
 @on_registry
@@ -239,7 +239,7 @@ def flt_age(registry):
 @on_registry
 def clean_numeric_fill(registry):
     stage = write_stage(cleaning.fill_numeric(registry), "registry")
-    return cleaning.fill_medians(stage.df, ["total_loan_amount"], stage.rows).select(
+    return cleaning.fill_medians(stage.df, ["total_loan_amount"]).select(
         "customer_id", "tenor_in_months", "total_missed_installment", "total_amount_overdue",
         "total_loan_amount", "ontime_repayment_rate")
 
@@ -356,7 +356,7 @@ def agg_segment_dist(run):
 @on_registry
 def agg_numeric_summary(registry):
     stage = write_stage(registry, "registry")
-    return explore.numeric_summary(stage.df, stage.rows)
+    return explore.numeric_summary(stage.df)
 
 
 @on_registry
@@ -385,13 +385,18 @@ DESCRIBE_AT = [0.05, 0.15, 0.25, 0.5, 0.75, 0.9, 0.95]
 @on_registry
 def agg_describe(registry):
     stage = write_stage(registry, "registry")
-    return explore.describe(stage.df, DESCRIBE_AT, stage.rows)
+    return explore.describe(stage.df, DESCRIBE_AT)
+
+
+@on_exploration
+def agg_describe_features(ex):
+    return explore.describe(ex.featured.df, [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99])
 
 
 @on_exploration
 def agg_snapshot(ex):
     return explore.snapshot(ex.adults, [
-        "loan_count", "total_loan_amount", "maturity_dpd", "tenor_in_months"], ex.raw.rows)
+        "loan_count", "total_loan_amount", "maturity_dpd", "tenor_in_months"])
 
 
 @on_exploration
@@ -462,7 +467,7 @@ def feat_median_fill(registry):
 @on_registry
 def bin_income(registry):
     stage = write_stage(registry.select("customer_id", "income"), "registry")
-    filled = cleaning.fill_medians(stage.df, ["income"], stage.rows)
+    filled = cleaning.fill_medians(stage.df, ["income"])
     return filled.selectExpr("customer_id", "income",
                              f"{binning.income_bracket()} AS income_bracket")
 
@@ -500,7 +505,7 @@ def score_risk(run):
 def _first_levels(run: CohortRun) -> DataFrame:
     """Levels before the contract drops rows, with the threshold of that moment."""
     stage = write_stage(run.featured, "featured")
-    return scoring.with_levels(stage.df, stage.rows)
+    return scoring.with_levels(stage.df)
 
 
 @on_run

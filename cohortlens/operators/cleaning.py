@@ -45,7 +45,7 @@ def text_gender() -> str:
     return title(blank_if_null("gender"))
 
 
-def fill_medians(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
+def fill_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULLs become the column's median; no pass beyond the count if there are none."""
     gaps = df.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in columns]).first()
     holes = [c for c in columns if gaps[c]]

@@ -41,7 +41,7 @@ def with_quantiles(summary: DataFrame, df: DataFrame, columns: list[str],
     return out
 
 
-def numeric_summary(df: DataFrame, rows: int) -> DataFrame:
+def numeric_summary(df: DataFrame) -> DataFrame:
     """min, max, mean, median, sample std, zeros and missing per numeric column."""
     columns = numeric_columns(df)
     summary = _sum_up(
@@ -112,8 +112,7 @@ def default_analysis(df: DataFrame) -> DataFrame:
                   F.expr(f"count_if({FLAG} = 0) AS non_default_count"))
 
 
-def describe(df: DataFrame, probs: list[float], rows: int,
-             columns: list[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, probs: list[float], columns: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, percentiles (linear) and max per numeric column."""
     columns = columns or numeric_columns(df)
     summary = _sum_up(
@@ -123,7 +122,7 @@ def describe(df: DataFrame, probs: list[float], rows: int,
     return with_quantiles(summary, df, columns, names)
 
 
-def snapshot(df: DataFrame, metrics: list[str], rows: int) -> DataFrame:
+def snapshot(df: DataFrame, metrics: list[str]) -> DataFrame:
     """Best, average, median and worst case per metric, with the sample size."""
     summary = _sum_up(
         df, metrics, "round(min(x), 6) AS best_case", "round(avg(x), 6) AS average",

@@ -7,12 +7,18 @@ number of cells, not customers.
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlens.config import (
     CohortConfig, DEFAULT, DEMOGRAPHICS, SEGMENTS, WIDE_PROFILE_COLUMNS)
 from cohortlens.functions.columns import case, combination_text, number, quote
-from cohortlens.functions.staging import unpivot_text
+from cohortlens.functions.ranks import distributed_row_number
+from cohortlens.functions.staging import small_side, unpivot_text, write_stage
 
 
 def _share(n: str, total: str) -> str:
@@ -187,6 +193,43 @@ def wide_profile(decoded: DataFrame) -> DataFrame:
         for name, column in zip(SEGMENTS, WIDE_PROFILE_COLUMNS)])
 
 
+@dataclass(frozen=True)
+class _Shape:
+    """The product of a cohort's qualifying values: one digit per demographic that has any."""
+    segment: str
+    digits: tuple[tuple[int, int], ...]    # (demographic's position, number of values)
+    segment_size: int
+    offset: int                            # products of the cohorts before
+
+    @property
+    def steps(self) -> list[int]:
+        """Weight of every digit, exact at any size."""
+        return [math.prod(w for _, w in self.digits[i + 1:]) for i in range(len(self.digits))]
+
+    @property
+    def products(self) -> int:
+        return math.prod(w for _, w in self.digits)
+
+    def first(self, k: int) -> list[list[int]]:
+        """The ranks of the first k products."""
+        widths = [range(1, w + 1) for _, w in self.digits]
+        return [list(ranks) for ranks in itertools.islice(itertools.product(*widths), k)]
+
+
+def _shapes(items: DataFrame) -> list[_Shape]:
+    """Shapes in cohort order; a row per cohort and demographic comes to the driver."""
+    rows = items.groupBy("segment", "d").agg(F.max("rank").alias("width"), F.max("segment_size").alias("size")).collect()
+    shapes, offset = [], 0
+    for segment in SEGMENTS:
+        mine = sorted((r["d"], r["width"], r["size"]) for r in rows if r["segment"] == segment)
+        if len(mine) >= 2:
+            shapes.append(_Shape(segment, tuple((d, w) for d, w, _ in mine), mine[0][2], offset))
+            offset += shapes[-1].products
+    if offset >= 10 ** 38:
+        raise OverflowError(f"{offset} combinations: their running ids do not fit a decimal of 38 digits")
+    return shapes
+
+
 def full_size_combinations(df: DataFrame, population: DataFrame, population_items: DataFrame,
                            config: CohortConfig = DEFAULT,
                            demographics=DEMOGRAPHICS) -> DataFrame:
@@ -194,94 +237,67 @@ def full_size_combinations(df: DataFrame, population: DataFrame, population_item
 
     Then the largest size always wins: all demographics that have a qualifying
     value take part and every product of their values counts, matched or not.
-    The products are never generated. A combination's running id is its
-    position in the product, computed from the value ranks, and only the best
-    `max_combinations` are built: matched ones, filled up by the first
-    unmatched positions where a cohort has too few matches.
+    The products are never generated. A product is the list of its values' ranks, whose
+    order is the order of the running ids. Matched products come from the cells; of the
+    others only the first of a cohort can be among its best, so twice as many as are
+    published are listed beside them. Running ids are exact decimals; a search with
+    10^38 products or more fails.
 
     `df` holds the cohorts, `population` the rows expected shares refer to,
-    `population_items` the (demo, value, pop_n) counts of the population.
+    `population_items` the (demo, value, pop_n) counts of the population. Cells and
+    qualifying values are staged; a value is a row, never an entry of one.
     """
-    cells = demographic_cells(df, demographics)
-    counts = item_counts(cells, demographics).drop("pop_n", "pop_size")
-    total = population.count()
+    spark = df.sparkSession
+    own = demographic_cells(df, demographics).withColumn("whole", F.lit(False))
+    whole = demographic_cells(population.withColumn("segment", F.lit(None).cast("string")), demographics).withColumn("whole", F.lit(True))
+    cells = write_stage(own.unionByName(whole).withColumn("cell", F.monotonically_increasing_id()), "cells").df
+
+    total = cells.where("whole").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    counts = item_counts(cells.where("NOT whole"), demographics).drop("pop_n", "pop_size")
     sized = counts.join(population_items, ["demo", "value"], "left").selectExpr(
         "segment", "demo", "value", "n", "segment_size", "coalesce(pop_n, 0) AS pop_n",
         f"cast({total} AS bigint) AS pop_size")
-    qualifying = ranked_items(qualifying_items(sized, config), demographics)
-    pop_cells = demographic_cells(population, demographics)
-
-    shapes = _product_shapes(qualifying)
-    here = _product_positions(cells, shapes, demographics).where("segment = target")
-    everywhere = _product_positions(pop_cells, shapes, demographics)
-    matched = here.groupBy("target", "index").agg(F.sum("n").alias("n"))
-    pop_matched = everywhere.groupBy("target", "index").agg(F.sum("n").alias("pop_n"))
-    # With fewer matches than places, the unmatched ones that can be needed
-    # are among the first few positions.
-    first = shapes.selectExpr(
-        "target", f"explode(sequence(0L, least(products, {2 * config.max_combinations}) - 1)) "
-        "AS index")
-    candidates = (first.join(matched, ["target", "index"], "full")
-                  .join(pop_matched, ["target", "index"], "left")
-                  .join(shapes.drop("parts"), "target")
-                  .na.fill(0, ["n", "pop_n"])
-                  .selectExpr("target AS segment", "index", "size", "catalog", "n",
-                              "offset + index + 1 AS position",
-                              *lift_columns(epsilon=config.lift_epsilon)))
-    scored = candidates.selectExpr(
-        "segment", "index", "size", "catalog", "n", "position", "observed AS coverage",
-        "bround(observed, 4) AS observed_proportion",
-        "bround(expected, 4) AS expected_proportion", "bround(lift, 3) AS odds_ratio")
+    position = case([(f"demo = {quote(c)}", str(i)) for i, c in enumerate(demographics)])
+    ranked = distributed_row_number(qualifying_items(sized, config).selectExpr(
+        "segment", f"{position} AS d", "demo", "value", "segment_size", f"concat(segment, '/', {position}) AS g", "-n AS k"),
+        "g", ["k", "value"], "rank").withColumn("rank", F.col("rank").cast("int"))
+    items = write_stage(ranked.drop("g", "k"), "items").df
+    shapes = _shapes(items)
+    if not shapes:
+        return spark.createDataFrame([], "segment string, size int, combination_id string, combination string, observed_proportion double, "
+                                         "expected_proportion double, odds_ratio double, count bigint, coverage double, place int")
+
+    def local(rows: Iterable[str], names: str) -> DataFrame:
+        return F.broadcast(spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})"))    # a few rows per cohort
+
+    # Every cell's ranks in every cohort in which all demographics that take part have one.
+    values = ", ".join(f"named_struct('d', {i}, 'value', {c})" for i, c in enumerate(demographics))
+    long = cells.selectExpr("cell", "segment", "whole", "n", f"inline(array({values}))").where("value IS NOT NULL")
+    sizes = local([f"({quote(s.segment)}, {len(s.digits)})" for s in shapes], "target, size")
+    hits = (long.join(small_side(items.where("value IS NOT NULL").selectExpr("segment AS target", "d", "value", "rank")), ["d", "value"])
+            .where("whole OR segment = target")
+            .groupBy("cell", "whole", "n", "target").agg(F.array_sort(F.collect_list(F.struct("d", "rank"))).alias("at"))
+            .join(sizes, "target").where("size(at) = size")
+            .selectExpr("target AS segment", "transform(at, x -> x.rank) AS ranks", "if(whole, 0L, n) AS n", "if(whole, n, 0L) AS pop_n"))
+    first = local([f"({quote(s.segment)}, array({', '.join(map(str, ranks))}), 0L, 0L)" for s in shapes
+                   for ranks in s.first(2 * config.max_combinations)], "segment, ranks, n, pop_n")
+    totals = local([f"({quote(s.segment)}, {s.segment_size}L, {total}L)" for s in shapes], "segment, segment_size, pop_size")
+    scored = (hits.unionByName(first).groupBy("segment", "ranks").agg(F.sum("n").alias("n"), F.sum("pop_n").alias("pop_n"))
+              .join(totals, "segment").selectExpr("segment", "ranks", "n", *lift_columns(epsilon=config.lift_epsilon))
+              .selectExpr("segment", "ranks", "n AS count", "observed AS coverage", "bround(observed, 4) AS observed_proportion",
+                          "bround(expected, 4) AS expected_proportion", "bround(lift, 3) AS odds_ratio"))
     best = Window.partitionBy("segment").orderBy(
-        F.desc("observed_proportion"), F.desc("odds_ratio"), F.asc("index"))
-    top = (scored.withColumn("place", F.row_number().over(best))
-           .where(f"place <= {config.max_combinations}"))
-    # The rank of each demographic is one digit of the index in mixed radix.
-    chosen = ("filter(catalog, x -> (index div x.step) % x.width = x.rank - 1)")
-    text = combination_text(f"transform({chosen}, x -> named_struct('demo', x.demo, 'value', "
-                            "coalesce(x.value, 'nan')))")
-    return top.selectExpr(
-        "segment", "size", "concat('C', position) AS combination_id", f"{text} AS combination",
-        "observed_proportion", "expected_proportion", "odds_ratio", "n AS count", "coverage",
-        "place")
-
-
-def _product_shapes(qualifying: DataFrame) -> DataFrame:
-    """One row per cohort with two or more qualifying demographics.
-
-    Holds the radix of every demographic, the number of products, the running
-    id offset over the cohorts before it, and a map 'position:value' -> the
-    value's contribution to the product index.
-    """
-    later = Window.partitionBy("segment").orderBy(F.desc("d")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    digits = (qualifying.groupBy("segment", "d").agg(F.max("rank").alias("width"))
-              .withColumn("step", F.coalesce(F.product("width").over(later), F.lit(1.0)))
-              .selectExpr("segment", "d", "width", "cast(step AS bigint) AS step"))
-    # One row per cohort in the next two steps.
-    earlier = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (digits.groupBy("segment")
-             .agg(F.expr("cast(count(*) AS int) AS size"), F.expr("max(step * width) AS products"))
-             .where("size >= 2").withColumn("at", F.expr(segment_position()))
-             .withColumn("offset", F.coalesce(F.sum("products").over(earlier), F.lit(0))))
-    return (qualifying.join(digits, ["segment", "d"]).join(sizes, "segment")
-            .groupBy(F.col("segment").alias("target"))
-            .agg(F.expr("map_from_entries(collect_list(struct(concat(d, ':', value), "
-                        "(rank - 1) * step)) FILTER (WHERE value IS NOT NULL)) AS parts"),
-                 F.expr("array_sort(collect_list(struct(d, rank, step, width, demo, value))) "
-                        "AS catalog"),
-                 *[F.max(c).alias(c) for c in (
-                     "size", "products", "offset", "segment_size", "pop_size")]))
-
-
-def _product_positions(cells: DataFrame, shapes: DataFrame, demographics) -> DataFrame:
-    """Cells that match a product of a cohort, with the product's index."""
-    parts = ", ".join(f"try_element_at(parts, concat('{i}:', {c}))"
-                      for i, c in enumerate(demographics))
-    return (cells.withColumn("target", F.expr(f"explode({_segment_array()})"))
-            .join(shapes.select("target", "parts", "size"), "target")
-            .selectExpr("segment", "target", "n", "size",
-                        f"array_compact(array({parts})) AS hits")
-            .where("size(hits) = size")
-            .selectExpr("segment", "target", "n",
-                        "aggregate(hits, 0L, (a, b) -> a + b) AS index"))
+        F.desc("observed_proportion"), F.desc("odds_ratio"), F.asc("ranks"))
+    top = scored.withColumn("place", F.row_number().over(best)).where(f"place <= {config.max_combinations}")
+
+    # Ids and texts of the published few.
+    digits = local([f"({quote(s.segment)}, {i}, {d}, cast('{step}' AS decimal(38,0)), cast('{s.offset}' AS decimal(38,0)))"
+                    for s in shapes for i, ((d, _), step) in enumerate(zip(s.digits, s.steps))], "segment, i, d, step, offset")
+    kept = [c for c in top.columns if c != "ranks"]
+    parts = (top.selectExpr(*kept, "posexplode(ranks) AS (i, rank)").join(digits, ["segment", "i"])
+             .join(items.select("segment", "d", "rank", "demo", "value"), ["segment", "d", "rank"]))
+    named = F.struct("i", "demo", F.coalesce("value", F.lit("nan")).alias("value"))
+    return (parts.groupBy(*kept).agg(F.expr("cast(sum(step * (rank - 1)) + max(offset) + 1 AS decimal(38,0)) AS id"),
+                                     F.array_sort(F.collect_list(named)).alias("combo"), F.count(F.lit(1)).cast("int").alias("size"))
+            .selectExpr("segment", "size", "concat('C', id) AS combination_id", f"{combination_text('combo')} AS combination",
+                        "observed_proportion", "expected_proportion", "odds_ratio", "count", "coverage", "place"))

@@ -23,7 +23,7 @@ def risk_level(config: CohortConfig = DEFAULT) -> str:
                 "'High'")
 
 
-def value_threshold(df: DataFrame, rows: int, config: CohortConfig = DEFAULT) -> float | None:
+def value_threshold(df: DataFrame, config: CohortConfig = DEFAULT) -> float | None:
     return exact_quantiles(
         df, ["monthly_loan_volume"], [config.value_percentile])["monthly_loan_volume"][0]
 
@@ -45,16 +45,16 @@ def combined_segment(risk: str = "risk_level", value: str = "value_level") -> st
     return case([(f"{risk} = 'High'", quote(HIGH_RISK)), *pairs], "'Unknown'")
 
 
-def with_levels(df: DataFrame, rows: int, config: CohortConfig = DEFAULT) -> DataFrame:
+def with_levels(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """risk_level and value_level, the threshold taken over exactly these rows."""
-    limit = value_threshold(df, rows, config)
+    limit = value_threshold(df, config)
     return with_exprs(df, {"risk_level": risk_level(config),
                            "value_level": value_level(limit, config)})
 
 
-def with_segment(df: DataFrame, rows: int, config: CohortConfig = DEFAULT) -> DataFrame:
+def with_segment(df: DataFrame, config: CohortConfig = DEFAULT) -> DataFrame:
     """Final cohort of every row."""
-    leveled = with_levels(df, rows, config)
+    leveled = with_levels(df, config)
     return with_exprs(leveled, {"segment": combined_segment()}).drop("risk_level", "value_level")
 
 

@@ -57,7 +57,7 @@ class Exploration:
 
     @cached_property
     def segmented(self) -> DataFrame:
-        return scoring.with_segment(self.featured.df, self.featured.rows, self.config)
+        return scoring.with_segment(self.featured.df, self.config)
 
     @cached_property
     def segmented_stage(self) -> Stage:

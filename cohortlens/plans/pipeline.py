@@ -97,7 +97,7 @@ class CohortRun:
     @cached_property
     def segmented(self) -> DataFrame:
         kept = self.survivors
-        return scoring.with_segment(kept.df, kept.rows, self.config)
+        return scoring.with_segment(kept.df, self.config)
 
     # -- profiles ----------------------------------------------------------
     @cached_property

@@ -126,6 +126,38 @@ def test_full_size_matches_enumeration(spark, seed, n):
                   for r in got) == sorted(best)
 
 
+def test_full_size_with_more_products_than_a_double_counts(spark):
+    names = [f"d{i}" for i in range(6)]
+    # Every customer of the first cohort has values of its own: 3,000 per demographic.
+    mine = [(i, SEGMENTS[0], *[f"v{(i * (7 + 4 * d)) % 3000:04d}" for d in range(6)]) for i in range(3000)]
+    rest = [(i, SEGMENTS[4], *["other"] * 6) for i in range(3000, 9000)]
+    df = spark.createDataFrame(mine + rest, "customer_id int, segment string, " + ", ".join(f"{n} string" for n in names))
+    got = sorted(profiles.full_size_combinations(df, df, subclusters.population_counts(df, names), demographics=names).collect())
+    order = [sorted({r[2 + d] for r in mine}) for d in range(6)]      # all values are as frequent
+
+    def place(row):
+        index = 0
+        for d in range(6):
+            index = index * len(order[d]) + order[d].index(row[2 + d])
+        return index + 1
+    counts = Counter(r[2:] for r in mine)
+    assert set(counts.values()) == {1} and 3000 ** 6 > 2 ** 53
+    best = sorted(mine, key=place)[:2]
+    found = {r["combination_id"]: r["combination"] for r in got if r["segment"] == SEGMENTS[0]}
+    assert found == {f"C{place(r)}": " | ".join(f"{n}: {v}" for n, v in zip(names, r[2:])) for r in best}
+    after = [r["combination_id"] for r in got if r["segment"] == SEGMENTS[4]]
+    assert after == [f"C{3000 ** 6 + 1}"]
+
+
+def test_too_many_products_fail_loudly(spark):
+    names = [f"d{i}" for i in range(14)]
+    mine = [(i, SEGMENTS[0], *[f"v{i}"] * 14) for i in range(600)]
+    rest = [(i, SEGMENTS[4], *["other"] * 14) for i in range(600, 3000)]
+    df = spark.createDataFrame(mine + rest, "customer_id int, segment string, " + ", ".join(f"{n} string" for n in names))
+    with pytest.raises(OverflowError):
+        profiles.full_size_combinations(df, df, subclusters.population_counts(df, names), demographics=names)
+
+
 def test_one_qualifying_demographic_gives_no_profile(spark):
     rows = ([(i, SEGMENTS[0], "1", "0", "0", "0") for i in range(20)]
             + [(i, SEGMENTS[4], "0", "0", "0", "0") for i in range(20, 60)])

@@ -105,8 +105,8 @@ def test_others_and_median(spark):
     df = customers(spark, dict(state=None, income=10), dict(state="", income=None),
                    dict(income=30), dict(income=50))
     assert column(cleaning.others_if_blank(df), "state") == ["Others", "Others", "S", "S"]
-    assert column(cleaning.fill_medians(df, ["income"], 4), "income") == [10, 30, 30, 50]
-    assert column(cleaning.fill_medians(df, ["age"], 4), "age") == [30.0] * 4
+    assert column(cleaning.fill_medians(df, ["income"]), "income") == [10, 30, 30, 50]
+    assert column(cleaning.fill_medians(df, ["age"]), "age") == [30.0] * 4
 
 
 def test_income_brackets(spark):
@@ -199,7 +199,7 @@ def test_segments(spark):
         dict(total_loan_amount=20, maturity_dpd=3), dict(maturity_dpd=99),
         dict(total_loan_amount=5000, ontime_repayment_rate=14.9)))
     # P75 of the volumes is the volume of the first row: >= includes it.
-    assert column(scoring.with_segment(df, 5), "segment") == [
+    assert column(scoring.with_segment(df), "segment") == [
         LOW_HIGH, LOW_LOW, MEDIUM_LOW, HIGH_RISK, LOW_LOW]
 
 
