@@ -129,7 +129,7 @@ def test_full_size_matches_enumeration(spark, seed, n):
 def test_full_size_with_more_products_than_a_double_counts(spark):
     names = [f"d{i}" for i in range(6)]
     # Every customer of the first cohort has values of its own: 3,000 per demographic.
-    mine = [(i, SEGMENTS[0], *[f"v{(i * (7 + 4 * d)) % 3000:04d}" for d in range(6)]) for i in range(3000)]
+    mine = [(i, SEGMENTS[0], *[f"v{i * by % 3000:04d}" for by in (7, 11, 13, 17, 19, 23)]) for i in range(3000)]
     rest = [(i, SEGMENTS[4], *["other"] * 6) for i in range(3000, 9000)]
     df = spark.createDataFrame(mine + rest, "customer_id int, segment string, " + ", ".join(f"{n} string" for n in names))
     got = sorted(profiles.full_size_combinations(df, df, subclusters.population_counts(df, names), demographics=names).collect())
