@@ -269,6 +269,10 @@ SQL["agg_overall_mean"] = """
 SELECT employment_status AS value, round(avg(has_14plus_dpd), 6) AS default_rate,
   count(*) AS customers, (SELECT round(avg(has_14plus_dpd), 6) FROM ex_adults) AS overall_rate
 FROM ex_adults WHERE employment_status IS NOT NULL GROUP BY employment_status"""
+SQL["agg_distinct_sketch"] = """
+SELECT CAST(dw_date_key // 10000 AS INTEGER) AS year, count(DISTINCT loan_ref) AS loans, true AS within_bound
+FROM loan_fact GROUP BY 1 UNION ALL
+SELECT NULL, count(DISTINCT loan_ref), true FROM loan_fact"""
 SQL["agg_corr"] = union_all(
     f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(CASE WHEN isnan(corr({a}, {b})) "
     f"THEN NULL ELSE corr({a}, {b}) END, 6) AS r FROM ex_adults"

@@ -12,7 +12,7 @@ from cohortlens.functions.fingerprint import fingerprint
 from cohortlens.functions.staging import new_path, write_stage
 from cohortlens.operators import (
     binning, cleaning, clustering, customer_table as ct, decode, encoding, explore, features, profiles,
-    quality, scoring, subclusters)
+    quality, scoring, sketches, subclusters)
 from cohortlens.plans.exploration import Exploration, known_customers
 from cohortlens.plans.pipeline import CohortRun
 from cohortlens.sources import adapter, sinks
@@ -442,6 +442,18 @@ def agg_column_profile(registry):
     return explore.column_profile(registry)
 
 
+@on_fact
+def agg_distinct_sketch(fact):
+    """Loans per snapshot year and over all years: exact, and from the years' sketches."""
+    runs = fact.selectExpr("cast(dw_date_key div 10000 AS int) AS year", "loan_ref")
+    kept = write_stage(sketches.distinct_sketches(runs, ["year"], "loan_ref"), "sketches").df
+    estimates = sketches.merged_counts(kept, ["year"]).unionByName(
+        sketches.merged_counts(kept).withColumn("year", F.lit(None).cast("int")))
+    exact = runs.rollup("year").agg(F.countDistinct("loan_ref").alias("loans"), F.grouping("year").alias("all"))
+    return (exact.join(estimates.withColumnRenamed("year", "y"), F.expr("year <=> y"))
+            .selectExpr("year", "loans", f"abs(estimate - loans) <= greatest(1, {sketches.error_bound()} * loans) AS within_bound"))
+
+
 @on_exploration
 def agg_behaviour(ex):
     return subclusters.behaviour(_scaled_split(ex))

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.functions.ranks import distributed_row_number, exact_quantiles
-from cohortlens.operators import clustering, explore, subclusters
+from cohortlens.operators import clustering, explore, sketches, subclusters
 from cohortlens.operators.features import CLUSTER_FEATURES
 
 PROBS = [0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0]
@@ -125,3 +126,15 @@ def test_elbow_finds_the_clusters_and_repeats(spark):
 def test_zero_and_minus_zero_are_one_value(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (0.1,)], "x double")
     assert explore.column_profile(df).first()["distinct_values"] == 2
+
+
+def test_sketches_of_runs_merge_within_their_bound(spark):
+    ids = spark.range(200_000).selectExpr("id % 10 AS run", "id * 7919 % 60000 AS loan", "if(id % 3 = 0, 'hot', 'rest') AS state")
+    kept = sketches.distinct_sketches(ids, ["run", "state"], "loan")
+    exact = {r["state"]: r["n"] for r in ids.selectExpr("state", "loan").distinct().groupBy("state").agg(F.count("*").alias("n")).collect()}
+    for r in sketches.merged_counts(kept, ["state"]).collect():
+        assert abs(r["estimate"] - exact[r["state"]]) <= sketches.error_bound() * exact[r["state"]]
+    small = sketches.distinct_sketches(ids.where("loan < 20"), [], "loan")
+    assert sketches.merged_counts(small).first()["estimate"] == 20
+    nothing = sketches.distinct_sketches(ids.limit(0), ["run"], "loan")
+    assert sketches.merged_counts(nothing).first()["estimate"] == 0
