@@ -31,3 +31,11 @@ def ascii_lower(c: Column) -> Column:
 def text_id() -> Column:
     """Hash of the text: with doc_id it tells rows apart; equal rows share it."""
     return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or with underscores before it where df has such a column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -7,8 +7,10 @@ document is done as soon as every place holds less than j; long documents need t
 or three steps. `BANDS` bands of `ROWS` values give bucket keys: at a similarity
 of 0.8 the chance that two documents share no bucket is 5e-8.
 
-Equal sets are collapsed first. In a bucket not all pairs are compared. Its most
-central member is the pivot and is compared with the others; a link merges
+Equal sets are collapsed first. Then neighbours are compared: with the documents sorted by
+their band keys, in `ORDERS` rotations, each set is held against the `WINDOW` sets before
+it, which joins most members of a group at one row each. Only buckets that still hold
+more than one component go on, and in these not all pairs are compared. A bucket's most central member is the pivot and is compared with the others; a link merges
 components. With pivot P, a member X is known by its difference D(X) from P, and
 the difference of two members is |D(X)| + |D(Y)| - 2 |D(X) & D(Y)|. So two members
 that are not both linked to P can be linked only if their differences share enough
@@ -21,8 +23,9 @@ a bucket are found, and a group of copies costs rows in proportion to its member
 
 Defined results: a null, empty or blank text has no shingles and links with
 nothing; with fewer than k words the whole word sequence is the one shingle.
-Rows without doc_id link with nothing, are kept, and have no component. Rows that
-share a doc_id are one node. Empty tables give empty tables.
+Rows without doc_id link with nothing, are kept, and have no component. Rows of one
+doc_id with different sets are documents of their own with the same id; equal rows are one.
+Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.llm import kernel
-from cohortlens.llm.common import keep
+from cohortlens.llm.common import keep, text_id, unused
 from cohortlens.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -42,6 +45,8 @@ PLACES = BANDS * ROWS
 PERCENT = 80     # links need 100 * intersection >= PERCENT * union
 SHINGLE = 5
 MORE = 8         # pivots per bucket: 1, then 8, 64, ...
+ORDERS = 3       # rotations of the band keys that documents are sorted by
+WINDOW = 4       # earlier neighbours that a set is held against
 
 
 def shingle_sets(words: kernel.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +99,15 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _fingerprints(sets: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Order-free 128-bit fingerprints of the sets, as two longs each."""
+    sums = []
+    for salt in (11, 12):
+        run_sum = np.concatenate([np.zeros(1, np.uint64), np.cumsum(kernel.mix(sets, salt))])
+        sums.append((run_sum[first[1:]] - run_sum[first[:-1]]).view(np.int64))
+    return sums
+
+
 def _signatures(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,16 +115,14 @@ def _signatures(k: int):
             for i, j in kernel.pieces(at, 1 << 20):
                 sets, first = shingle_sets(kernel.Words(data, at[i:j + 1], lower=True), k)
                 sizes = np.diff(first)
-                sums = []
-                for salt in (11, 12):  # order-free 128-bit fingerprint of the set
-                    run_sum = np.concatenate([np.zeros(1, np.uint64), np.cumsum(kernel.mix(sets, salt))])
-                    sums.append((run_sum[first[1:]] - run_sum[first[:-1]]).view(np.int64))
+                sums = _fingerprints(sets, first)
                 keys = band_keys(super_minhash(sets, first))
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)),
                                                 pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]), keys],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                    [batch.column("doc_id").slice(i, j - i), batch.column("t").slice(i, j - i), pa.array(sizes),
+                     pa.array(sums[0]), pa.array(sums[1]), keys],
+                    ["doc_id", "t", "n_shingles", "set_a", "set_b", "bands"])
     return run
 
 
@@ -121,8 +133,50 @@ def _packed_sets(k: int):
             for i, j in kernel.pieces(at):
                 sets, first = shingle_sets(kernel.Words(data, at[i:j + 1], lower=True), k)
                 packed = [sets[first[x]:first[x + 1]].tobytes() for x in range(j - i)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), pa.array(packed, pa.binary())], ["doc", "shingles"])
+                a, b = _fingerprints(sets, first)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(packed, pa.binary())], ["set_a", "set_b", "shingles"])
+    return run
+
+
+def _company(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that share a key with a neighbour, from rows (key, doc) in order. The rows at a
+    task's ends may have their neighbour in another task and count, too."""
+    last, found = None, []
+    for batch in batches:
+        key, doc = batch.column("key").to_numpy(), batch.column("doc").to_numpy()
+        if not len(key):
+            continue
+        if last is None:
+            found.append(doc[:1])
+        else:
+            key, doc = np.r_[last[0], key], np.r_[last[1], doc]
+        same = key[1:] == key[:-1]
+        found.append(np.unique(doc[np.r_[same, False] | np.r_[False, same]]))
+        last = key[-1], doc[-1]
+        if sum(map(len, found)) > 1 << 20:
+            found = [np.unique(np.concatenate(found))]
+            if len(found[0]) > 1 << 19:
+                yield pa.RecordBatch.from_arrays([pa.array(found.pop())], ["doc"])
+    if last is not None:
+        found.append(np.array([last[1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["doc"])
+
+
+def _neighbours(percent: int, window: int):
+    """Links between each set and the `window` sets before it."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: list[tuple[int, np.ndarray]] = []
+        for batch in batches:
+            links = []
+            for doc, packed in zip(batch.column("doc").to_pylist(), batch.column("shingles")):
+                x = np.frombuffer(packed.as_buffer(), np.uint64).copy()
+                for other, y in before:
+                    if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                        common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                        if common and 100 * common >= percent * (len(x) + len(y) - common):
+                            links.append((other, doc))
+                before = [*before[1 - window:], (doc, x)] if window > 1 else [(doc, x)]
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in links], pa.int64()) for i in (0, 1)], ["a", "b"])
     return run
 
 
@@ -173,12 +227,13 @@ def _differences(percent: int):
     return run
 
 
-def _shared_buckets(reps: DataFrame) -> DataFrame:
-    """key, doc, n and centrality of all members of buckets with company."""
-    rows = reps.select(F.col("rep").alias("doc"), F.col("n_shingles").alias("n"),
-                       F.explode("bands").alias("key"))
-    full = rows.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
-    met = keep(rows.join(full, "key"), "buckets")
+def _split_buckets(classes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """key, doc, n and centrality of all members of buckets with more than one component."""
+    labelled = _labelled(classes.select("doc", F.col("n_shingles").alias("n"), "bands"), "doc", comp)
+    rows = labelled.select("doc", "n", "comp", F.explode("bands").alias("key"))
+    split = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("mates"))
+             .where("lo <> hi").select("key", "mates"))
+    met = keep(rows.drop("comp").join(split, "key"), "buckets")
     central = met.groupBy("doc").agg(F.sum("mates").alias("centrality"))
     return keep(met.join(central, "doc").select("key", "doc", "n", "centrality"), "buckets")
 
@@ -225,20 +280,23 @@ def _difference_pairs(seen: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of docs."""
-    texts = docs.select("doc_id", "text")
+    """doc_id, t (hash of the text), n_shingles, component_id and kept of every row of docs."""
+    texts = docs.select("doc_id", "text", text_id().alias("t"))
     sigs = keep(texts.mapInArrow(_signatures(shingle),
-                                 "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"),
+                                 "doc_id long, t long, n_shingles long, set_a long, set_b long, bands array<long>"),
                 "signatures")
     known = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = known.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
-    reps = (known.join(classes, ["set_a", "set_b"]).where("doc_id = rep")
-            .dropDuplicates(["set_a", "set_b"]).select("rep", "n_shingles", "bands"))
-    members = _shared_buckets(reps)
-
-    wanted = members.select("doc").distinct()
-    sets = keep(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi")
-                .mapInArrow(_packed_sets(shingle), "doc long, shingles binary"), "sets")
+    classes = keep(known.groupBy("set_a", "set_b")
+                   .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+                   .withColumn("doc", F.monotonically_increasing_id()), "classes")
+
+    company = (classes.select(F.explode("bands").alias("key"), "doc").repartitionByRange("key", "doc")
+               .sortWithinPartitions("key", "doc").mapInArrow(_company, "doc long").distinct())
+    wanted = keep(classes.join(company, "doc", "left_semi"), "wanted")
+    packed = (texts.join(wanted.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
+              .mapInArrow(_packed_sets(shingle), "set_a long, set_b long, shingles binary"))
+    sets = keep(packed.join(wanted.select("set_a", "set_b", "doc"), ["set_a", "set_b"])
+                .dropDuplicates(["doc"]).select("doc", "shingles"), "sets")
 
     comp, per_bucket = None, 1
 
@@ -257,13 +315,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         comp = keep(known.join(joined, "comp", "left").select("node", F.coalesce("component", "comp").alias("component")),
                     "near-components")
 
+    ordered = sets.join(wanted.select("doc", "bands"), "doc")
+    for turn in range(ORDERS):
+        shift = turn * BANDS // ORDERS
+        order = F.concat(F.slice("bands", shift + 1, BANDS), F.slice("bands", 1, shift)) if shift else F.col("bands")
+        row = ordered.select("doc", "shingles", order.alias("o")).repartitionByRange("o").sortWithinPartitions("o")
+        near = keep(row.select("doc", "shingles").mapInArrow(_neighbours(percent, WINDOW), "a long, b long"), "neighbours")
+        merge(near)
+    members = _split_buckets(classes, comp)
+
     while True:
         now = keep(_split_only(_labelled(members, "doc", comp), "key").drop("comp"), "open")
         if now.isEmpty():
             break
-        if per_bucket > 1:  # only documents that are still open are compared from here on
-            open_docs = keep(now.select("doc").distinct(), "open-docs")
-            sets = keep(sets.join(open_docs, "doc", "left_semi"), "sets")
+        # Only documents that are still open are compared.
+        open_docs = keep(now.select("doc").distinct(), "open-docs")
+        sets = keep(sets.join(open_docs, "doc", "left_semi"), "sets")
         pivots = keep(_pivots(now, per_bucket), "pivots")
         met = now.join(pivots, "key").where(F.col("doc") != F.col("pivot"))
         # Sizes further apart than 3 (1 - t) allows need no look at the sets.
@@ -281,12 +348,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         members = keep(now.join(done, ["key", "doc"], "left_anti"), "buckets")
         per_bucket *= MORE
 
-    found = classes if comp is None else classes.join(comp, classes.rep == comp.node, "left")
-    found = found.select("set_a", "set_b", (F.col("rep") if comp is None
-                                            else F.coalesce("component", "rep")).alias("component"))
-    out = sigs.join(found, ["set_a", "set_b"], "left")
+    found = _labelled(classes.select("set_a", "set_b", "rep", "doc"), "doc", comp)
+    least = found.groupBy("comp").agg(F.min("rep").alias("component"))
+    out = sigs.join(keep(found.join(least, "comp").select("set_a", "set_b", "component"), "groups"), ["set_a", "set_b"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    out = out.select("doc_id", "n_shingles",
+    out = out.select("doc_id", "t", "n_shingles",
                      F.when(F.col("doc_id").isNotNull(), F.when(alone, F.col("doc_id")).otherwise(
                          F.col("component"))).alias("component_id"))
     return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
@@ -294,9 +360,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """docs with one document of each group: the one with the smallest doc_id."""
-    gone = near_duplicates(docs, **settings).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = near_duplicates(docs, **settings)
+    mine, text = unused(docs, "_doc"), unused(docs, "_text")
+    gone = rows.where("not kept").select(F.col("doc_id").alias(mine), F.col("t").alias(text)).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col(mine)) & (text_id() == F.col(text)), "left_anti")
 
 
 def minhash_digest(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs, shingle=4)
+    return near_duplicates(docs, shingle=4).drop("t")

@@ -399,3 +399,12 @@ def test_empty_tables(spark):
     assert chat.chat_digest(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 1
     assert urls.urls_digest(spark.createDataFrame([], "page_id long, url string"), labels).count() == 0
     assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_two_texts_under_one_id_are_judged_apart(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(3, a, 1), (5, a, 1), (5, b, 1), (7, b, 1), (9, "alone at last", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _doc int")
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(3, a), (5, b), (9, "alone at last")]
