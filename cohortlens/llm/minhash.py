@@ -15,8 +15,8 @@ components. With pivot P, a member X is known by its difference D(X) from P, and
 the difference of two members is |D(X)| + |D(Y)| - 2 |D(X) & D(Y)|. So two members
 that are not both linked to P can be linked only if their differences share enough
 elements, and such pairs are found by joining on the first elements of the
-differences (what X adds before what it lacks; prefix and position filter), then
-verified. By the triangle inequality of the Jaccard distance a member within 2 (1 - t)
+differences (those that the fewest differences hold first, by a table of `SLOTS` hashed
+counts; prefix and position filter), then verified. By the triangle inequality of the Jaccard distance a member within 2 (1 - t)
 of P has all its partners within 3 (1 - t); it is done and leaves the bucket. Members
 further away go to the next round, with `MORE` times the pivots. All links between members of
 a bucket are found, and a group of copies costs rows in proportion to its members.
@@ -47,6 +47,8 @@ SHINGLE = 5
 MORE = 8         # pivots per bucket: 1, then 8, 64, ...
 ORDERS = 3       # rotations of the band keys that documents are sorted by
 WINDOW = 4       # earlier neighbours that a set is held against
+SLOTS = 1 << 20  # hashed counts of elements, in CHUNKS parts
+CHUNKS = 64
 
 
 def shingle_sets(words: kernel.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,12 +199,47 @@ def _verify(percent: int):
     return run
 
 
-def _differences(percent: int):
+def _slots(x: np.ndarray) -> np.ndarray:
+    return (kernel.mix(x, 31) & kernel.U(SLOTS - 1)).astype(np.int64)
+
+
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of a task's sets hold elements of each slot."""
+    counts = np.zeros(SLOTS, np.uint32)
+    for batch in batches:
+        for packed in batch.column("shingles"):
+            np.add.at(counts, _slots(np.frombuffer(packed.as_buffer(), np.uint64)), 1)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(CHUNKS)), pa.array([c.tobytes() for c in counts.reshape(CHUNKS, -1)], pa.binary())],
+                                     ["chunk", "counts"])
+
+
+def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
+            more = np.frombuffer(counts.as_buffer(), np.uint32)
+            total[chunk] = total[chunk] + more if chunk in total else more.copy()
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([c.tobytes() for c in total.values()], pa.binary())],
+                                     ["chunk", "counts"])
+
+
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """Hashed element counts over all sets, SLOTS numbers whatever the input."""
+    parts = sets.select("shingles").mapInArrow(_counted, "chunk long, counts binary")
+    rows = parts.repartition("chunk").mapInArrow(_summed, "chunk long, counts binary").collect()
+    out = np.zeros((CHUNKS, SLOTS // CHUNKS), np.uint32)
+    for chunk, counts in rows:
+        out[chunk] = np.frombuffer(counts, np.uint32)
+    return out.reshape(-1)
+
+
+def _differences(percent: int, rarity):
     """Members b within 3 (1 - t) of their pivot a, with the elements to join on."""
     t = percent / 100
     c = (1 - t) / (1 + t)   # linked: |difference| <= c * (sum of the sizes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = rarity.value
         for batch in batches:
             rows = []
             for a, b, left, right in zip(*(batch.column(n) for n in ("a", "b", "left", "right"))):
@@ -214,7 +251,12 @@ def _differences(percent: int):
                 near = union - common <= (2 * (1 - t) + 1e-9) * union
                 added = x[~np.isin(x, p, assume_unique=True)]
                 lacking = p[~np.isin(p, x, assume_unique=True)]
+                # How many differences from p hold an element: those that have it, or of
+                # p's own, those that do not. Both estimates depend on p and the element only.
+                most = int(counts[_slots(p)].max())
+                often = np.concatenate([counts[_slots(added)].astype(np.int64), most - counts[_slots(lacking)].astype(np.int64)])
                 d = np.concatenate([added, lacking])
+                d = d[np.lexsort((d, often))]
                 # Elements that the differences of a linked pair share, at least.
                 least = ((len(d) + c * (len(p) - len(x))) / 2 if linked
                          else (len(d) - c * (len(p) + len(x))) / (1 + c))
@@ -298,7 +340,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = keep(packed.join(wanted.select("set_a", "set_b", "doc"), ["set_a", "set_b"])
                 .dropDuplicates(["doc"]).select("doc", "shingles"), "sets")
 
-    comp, per_bucket = None, 1
+    comp, per_bucket, rarity = None, 1, None
 
     def merge(fresh: DataFrame) -> None:
         """Take fresh links into comp; only components that they join are worked on."""
@@ -331,13 +373,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         # Only documents that are still open are compared.
         open_docs = keep(now.select("doc").distinct(), "open-docs")
         sets = keep(sets.join(open_docs, "doc", "left_semi"), "sets")
+        if rarity is None:
+            rarity = docs.sparkSession.sparkContext.broadcast(_rarity(sets))
         pivots = keep(_pivots(now, per_bucket), "pivots")
         met = now.join(pivots, "key").where(F.col("doc") != F.col("pivot"))
         # Sizes further apart than 3 (1 - t) allows need no look at the sets.
         close = 100 * F.least("n", "pivot_n") >= (100 - 3 * (100 - percent)) * F.greatest("n", "pivot_n")
         pairs = met.where(close).select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
         seen = keep(_with_sets(pairs, sets).mapInArrow(
-            _differences(percent), "a long, b long, n long, linked boolean, near boolean, d long, elements array<long>"), "seen")
+            _differences(percent, rarity), "a long, b long, n long, linked boolean, near boolean, d long, elements array<long>"), "seen")
         merge(seen.where("linked").select("a", "b"))
         more = _difference_pairs(_labelled(seen, "b", comp), percent)
         found = keep(_with_sets(more, sets).mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
