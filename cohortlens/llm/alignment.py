@@ -60,7 +60,7 @@ class Vocabularies:
     def __init__(self, files: Files):
         import sentencepiece
 
-        self.a = Encoder.of(files.tokenizer, files.ranks, files.pattern)
+        self.a = Encoder.of(files.tokenizer, files.ranks, files.pattern, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=files.pieces)
         with open(files.ranks, "rb") as file:
             ranks = dict((int(r), base64.b64decode(t)) for t, r in (line.split() for line in file))

@@ -51,27 +51,29 @@ class Encoder:
     points than `_PLAIN` knows, or that it fails on, go to the tokenizer itself.
     """
 
-    _of: dict[tuple[str, str, str], "Encoder"] = {}
+    _of: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, ranks: str, pattern: str):
+    def __init__(self, path: str, ranks: str, pattern: str, plain: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.other = re.compile("|".join([_PLAIN.pattern, *map(re.escape, added)]))
         with open(ranks, "rb") as file:
             pairs = [line.split() for line in file]
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={},
                                       mergeable_ranks={base64.b64decode(t): int(r) for t, r in pairs})
 
     @classmethod
-    def of(cls, *files: str) -> "Encoder":
-        if files not in cls._of:
-            cls._of[files] = cls(*files)
-        return cls._of[files]
+    def of(cls, *files: str, plain: bool = False) -> "Encoder":
+        if (*files, plain) not in cls._of:
+            cls._of[*files, plain] = cls(*files, plain=plain)
+        return cls._of[*files, plain]
 
     def encode(self, text: str) -> bytes:
-        if not _PLAIN.search(text):
+        if not self.other.search(text):
             try:
                 return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
             except BaseException as e:  # a panic of its regex engine on extreme runs

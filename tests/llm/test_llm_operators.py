@@ -373,6 +373,19 @@ def test_encoders_agree():
         assert encoder.encode(text) == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_added_tokens_are_encoded_as_the_tokenizer_is_loaded(spark):
+    from tokenizers import Tokenizer
+
+    fresh, text = Tokenizer.from_file(packing.public_tokenizer()[0]), "a <|endoftext|> b"
+    ids = np.array(fresh.encode(text, add_special_tokens=False).ids, "<u4")
+    assert 50256 in ids
+    assert packing.Encoder.of(*packing.public_tokenizer()).encode(text) == ids.tobytes()
+    plain = np.frombuffer(packing.Encoder.of(*packing.public_tokenizer(), plain=True).encode(text), "<u4")
+    assert 50256 not in plain and fresh.decode(plain.tolist(), skip_special_tokens=False) == text
+    row = packing.packing_digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row["length"], row["ids_crc32"]) == (len(ids) + 1, zlib.crc32(ids.tobytes() + bytes(4)))
+
+
 def test_plan_places_every_rank_once():
     r = random.Random(6)
     counts = {r.randrange(1, 2049): r.randrange(1, 500) for _ in range(300)}
