@@ -101,6 +101,8 @@ def select_ranks(df: DataFrame, values: dict[str, str], wanted: Callable[[str, i
     never counts. wanted(name, n): groups of neighbouring ranks (from 1) among n values. The
     names must be few: their bounds come to the driver, the rows never do.
     """
+    if not values:
+        return {}
     x = {name: f"nanvl(cast({sql} AS double), NULL)" for name, sql in values.items()}
     sizes = df.agg(*[F.expr(f"count({sql})").alias(f"n{i}") for i, sql in enumerate(x.values())]).first()
     n = dict(zip(x, sizes))
@@ -147,7 +149,7 @@ def select_places(df: DataFrame, groups: dict[str, str], score: str, key: str,
         for i, (r, (v,)) in enumerate(zip(wanted(g, n), picked)):
             ties[f"{g}/{i}"] = f"CASE WHEN {groups[g]} AND {score} = {number(v.value)} THEN {key} END"
             places[f"{g}/{i}"] = (g, v, r - v.below)
-    keys = select_ranks(df, ties, lambda t, n: [[places[t][2]]]) if ties else {}
+    keys = select_ranks(df, ties, lambda t, n: [[places[t][2]]])
     out: dict[str, list[Cut]] = {g: [] for g in groups}
     for t, (g, v, _) in places.items():
         found = keys[t][1][0][0]
