@@ -17,9 +17,15 @@ that are not both linked to P can be linked only if their differences share enou
 elements, and such pairs are found by joining on the first elements of the
 differences (those that the fewest differences hold first, by a table of `SLOTS` hashed
 counts; prefix and position filter), then verified. By the triangle inequality of the Jaccard distance a member within 2 (1 - t)
-of P has all its partners within 3 (1 - t); it is done and leaves the bucket. Members
-further away go to the next round, with `MORE` times the pivots. All links between members of
-a bucket are found, and a group of copies costs rows in proportion to its members.
+of P has all its partners within 3 (1 - t); it is done and leaves the bucket.
+
+Members further from their pivots share a passage with them, not a text. They are joined
+on their own rarest elements: of n elements, ordered by the same hashed counts, a link needs one in
+common among the first n - ceil(t n) + 1 of both, and what follows it in the shorter rest
+must suffice. An element's members are first held against one of them; then only pairs of
+different components are made, one side outside the element's largest component.
+All links between members of a bucket are found, and a group of copies costs rows in
+proportion to its members.
 
 Defined results: a null, empty or blank text has no shingles and links with
 nothing; with fewer than k words the whole word sequence is the one shingle.
@@ -34,7 +40,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.llm import kernel
 from cohortlens.llm.common import keep, text_id, unused
@@ -44,7 +50,6 @@ BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
 PERCENT = 80     # links need 100 * intersection >= PERCENT * union
 SHINGLE = 5
-MORE = 8         # pivots per bucket: 1, then 8, 64, ...
 ORDERS = 3       # rotations of the band keys that documents are sorted by
 WINDOW = 4       # earlier neighbours that a set is held against
 SLOTS = 1 << 20  # hashed counts of elements, in CHUNKS parts
@@ -269,6 +274,22 @@ def _differences(percent: int, rarity):
     return run
 
 
+def _prefixes(percent: int, rarity):
+    """The rarest elements e of every set, with their place pos: linked sets share one of them."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = rarity.value
+        for batch in batches:
+            for doc, packed in zip(batch.column("doc").to_pylist(), batch.column("shingles")):
+                x = np.frombuffer(packed.as_buffer(), np.uint64)
+                x = x[np.lexsort((x, counts[_slots(x)]))][:len(x) - -(-percent * len(x) // 100) + 1].view(np.int64)
+                for i in range(0, len(x), 1 << 16):
+                    e = x[i:i + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(e), v)) for v in (doc, packed.as_buffer().size // 8)]
+                        + [pa.array(np.arange(i, i + len(e))), pa.array(e)], ["doc", "n", "pos", "e"])
+    return run
+
+
 def _split_buckets(classes: DataFrame, comp: DataFrame | None) -> DataFrame:
     """key, doc, n and centrality of all members of buckets with more than one component."""
     labelled = _labelled(classes.select("doc", F.col("n_shingles").alias("n"), "bands"), "doc", comp)
@@ -280,11 +301,10 @@ def _split_buckets(classes: DataFrame, comp: DataFrame | None) -> DataFrame:
     return keep(met.join(central, "doc").select("key", "doc", "n", "centrality"), "buckets")
 
 
-def _pivots(members: DataFrame, per_bucket: int) -> DataFrame:
-    """key, pivot, pivot_n: the most central members of every bucket."""
+def _pivots(members: DataFrame) -> DataFrame:
+    """key, pivot, pivot_n: the most central member of every bucket."""
     ranked = F.struct("centrality", (-F.col("doc")).alias("minus"), "n")
-    slot = F.pmod(F.xxhash64("doc"), F.lit(per_bucket))
-    return (members.groupBy("key", slot.alias("slot")).agg(F.max(ranked).alias("p"))
+    return (members.groupBy("key").agg(F.max(ranked).alias("p"))
             .select("key", (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("pivot_n")))
 
 
@@ -321,6 +341,26 @@ def _difference_pairs(seen: DataFrame, percent: int) -> DataFrame:
     return x.join(y, on).select(F.col("x_x").alias("a"), F.col("x_y").alias("b")).distinct()
 
 
+def _shared_elements(prefixes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Prefix rows of elements held by more than one component, with comp and big, the
+    element's most frequent component."""
+    rows = _labelled(prefixes, "doc", comp)
+    big = (rows.groupBy("e", "comp").agg(F.count(F.lit(1)).alias("size"))
+           .groupBy("e").agg(F.max(F.struct("size", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"))
+           .where("comps > 1").select("e", F.col("most.comp").alias("big")))
+    return rows.join(big, "e")
+
+
+def _prefix_pairs(x: DataFrame, y: DataFrame, percent: int, which: Column) -> DataFrame:
+    """Pairs of x and y in different components that hold an element early enough to be linked."""
+    x = x.select("e", *[F.col(k).alias(f"{k}_x") for k in ("doc", "n", "pos", "comp")])
+    y = y.select("e", "big", *[F.col(k).alias(f"{k}_y") for k in ("doc", "n", "pos", "comp")])
+    rest = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    can = (100 + percent) * rest >= percent * (F.col("n_x") + F.col("n_y"))
+    return (x.join(y, (x.e == y.e) & (F.col("comp_x") != F.col("comp_y")) & can & which)
+            .select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, t (hash of the text), n_shingles, component_id and kept of every row of docs."""
     texts = docs.select("doc_id", "text", text_id().alias("t"))
@@ -340,7 +380,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = keep(packed.join(wanted.select("set_a", "set_b", "doc"), ["set_a", "set_b"])
                 .dropDuplicates(["doc"]).select("doc", "shingles"), "sets")
 
-    comp, per_bucket, rarity = None, 1, None
+    comp = None
 
     def merge(fresh: DataFrame) -> None:
         """Take fresh links into comp; only components that they join are worked on."""
@@ -366,31 +406,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         merge(near)
     members = _split_buckets(classes, comp)
 
-    while True:
-        now = keep(_split_only(_labelled(members, "doc", comp), "key").drop("comp"), "open")
-        if now.isEmpty():
-            break
-        # Only documents that are still open are compared.
-        open_docs = keep(now.select("doc").distinct(), "open-docs")
-        sets = keep(sets.join(open_docs, "doc", "left_semi"), "sets")
-        if rarity is None:
-            rarity = docs.sparkSession.sparkContext.broadcast(_rarity(sets))
-        pivots = keep(_pivots(now, per_bucket), "pivots")
-        met = now.join(pivots, "key").where(F.col("doc") != F.col("pivot"))
+    if not members.isEmpty():
+        # Only documents of open buckets are compared.
+        sets = keep(sets.join(members.select("doc").distinct(), "doc", "left_semi"), "sets")
+        rarity = docs.sparkSession.sparkContext.broadcast(_rarity(sets))
+        pivots = keep(_pivots(members), "pivots")
+        met = members.join(pivots, "key").where(F.col("doc") != F.col("pivot"))
         # Sizes further apart than 3 (1 - t) allows need no look at the sets.
         close = 100 * F.least("n", "pivot_n") >= (100 - 3 * (100 - percent)) * F.greatest("n", "pivot_n")
         pairs = met.where(close).select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
         seen = keep(_with_sets(pairs, sets).mapInArrow(
             _differences(percent, rarity), "a long, b long, n long, linked boolean, near boolean, d long, elements array<long>"), "seen")
         merge(seen.where("linked").select("a", "b"))
-        more = _difference_pairs(_labelled(seen, "b", comp), percent)
-        found = keep(_with_sets(more, sets).mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
-        merge(found.where("linked").select("a", "b"))
+
+        def verify(more: DataFrame) -> None:
+            found = keep(_with_sets(more, sets).mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
+            merge(found.where("linked").select("a", "b"))
+
+        verify(_difference_pairs(_labelled(seen, "b", comp), percent))
 
         done = (met.join(seen.where("near").select(F.col("a").alias("pivot"), F.col("b").alias("doc")), ["pivot", "doc"], "left_semi")
                 .select("key", "doc").unionAll(pivots.select("key", F.col("pivot").alias("doc"))).distinct())
-        members = keep(now.join(done, ["key", "doc"], "left_anti"), "buckets")
-        per_bucket *= MORE
+        rest = _split_only(_labelled(members.join(done, ["key", "doc"], "left_anti"), "doc", comp), "key")
+        prefixes = keep(sets.join(rest.select("doc").distinct(), "doc", "left_semi")
+                        .mapInArrow(_prefixes(percent, rarity), "doc long, n long, pos long, e long"), "prefixes")
+        shared = _shared_elements(prefixes, comp)
+        first = shared.groupBy("e").agg(F.min(F.struct("pos", "doc", "n", "comp")).alias("s")).select("e", "s.*")
+        verify(_prefix_pairs(first, shared, percent, F.lit(True)))
+        shared = _shared_elements(prefixes, comp)
+        verify(_prefix_pairs(shared.where("comp <> big"), shared, percent,
+                             (F.col("comp_y") == F.col("big")) | (F.col("doc_x") < F.col("doc_y"))))
 
     found = _labelled(classes.select("set_a", "set_b", "rep", "doc"), "doc", comp)
     least = found.groupBy("comp").agg(F.min("rep").alias("component"))

@@ -421,3 +421,32 @@ def test_two_texts_under_one_id_are_judged_apart(spark):
     kept = minhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(3, a), (5, b), (9, "alone at last")]
+
+
+def test_texts_around_one_passage_are_joined_on_rare_elements(spark):
+    r = random.Random(8)
+    passage, rows = [f"p{i}" for i in range(45)], []
+    for i in range(60):  # own words around the passage; every third text twice more, edited
+        own = [f"o{i}_{j}" for j in range(r.randrange(5, 70))]
+        rows.append((len(rows), " ".join(own + passage)))
+        for _ in range(2 if i % 3 == 0 else 0):
+            w = own + passage
+            at = r.randrange(len(w) - 5)
+            del w[at:at + r.randrange(1, 5)]
+            w[r.randrange(len(w))] = f"e{len(rows)}"
+            rows.append((len(rows), " ".join(w)))
+    sets = [{tuple(t.split()[i:i + 4]) for i in range(len(t.split()) - 3)} for _, t in rows]
+    linked = {(b, a) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(linked) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = docs.mapInArrow(minhash._packed_sets(4), "set_a long, set_b long, shingles binary")
+    named = spark.createDataFrame(list(enumerate(bytes(p["shingles"]) for p in packed.collect())), "doc long, shingles binary")
+    rarity = spark.sparkContext.broadcast(minhash._rarity(named))
+    prefixes = named.mapInArrow(minhash._prefixes(80, rarity), "doc long, n long, pos long, e long")
+    shared = minhash._shared_elements(prefixes, None)
+    side = (F.col("comp_y") == F.col("big")) | (F.col("doc_x") < F.col("doc_y"))
+    pairs = {tuple(p) for p in minhash._prefix_pairs(shared.where("comp <> big"), shared, 80, side).collect()}
+    assert linked <= pairs and len(pairs) < 10 * len(linked)
+    root = union_find(linked)
+    got = minhash.minhash_digest(docs).collect()
+    assert {x["doc_id"]: x["component_id"] for x in got} == {i: root.get(i, i) for i in range(len(rows))}
