@@ -37,6 +37,7 @@ Empty tables give empty tables.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -398,12 +399,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                     "near-components")
 
     ordered = sets.join(wanted.select("doc", "bands"), "doc")
+    near = []
     for turn in range(ORDERS):
         shift = turn * BANDS // ORDERS
         order = F.concat(F.slice("bands", shift + 1, BANDS), F.slice("bands", 1, shift)) if shift else F.col("bands")
         row = ordered.select("doc", "shingles", order.alias("o")).repartitionByRange("o").sortWithinPartitions("o")
-        near = keep(row.select("doc", "shingles").mapInArrow(_neighbours(percent, WINDOW), "a long, b long"), "neighbours")
-        merge(near)
+        near.append(row.select("doc", "shingles").mapInArrow(_neighbours(percent, WINDOW), "a long, b long"))
+    merge(keep(reduce(DataFrame.unionAll, near), "neighbours"))
     members = _split_buckets(classes, comp)
 
     if not members.isEmpty():
